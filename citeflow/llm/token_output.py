@@ -17,7 +17,10 @@ texts than a shard make a longer shard; further columns are ignored.
 
 from __future__ import annotations
 
+import functools
+import re
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -29,39 +32,78 @@ from citeflow.llm.token_counts import load_tokenizer
 
 END_ID = 2
 SHARD_IDS = 1 << 20
-CACHE_ENTRIES = 400_000
-ROUNDS = 6
-PAIRS_PER_ROUND = 1024
+CACHE_ENTRIES = 500_000
+ROUNDS = 4
+PAIRS_PER_ROUND = 2048
 LEAST_COUNT = 16
 MAX_SYMBOL = 1 << 16
 
 
+#: Latin letters that NFC leaves as they are, and the marks that may follow them: two pre-tokens at most.
+_PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
+
+
+def _byte_letters() -> dict[int, str]:
+    """Byte-level BPE writes printable Latin-1 bytes as themselves and the others as code points from 256 on."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)}
+
+
 class Chunks(dict):
-    """A run of bytes without ASCII white space to its ids as uint16 bytes, up to ``limit`` runs.
+    """A run of bytes without ASCII white space to its ids as uint16 bytes.
 
-    The tokenizer drops white space and joins nothing across it, so a text's ids are those of its runs in a row.
+    The tokenizer drops white space and joins nothing across it, so a text's ids are those of its runs in a row. Runs
+    of plain letters and marks go to the merges directly, all others through the whole library. ``limit`` runs are
+    kept, and as many that were in use before these.
     """
 
     def __init__(self, tokenizer, limit: int = CACHE_ENTRIES):
         super().__init__()
-        self.encode, self.limit = tokenizer.encode, limit
+        self.encode, self.merge = tokenizer.encode, tokenizer.model.tokenize
+        self.limit, self.older, self.letters = limit, {}, _byte_letters()
+
+    def ids(self, chunk: bytes) -> list[int]:
+        text = chunk.decode("utf-8", "replace")
+        plain = _PLAIN.fullmatch(text)
+        if not plain:
+            return self.encode(text, add_special_tokens=False).ids
+        word, marks = plain.groups()
+        word = word.lower()
+        if not word.isascii():
+            word = word.encode().decode("latin-1").translate(self.letters)
+        out = [t.id for t in self.merge(word)]
+        return out + [t.id for t in self.merge(marks)] if marks else out
 
     def __missing__(self, chunk: bytes) -> bytes:
+        out = self.older.get(chunk)
+        if out is None:
+            out = array("H", self.ids(chunk)).tobytes()
         if len(self) >= self.limit:
+            self.older = dict(self)
             self.clear()
-        ids = self.encode(chunk.decode("utf-8", "replace"), add_special_tokens=False).ids
-        out = self[chunk] = np.array(ids, dtype="<u2").tobytes()
+        self[chunk] = out
         return out
 
 
-def _replace(symbols: np.ndarray, inner: np.ndarray, keys: np.ndarray, chosen: np.ndarray, first: int) -> tuple[np.ndarray, np.ndarray]:
+@functools.cache
+def _chunks(path: str) -> tuple[int, Chunks]:
+    """One tokenizer and one cache for all tasks of a worker process."""
+    tokenizer = load_tokenizer(path)
+    return tokenizer.get_vocab_size(), Chunks(tokenizer)
+
+
+def _replace(symbols: np.ndarray, inner: np.ndarray, chosen: np.ndarray, first: int) -> tuple[np.ndarray, np.ndarray]:
     """Replaces the chosen pairs from left to right, without overlap. inner[i]: symbol i + 1 is of the same document."""
-    has = np.zeros(MAX_SYMBOL, dtype=bool)
-    has[chosen >> 16] = True
-    at = np.flatnonzero(has[symbols[:-1]] & inner[:-1])
-    rule = np.minimum(np.searchsorted(chosen, keys[at]), len(chosen) - 1)
-    match = chosen[rule] == keys[at]
-    at, rule = at[match], rule[match]
+    a, b = chosen >> 16, chosen & 0xFFFF
+    row, column = np.zeros(MAX_SYMBOL, dtype=np.int32), np.zeros(MAX_SYMBOL, dtype=np.int32)
+    lefts, rights = np.unique(a), np.unique(b)
+    row[lefts], column[rights] = np.arange(1, len(lefts) + 1), np.arange(1, len(rights) + 1)
+    rules = np.zeros((len(lefts) + 1, len(rights) + 1), dtype=np.uint16)
+    rules[row[a], column[b]] = np.arange(1, len(chosen) + 1)
+    rule = rules.reshape(-1)[row[symbols[:-1]] * (len(rights) + 1) + column[symbols[1:]]]
+    at = np.flatnonzero((rule > 0) & inner[:-1])
+    rule = rule[at].astype(np.int64) - 1
     if not len(at):
         return symbols, inner
     new = np.empty(len(at), dtype=bool)
@@ -102,7 +144,7 @@ def compress(ids: np.ndarray, n_ids: np.ndarray, base: int) -> tuple[np.ndarray,
             break
         best = frequent[np.lexsort((ordered[edges[frequent]], -counts[frequent]))[:room]]
         chosen = np.sort(ordered[edges[best]])
-        symbols, inner = _replace(symbols, inner, keys, chosen, used)
+        symbols, inner = _replace(symbols, inner, chosen, used)
         a, b = (chosen >> 16).astype(np.uint16), (chosen & 0xFFFF).astype(np.uint16)
         left.append(a)
         right.append(b)
@@ -184,8 +226,7 @@ def _encode(path: str, doc_id: str, text: str) -> Callable[[Iterator], Iterator]
         import pyarrow as pa
         from pyspark import TaskContext
 
-        tokenizer = load_tokenizer(path)
-        base, chunks, end = tokenizer.get_vocab_size(), Chunks(tokenizer), np.array([END_ID], dtype="<u2").tobytes()
+        (base, chunks), end = _chunks(path), np.array([END_ID], dtype="<u2").tobytes()
         part, done = TaskContext.get().partitionId(), 0
         numbers: list[int | None] = []
         encoded: list[bytes] = []
