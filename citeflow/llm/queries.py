@@ -5,10 +5,14 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from citeflow.llm import decontaminate, token_counts, token_output
+from citeflow.llm import decontaminate, near_dedup, token_counts, token_output
 from citeflow.llm.common import table
 
 
+def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), size=2)
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -21,6 +25,6 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op2_token_counts, op4_token_output, op5_decontaminate)}
+QUERIES = {f.__name__: f for f in (op1_near_dedup, op2_token_counts, op4_token_output, op5_decontaminate)}
 
 ORACLE_SQL: dict[str, str] = {}
