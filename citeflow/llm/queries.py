@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from citeflow.llm import decontaminate, near_dedup, token_counts, token_output
+from citeflow.llm import decontaminate, langid, near_dedup, span_dedup, token_counts, token_output, topk
 from citeflow.llm.common import table
 
 
@@ -25,6 +25,18 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_near_dedup, op2_token_counts, op4_token_output, op5_decontaminate)}
+def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), "id % 50 = 0")
+
+
+def op7_span_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return span_dedup.repeated_spans(table(spark, sf_dir, "documents"))
+
+
+def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.languages(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_near_dedup, op2_token_counts, op4_token_output, op5_decontaminate, op6_topk, op7_span_dedup, op8_langid)}
 
 ORACLE_SQL: dict[str, str] = {}
