@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from citeflow.llm import decontaminate, langid, near_dedup, span_dedup, token_counts, token_output, topk
+from citeflow.llm import decontaminate, langid, near_dedup, pii, span_dedup, token_counts, token_output, topk
 from citeflow.llm.common import table
 
 
@@ -17,6 +17,10 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(table(spark, sf_dir, "documents"))
+
+
 def op4_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.token_output(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -37,6 +41,6 @@ def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.languages(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_near_dedup, op2_token_counts, op4_token_output, op5_decontaminate, op6_topk, op7_span_dedup, op8_langid)}
+QUERIES = {f.__name__: f for f in (op1_near_dedup, op2_token_counts, op3_pii, op4_token_output, op5_decontaminate, op6_topk, op7_span_dedup, op8_langid)}
 
 ORACLE_SQL: dict[str, str] = {}
