@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from citeflow.llm import decontaminate, langid, near_dedup, pii, span_dedup, token_counts, token_output, topk
+from citeflow.llm import decontaminate, gru_lm, langid, mixing, near_dedup, oracles, pii, span_dedup, token_counts, token_output, topk
 from citeflow.llm.common import table
 
 
@@ -41,6 +41,14 @@ def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.languages(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_near_dedup, op2_token_counts, op3_pii, op4_token_output, op5_decontaminate, op6_topk, op7_span_dedup, op8_langid)}
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.probabilities(table(spark, sf_dir, "documents"))
 
-ORACLE_SQL: dict[str, str] = {}
+
+def op10_gru_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gru_lm.scores(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_near_dedup, op2_token_counts, op3_pii, op4_token_output, op5_decontaminate, op6_topk, op7_span_dedup, op8_langid, op9_mixing, op10_gru_lm)}
+
+ORACLE_SQL = {"op5_decontaminate": oracles.OP5, "op6_topk": oracles.OP6, "op9_mixing": oracles.op9()}
