@@ -5,8 +5,9 @@ dimension after the other they are scaled so that the dimension's values get the
 over. A document is then drawn with the probability that its cell's weight over its cell's tokens asks for, scaled so
 that the largest is 1: in expectation the sample has the raked shares. A draw depends on the id alone.
 
-Everything is DataFrame expressions. Cells come from map-side sums; a dimension's sums meet the cells in joins. The
-cells are a written table, so Spark knows their size and broadcasts them to the documents only below its threshold.
+Everything is DataFrame expressions. Cells come from map-side sums over the documents; only cells, never documents,
+are then summed up by a dimension's values. The fitted cells are a written table, so Spark knows their size and
+broadcasts them to the documents only below its threshold.
 
 Without given targets, a value's target share follows its tokens to the power ``POWER``, which lifts small values. A
 topic is the kind of content: tables, texts with figures, or prose.
@@ -19,7 +20,7 @@ none; further columns are kept when rows are returned and ignored otherwise.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from citeflow.llm.common import cut, shared_path
@@ -60,12 +61,14 @@ def fit(labelled: DataFrame, wanted: dict[str, dict[str, float]] | None = None,
     cells = cut(labelled.groupBy(*DIMENSIONS).agg(F.sum("__tokens").alias("tokens")))
     targets = {d: cut(_targets(cells, d, wanted.get(d.strip("_")))) for d in DIMENSIONS}
     raked = cells.withColumn("weight", F.col("tokens").cast("double"))
+    for d in DIMENSIONS:
+        raked = raked.join(targets[d].withColumnRenamed("target", f"{d}_target"), d)
+    raked = cut(raked)
     for _ in range(rounds):
         for d in DIMENSIONS:
-            now = raked.groupBy(d).agg(F.sum("weight").alias("now")).join(targets[d], d)
-            scale = F.when(F.col("now") > 0, F.col("target") / F.col("now")).otherwise(0.0)
-            raked = raked.join(now.select(d, scale.alias("scale")), d).withColumn("weight", F.col("weight") * F.col("scale")).drop("scale")
-        raked = cut(raked)
+            now = F.sum("weight").over(Window.partitionBy(d))
+            raked = raked.withColumn("now", now).withColumn("weight", F.expr(f"CASE WHEN now > 0 THEN weight * ({d}_target / now) ELSE 0 END"))
+        raked = cut(raked.drop("now"))
     ratio = F.when(F.col("tokens") > 0, F.col("weight") / F.col("tokens"))
     largest = raked.agg(F.max(ratio)).first()[0]
     path = shared_path(spark, "mix-cells")
