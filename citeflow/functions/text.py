@@ -63,7 +63,7 @@ def repair_groups(token: Column) -> Column:
     def content(x: Column) -> Column:
         return ~x.rlike("^[.\\- ]*$")
 
-    last = F.aggregate(F.transform(groups, lambda x, i: F.when(content(x), i).otherwise(-1)), F.lit(-1), F.greatest)
+    last = F.aggregate(F.transform(groups, lambda x, i: F.when(content(x), i).otherwise(-1)), F.lit(-1), lambda a, b: F.greatest(a, b))
     fixed = F.transform(groups, lambda x, i: F.when(content(x) & (x.rlike("[0-9]") | ((F.length(x) == 1) & (i != last))), F.translate(x, MISREAD, DIGITS)).otherwise(x))
     return F.when(token.rlike("[0-9]"), F.array_join(fixed, "")).otherwise(token)
 

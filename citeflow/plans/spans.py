@@ -109,10 +109,16 @@ def submission_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_cells(submission_cells(spark, sf_dir)).select("doc_id", "start", "end", "verdict", "confidence")
 
 
-@query("""
-WITH e AS (SELECT user_id AS doc_id, event_id AS id, CAST(epoch(ts) AS BIGINT) % 5000 AS start, CAST(epoch(ts) AS BIGINT) % 5000 + 400 + event_id % 300 AS "end" FROM events)
-SELECT a.doc_id, a.id AS a_id, b.id AS b_id, round((least(a."end", b."end") - greatest(a.start, b.start)) / CAST((a."end" - a.start) + (b."end" - b.start) - (least(a."end", b."end") - greatest(a.start, b.start)) AS DOUBLE), 6) AS iou
-FROM e AS a JOIN e AS b ON a.doc_id = b.doc_id AND a.id < b.id AND a.start < b."end" AND b.start < a."end"
+_EVENTS = """e AS (SELECT user_id AS doc_id, event_id AS id, event_type, CAST(floor(epoch(ts)) AS BIGINT) % 5000 AS start, CAST(floor(epoch(ts)) AS BIGINT) % 5000 + 400 + event_id % 300 AS "end" FROM events),
+g AS (SELECT * FROM e WHERE id % 2 = 0), p AS (SELECT * FROM e WHERE id % 2 = 1)"""
+
+
+@query(f"""
+WITH {_EVENTS}, c AS (
+  SELECT a.doc_id, a.id AS a_id, b.id AS b_id, least(a."end", b."end") - greatest(a.start, b.start) AS c, (a."end" - a.start) + (b."end" - b.start) AS s
+  FROM e AS a JOIN e AS b ON a.doc_id = b.doc_id AND a.id < b.id AND a.start < b."end" AND b.start < a."end"
+)
+SELECT doc_id, a_id, b_id, round(c / CAST(s - c AS DOUBLE), 6) AS iou FROM c
 """)
 def iou_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = _intervals(spark, sf_dir)
@@ -128,10 +134,6 @@ def _intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select(F.col("user_id").alias("doc_id"), F.col("event_id").alias("id"), at.alias("start"), (at + 400 + F.col("event_id") % 300).alias("end"), "event_type")
 
 
-_EVENTS = """e AS (SELECT user_id AS doc_id, event_id AS id, event_type, CAST(floor(epoch(ts)) AS BIGINT) % 5000 AS start, CAST(floor(epoch(ts)) AS BIGINT) % 5000 + 400 + event_id % 300 AS "end" FROM events),
-g AS (SELECT * FROM e WHERE id % 2 = 0), p AS (SELECT * FROM e WHERE id % 2 = 1)"""
-
-
 @query(f"""
 WITH {_EVENTS}
 SELECT p.doc_id, p.id FROM p WHERE NOT EXISTS (SELECT 1 FROM g WHERE g.doc_id = p.doc_id AND p.start < g."end" AND g.start < p."end")
@@ -167,9 +169,10 @@ def greedy_match(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(_greedy("g_start, -iou, p_start, gold_id, found_id") + """
 , a AS (SELECT doc_id, id, event_type AS label FROM g), b AS (SELECT doc_id, id, event_type AS label FROM p)
-SELECT coalesce(a.doc_id, b.doc_id) AS doc_id, CASE WHEN a.id IS NULL THEN 'appeared' WHEN b.id IS NULL THEN 'gone' WHEN a.label = b.label THEN 'same' ELSE 'changed' END AS change, a.id AS a_id, b.id AS b_id
+SELECT coalesce(a.doc_id, b.doc_id) AS doc_id, CASE WHEN a.id IS NULL THEN 'appeared' WHEN b.id IS NULL THEN 'gone' WHEN a.label = b.label THEN 'same' ELSE 'changed' END AS change, coalesce(CAST(a.id AS VARCHAR), '-') AS a_id, coalesce(CAST(b.id AS VARCHAR), '-') AS b_id
 FROM a LEFT JOIN m ON a.id = m.gold_id FULL JOIN b ON m.found_id = b.id
 """)
 def run_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = _intervals(spark, sf_dir).withColumn("label", F.col("event_type")).withColumn("target", F.lit(None).cast("string"))
-    return overlap.run_difference(e.where("id % 2 = 0"), e.where("id % 2 = 1"))
+    found = overlap.run_difference(e.where("id % 2 = 0"), e.where("id % 2 = 1"))
+    return found.select("doc_id", "change", *(F.coalesce(F.col(c).cast("string"), F.lit("-")).alias(c) for c in ("a_id", "b_id")))
