@@ -31,7 +31,7 @@ def same_family(a: Column, b: Column) -> Column:
     return (a == b) | shared
 
 
-def mention_key(m: Column | None = None) -> Column:
+def mention_key() -> Column:
     """What a mention is looked up by; null if its form or fields allow no lookup."""
     number, law, article = _stated(F.col("number")), _stated(F.col("law_key")), _stated(F.col("article"))
     return (

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from citeflow.dims import HEADER_LABEL
+
 _OPEN, _CLOSE, _FREE = "\x01", "\x02", "\x03"
 
 
@@ -53,9 +55,11 @@ def multi_spans(docs: DataFrame, keys: list[str], text: str, patterns: dict[str,
     return out
 
 
-def header_end(text: str) -> Column:
+def header_end(text: str, labels: bool = False) -> Column:
     """Where the running text begins: after all first lines that are blank, all capitals, or short without small letters.
 
+    With ``labels``, lines that begin with a header's label count as well.
+
     A text of header lines only ends where it ends; an empty one at 0.
     """
     lines = F.split(F.col(text), "(?<=\n)", -1)
@@ -65,7 +69,8 @@ def header_end(text: str) -> Column:
         bare = F.trim(F.regexp_replace(line, "[\\r\\n\\t]", " "))
         letters = F.length(F.regexp_replace(bare, "[^\\p{L}]", ""))
         capitals = (letters >= 3) & ~bare.rlike("\\p{Ll}") & (F.length(bare) <= 120)
-        return (bare == "") | capitals | ((F.length(bare) <= 40) & ~bare.rlike("\\p{Ll}"))
+        labelled = bare.rlike(HEADER_LABEL) if labels else F.lit(False)
+        return (bare == "") | labelled | capitals | ((F.length(bare) <= 40) & ~bare.rlike("\\p{Ll}"))
 
     def step(a: Column, line: Column) -> Column:
         more = ~a["body"] & heads(line)
