@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from citeflow.llm.common import cut, shared_path
 
 ROUNDS = 8
-POWER = 0.5
+POWER = 0.8
 DIMENSIONS = ("__source", "__lang", "__topic")
 NONE = "(none)"
 
