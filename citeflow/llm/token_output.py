@@ -32,7 +32,7 @@ from citeflow.llm.token_counts import load_tokenizer
 
 END_ID = 2
 SHARD_IDS = 1 << 20
-CACHE_ENTRIES = 500_000
+CACHE_ENTRIES = 600_000
 ROUNDS = 4
 PAIRS_PER_ROUND = 2048
 LEAST_COUNT = 16
@@ -62,6 +62,7 @@ class Chunks(dict):
         super().__init__()
         self.encode, self.merge = tokenizer.encode, tokenizer.model.tokenize
         self.limit, self.older, self.letters = limit, {}, _byte_letters()
+        self.marks = functools.lru_cache(4096)(lambda marks: [t.id for t in self.merge(marks)])
 
     def ids(self, chunk: bytes) -> list[int]:
         text = chunk.decode("utf-8", "replace")
@@ -73,7 +74,7 @@ class Chunks(dict):
         if not word.isascii():
             word = word.encode().decode("latin-1").translate(self.letters)
         out = [t.id for t in self.merge(word)]
-        return out + [t.id for t in self.merge(marks)] if marks else out
+        return out + self.marks(marks) if marks else out
 
     def __missing__(self, chunk: bytes) -> bytes:
         out = self.older.get(chunk)
@@ -200,8 +201,14 @@ class Shard:
 
     def ids(self, k: int) -> np.ndarray:
         """The ids of the shard's k-th document."""
+        return self._expanded(self.symbols[self.first[k] : self.first[k + 1]])
+
+    def all_ids(self) -> np.ndarray:
+        """The ids of all documents of the shard, end to end."""
+        return self._expanded(self.symbols)
+
+    def _expanded(self, symbols: np.ndarray) -> np.ndarray:
         flat, begin = self._expansions()
-        symbols = self.symbols[self.first[k] : self.first[k + 1]]
         sizes = self.length[symbols]
         jump = np.repeat(begin[symbols] - (np.cumsum(sizes) - sizes), sizes)
         return flat[jump + np.arange(len(jump))]
@@ -271,9 +278,11 @@ def _digest(batches: Iterator) -> Iterator:
     for batch in batches:
         for start, blob in zip(batch.column("start").to_pylist(), batch.column("shard").to_pylist(), strict=True):
             shard = Shard(blob)
-            crc = [zlib.crc32(shard.ids(k).astype("<u4").tobytes()) for k in range(len(shard.doc_ids))]
             sizes = shard.n_ids.astype(np.int64)
-            starts = start + np.cumsum(sizes) - sizes
+            ends = np.cumsum(sizes)
+            every = memoryview(shard.all_ids().astype("<u4")).cast("B")
+            crc = [zlib.crc32(every[4 * a : 4 * b]) for a, b in zip((ends - sizes).tolist(), ends.tolist(), strict=True)]
+            starts = start + ends - sizes
             yield pa.RecordBatch.from_arrays(
                 [pa.array(shard.doc_ids, pa.int64()), pa.array(starts, pa.int64()), pa.array(sizes, pa.int64()), pa.array(crc, pa.int64())],
                 names=["doc_id", "start", "n_tokens", "ids_crc32"],
