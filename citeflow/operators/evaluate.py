@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from citeflow.operators.decide import class_of
@@ -15,6 +15,13 @@ def confusion(pairs: DataFrame) -> DataFrame:
     return pairs.groupBy(gold.alias("gold_class"), found.alias("found_class")).agg(F.count("*").alias("n"))
 
 
+def first_errors(pairs: DataFrame, most: int = 40, by: str = "doc_id") -> DataFrame:
+    """The first ``most`` errors of each kind, numbered by k: a ranking with a limit, so no kind is ever listed whole."""
+    wrong = pairs.where(~F.col("gold_class").eqNullSafe(F.col("found_class")))
+    order = Window.partitionBy("gold_class", "found_class").orderBy(by)
+    return wrong.withColumn("k", F.row_number().over(order)).where(F.col("k") <= most)
+
+
 def _n(condition: Column) -> Column:
     return F.sum(F.coalesce(condition.cast("long"), F.lit(0)))
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citeflow.operators import evaluate, splits
@@ -101,9 +101,7 @@ def confidence_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT doc_id, gold_class, found_class, CAST(k AS INTEGER) AS k FROM e WHERE k <= 40""")
 def topk_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first 40 errors of each kind, as the error report lists them."""
-    order = Window.partitionBy("gold_class", "found_class").orderBy("doc_id")
-    wrong = _pairs(spark, sf_dir).where(F.col("gold_class") != F.col("found_class"))
-    return wrong.withColumn("k", F.row_number().over(order)).where("k <= 40").select("doc_id", "gold_class", "found_class", "k")
+    return evaluate.first_errors(_pairs(spark, sf_dir)).select("doc_id", "gold_class", "found_class", "k")
 
 
 _KEYED = "(((doc_id % 1000003) + 3) * 48271) % 2147483647 % 2147483647"
