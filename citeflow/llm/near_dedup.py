@@ -269,13 +269,16 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, doc_id: s
 
     firsts = with_set.groupBy("digest").agg(F.min("doc_id").alias("node"))
     classes = cut(with_set.select("doc_id", "digest").join(cut(firsts), "digest").select("doc_id", "node", "digest").distinct())
-    nodes = with_set.select(F.col("doc_id").alias("node"), F.col("n_shingles").alias("n"), "registers", "few", "bands", "digest")
-    nodes = nodes.join(classes.where("doc_id = node").select("node", "digest").distinct(), ["node", "digest"], "left_semi").dropDuplicates(["node", "digest"])
-    nodes = cut(nodes.select("node", "n", "registers", "few", "bands"))
+    own = with_set.withColumnsRenamed({"doc_id": "node", "n_shingles": "n"})
+    holders = classes.where("doc_id = node").select("node", "digest").distinct()
 
-    banded = nodes.select("node", F.posexplode("bands").alias("band", "key"))
+    slim = own.select("node", "digest", "bands").join(holders, ["node", "digest"], "left_semi").dropDuplicates(["node", "digest"])
+    banded = cut(slim.select("node", "bands")).select("node", F.posexplode("bands").alias("band", "key"))
     shared = banded.groupBy("band", "key").agg(F.min("node").alias("first"), F.max("node").alias("last")).where("first < last").drop("last")
     grouped = cut(banded.join(cut(shared), ["band", "key"]).select("band", "key", "node", "first"))
+    met = holders.join(grouped.select("node").distinct(), "node", "left_semi")
+    nodes = own.join(met, ["node", "digest"], "left_semi").dropDuplicates(["node", "digest"])
+    nodes = cut(nodes.select("node", "n", "registers", "few", "bands"))
     confirm = _Confirm(nodes, docs, size, percent)
     star = grouped.where("first < node").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
     links = confirm.linked(confirm.estimated(star)).unionAll(classes.where("doc_id > node").select(F.col("node").alias("a"), F.col("doc_id").alias("b")))
