@@ -22,7 +22,11 @@ def _base_dir(spark: SparkSession) -> str:
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A fresh path for a written table in the folder that driver and executors share."""
+    """A fresh path for a written table in the folder that driver and executors share.
+
+    A result that is read lazily needs its tables as long as it lives, so they stay, like checkpoints that are not
+    cleaned; whoever owns the folder clears it.
+    """
     return f"{_base_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
@@ -32,12 +36,6 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def drop_path(spark: SparkSession, path: str) -> None:
-    """Remove a table of ours through the file system that holds it."""
-    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop_path, True)
-
-
 def crc_bucket(id_column: str, modulus: int) -> Column:
     """crc32 of the id written as text, modulo ``modulus``."""
     return F.crc32(F.col(id_column).cast("string").cast("binary")) % modulus
