@@ -108,10 +108,15 @@ FILL = r"(?:(?!\.\s+(?-i:[A-ZÁÉÍÓÚÂÊÔÃÕÇ]))[^;0-9\n])"
 HEADER_LABEL = r"(?iu)^(?:processo|autos|protocolo|memorial|of[ií]cio|valor\s+da\s+causa|impetrante|paciente|apelante|apelado|agravante|agravado|assistido|autoridade|relator|reclamante|reclamada|recorrente|recorrido|autor|r[eé])\b|\bOAB\s*/"
 
 
+def class_names() -> dict[str, list[str]]:
+    """Each class with its patterns, white space in them of any kind."""
+    return {name: [p.replace(" ", r"\s+") for p in patterns] for name, patterns in CLASSES.items()}
+
+
 def class_aliases() -> list[tuple[str, str]]:
     """(pattern, class), longest pattern first."""
-    pairs = [(p, name) for name, patterns in CLASSES.items() for p in patterns]
-    return [(p.replace(" ", r"\s+"), name) for p, name in sorted(pairs, key=lambda x: -len(x[0]))]
+    pairs = [(p, name) for name, patterns in class_names().items() for p in patterns]
+    return sorted(pairs, key=lambda x: -len(x[0]))
 
 
 def class_pattern() -> str:
