@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from citeflow.functions.intervals import iou
 from citeflow.functions.text import epoch_seconds
-from citeflow.operators import overlap, spans
+from citeflow.operators import overlap, spans, tagger
 from citeflow.plans.catalog import query, table
 from citeflow.sources.readers import parse_cells
 from citeflow.sources.sinks import cells, violations
@@ -176,3 +176,37 @@ def run_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = _intervals(spark, sf_dir).withColumn("label", F.col("event_type")).withColumn("target", F.lit(None).cast("string"))
     found = overlap.run_difference(e.where("id % 2 = 0"), e.where("id % 2 = 1"))
     return found.select("doc_id", "change", *(F.coalesce(F.col(c).cast("string"), F.lit("-")).alias(c) for c in ("a_id", "b_id")))
+
+
+@query(f"""
+WITH {_EVENTS}
+SELECT g.doc_id, g.start, g."end", bool_or(coalesce(p.start < g."end" AND g.start < p."end", false)) AS touched,
+       bool_or(coalesce(p.start < g."end" AND g.start < p."end" AND 2 * (least(g."end", p."end") - greatest(g.start, p.start)) >= (g."end" - g.start) + (p."end" - p.start) - (least(g."end", p."end") - greatest(g.start, p.start)), false)) AS half
+FROM g LEFT JOIN p ON g.doc_id = p.doc_id GROUP BY g.doc_id, g.start, g."end"
+""")
+def span_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = _intervals(spark, sf_dir)
+    return tagger.recall(e.where("id % 2 = 0"), e.where("id % 2 = 1"))
+
+
+@query(f"""
+WITH {_EVENTS}
+SELECT DISTINCT p.doc_id, p.id FROM p JOIN g ON g.doc_id = p.doc_id WHERE 10 * greatest(least(g."end", p."end") - greatest(g.start, p.start), 0) >= 9 * (p."end" - p.start)
+""")
+def forgiven_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = _intervals(spark, sf_dir).select("doc_id", "id", "start", "end")
+    return tagger.forgiven(e.where("id % 2 = 0"), e.where("id % 2 = 1")).select("doc_id", "id")
+
+
+@query(f"""
+WITH {_EVENTS}, k AS (SELECT * FROM p WHERE id % 10 <> 1 AND NOT EXISTS (SELECT 1 FROM e AS i WHERE i.id % 10 = 1 AND i.doc_id = p.doc_id AND p.start < i."end" AND i.start < p."end")),
+m AS (SELECT g.event_type AS label, g.doc_id, g.start AS gs, g."end" AS ge, k.start AS ps, k."end" AS pe FROM g JOIN k ON g.doc_id = k.doc_id AND g.event_type = k.event_type AND g.start < k."end" AND k.start < g."end"
+  AND 2 * (least(g."end", k."end") - greatest(g.start, k.start)) >= (g."end" - g.start) + (k."end" - k.start) - (least(g."end", k."end") - greatest(g.start, k.start)))
+SELECT l.label, (SELECT count(*) FROM g WHERE event_type = l.label) AS gold, (SELECT count(DISTINCT (doc_id, gs, ge)) FROM m WHERE m.label = l.label) AS matched,
+       (SELECT count(*) FROM k WHERE event_type = l.label) AS predicted, (SELECT count(DISTINCT (doc_id, ps, pe)) FROM m WHERE m.label = l.label) AS correct
+FROM (SELECT DISTINCT event_type AS label FROM e) AS l
+""")
+def tag_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = _intervals(spark, sf_dir).withColumn("label", F.col("event_type"))
+    ignored = e.where("id % 10 = 1")
+    return tagger.tag_counts(e.where("id % 2 = 0"), e.where("id % 2 = 1 AND id % 10 <> 1"), ignored)
