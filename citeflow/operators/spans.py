@@ -46,13 +46,20 @@ def regexp_spans(docs: DataFrame, keys: list[str], text: str, pattern: str, many
     return rows.withColumn("end", ends).where("snippet IS NOT NULL AND size > 0").select(*keys, (F.col("end") - F.col("size")).alias("start"), "end", "snippet")
 
 
+def all_matches(text: str, patterns: dict[str, str]) -> Column:
+    """array<struct<start, end, snippet, form>> of several forms, in one pass over the text."""
+    none = F.expr("CAST(array() AS array<struct<start: int, end: int, snippet: string, form: string>>)")
+
+    def of(form: str, pattern: str) -> Column:
+        named = F.transform(matches(text, pattern), lambda m: F.struct(m["start"].alias("start"), m["end"].alias("end"), m["snippet"].alias("snippet"), F.lit(form).alias("form")))
+        return F.when(F.col(text).rlike(pattern), named).otherwise(none)
+
+    return F.concat(*(of(form, pattern) for form, pattern in patterns.items()))
+
+
 def multi_spans(docs: DataFrame, keys: list[str], text: str, patterns: dict[str, str]) -> DataFrame:
-    """The union of several forms' spans, with the form's name."""
-    out: DataFrame | None = None
-    for form, pattern in patterns.items():
-        own = regexp_spans(docs, keys, text, pattern).withColumn("form", F.lit(form))
-        out = own if out is None else out.unionByName(own)
-    return out
+    """Several forms' spans, with the form's name; the documents are read once."""
+    return docs.select(*keys, F.inline(all_matches(text, patterns))).where(F.col("end") > F.col("start"))
 
 
 def header_end(text: str, labels: bool = False) -> Column:

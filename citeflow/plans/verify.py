@@ -10,7 +10,7 @@ from citeflow.operators.decide import decide
 from citeflow.operators.fields import read_fields
 from citeflow.operators.normalise import body_in_norm, original_end, original_start, with_norm
 from citeflow.operators.patterns import forms
-from citeflow.operators.spans import header_end, matches
+from citeflow.operators.spans import all_matches, header_end
 
 
 def prepare(docs: DataFrame) -> DataFrame:
@@ -21,11 +21,8 @@ def prepare(docs: DataFrame) -> DataFrame:
 def extract(prepared: DataFrame, with_vague: bool = False) -> DataFrame:
     """Mentions of the running text: doc_id, start, end (original), form, origins, snippet."""
     rows = prepared.withColumn("__at", body_in_norm(F.col("body_start"))).withColumn("__body", F.expr("substring(norm, __at + 1)"))
-    found: DataFrame | None = None
-    for form, pattern in forms(with_vague).items():
-        own = rows.where(F.col("__body").rlike(pattern)).select("doc_id", "text", "map", "body_start", "__at", F.inline(matches("__body", pattern)))
-        own = own.select("doc_id", "text", "body_start", original_start(F.col("start") + F.col("__at")).alias("start"), original_end(F.col("end") + F.col("__at")).alias("end"), F.lit(form).alias("form"))
-        found = own if found is None else found.unionByName(own)
+    found = rows.select("doc_id", "map", "body_start", "__at", F.inline(all_matches("__body", forms(with_vague))))
+    found = found.select("doc_id", "body_start", original_start(F.col("start") + F.col("__at")).alias("start"), original_end(F.col("end") + F.col("__at")).alias("end"), "form")
     kept = found.where((F.col("start") >= F.col("body_start")) & (F.col("end") > F.col("start")))
     spans = kept.select("doc_id", "start", "end", "form", F.array(F.lit("regex")).alias("origins"))
     resolved = overlap.resolve_overlaps(spans)
