@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,6 +42,13 @@ def crc_bucket(id_column: str, modulus: int) -> Column:
     return F.crc32(F.col(id_column).cast("string").cast("binary")) % modulus
 
 
+def slices(batches: Iterable, rows: int = 1024) -> Iterator:
+    """Arrow batches cut into views of at most ``rows`` rows, so that what Python makes of one stays small."""
+    for batch in batches:
+        for k in range(0, batch.num_rows, rows):
+            yield batch.slice(k, rows)
+
+
 def texts(batch_column) -> list:
     """The UTF-8 bytes of an Arrow string column, with b"" for null."""
     import pyarrow as pa

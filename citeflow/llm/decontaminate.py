@@ -21,7 +21,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from citeflow.llm.common import texts
+from citeflow.llm.common import slices, texts
 
 WINDOW = 13
 BLOCK_BYTES = 16 << 20
@@ -129,7 +129,7 @@ def _scan(block: Block, keep: list[str], text: str) -> Callable[[Iterator], Iter
         import pyarrow as pa
 
         kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
-        for batch in batches:
+        for batch in slices(batches):
             get, own = block.vocabulary.get, texts(batch.column(text))
             counts, found, items = [], [], []
             shard: list[np.ndarray] = []

@@ -20,7 +20,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from citeflow.llm.common import crc_bucket, texts
+from citeflow.llm.common import crc_bucket, slices, texts
 
 FEATURES = 1 << 15
 SAMPLE = 4096
@@ -60,7 +60,7 @@ def _frequencies(batches: Iterator) -> Iterator:
     import pyarrow as pa
 
     total, seen = np.zeros(FEATURES, dtype=np.int64), np.zeros(FEATURES, dtype=np.int64)
-    for batch in batches:
+    for batch in slices(batches):
         for x in texts(batch.column("text")):
             text = x.decode("utf-8", "replace")
             if _has_letter(text):
@@ -180,7 +180,7 @@ def _predict(model: Model, keep: list[str], text: str) -> Callable[[Iterator], I
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        for batch in batches:
+        for batch in slices(batches):
             out = [model.predict(x.decode("utf-8", "replace")) for x in texts(batch.column(text))]
             lang, score = ([r[k] for r in out] for k in range(2))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(lang, pa.string()), pa.array(score, pa.float64())], names=[*keep, "__lang", "__score"])

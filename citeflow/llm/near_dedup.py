@@ -29,7 +29,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from citeflow.llm.common import cut, shared_path, texts
+from citeflow.llm.common import cut, shared_path, slices, texts
 from citeflow.llm.components import components
 
 BUCKET_BITS = 9
@@ -122,7 +122,7 @@ def _sketch(size: int) -> Callable[[Iterator], Iterator]:
         import pyarrow as pa
 
         shingle = Shingler(size)
-        for batch in batches:
+        for batch in slices(batches):
             rows = []
             for x in texts(batch.column("text")):
                 s = shingle(x)
@@ -145,7 +145,7 @@ def _sets(size: int) -> Callable[[Iterator], Iterator]:
         import pyarrow as pa
 
         shingle = Shingler(size)
-        for batch in batches:
+        for batch in slices(batches):
             own = [shingle(x).view(np.int64) for x in texts(batch.column("text"))]
             yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(own, pa.list_(pa.int64()))], names=["node", "shingles"])
 

@@ -19,7 +19,7 @@ from collections.abc import Callable, Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from citeflow.llm.common import texts
+from citeflow.llm.common import slices, texts
 
 CACHE_ENTRIES = 300_000
 OVER_LIMIT = 1024
@@ -88,7 +88,7 @@ def _count(path: str, keep: list[str], text: str) -> Callable[[Iterator], Iterat
         import pyarrow as pa
 
         counter = Counter(path)
-        for batch in batches:
+        for batch in slices(batches):
             own = texts(batch.column(text))
             tokens = [counter.count(x.decode("utf-8", "replace")) if x else 0 for x in own]
             yield pa.RecordBatch.from_arrays(

@@ -27,12 +27,12 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citeflow.llm.common import shared_path, texts
+from citeflow.llm.common import shared_path, slices, texts
 from citeflow.llm.token_counts import load_tokenizer
 
 END_ID = 2
 SHARD_IDS = 1 << 20
-CACHE_ENTRIES = 600_000
+CACHE_ENTRIES = 500_000
 ROUNDS = 4
 PAIRS_PER_ROUND = 2048
 LEAST_COUNT = 16
@@ -251,7 +251,7 @@ def _encode(path: str, doc_id: str, text: str) -> Callable[[Iterator], Iterator]
             return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(row, kinds, strict=True)], names=["part", "part_start", "n_docs", "n_ids", "shard"])
 
         ids_of = chunks.__getitem__
-        for batch in batches:
+        for batch in slices(batches):
             for number, x in zip(batch.column(doc_id).to_pylist(), texts(batch.column(text)), strict=True):
                 numbers.append(number)
                 encoded.append(b"".join(map(ids_of, x.split())) + end)
