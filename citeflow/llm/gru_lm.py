@@ -1,13 +1,15 @@
 """Language-model scores: a gated recurrent network in numpy with a class-factored softmax.
 
-Counts of all training words are gathered by Spark. The ``WORDS`` most frequent ones (the document end always among
-them) form classes of ``PER_CLASS`` words; all other words are one more class, in which a word's share is its
+Counts of all training words are gathered by Spark. The most frequent ones (the document end always among them), one
+for every ``TYPES_PER_WORD`` types seen, ``WORDS`` at least and ``HEAD`` at most, form classes of about the square root of
+their number; all other words are one more class, in which a word's share is its
 add-one count. P(word) is P(class | state) times P(word | class, state). The network reads a document word by word;
 its state starts at zero with the document and is carried across all windows to its end, so a score is that of the
 whole text. The output biases start from the counts, so that the untrained network is the add-one unigram model. Training
-is truncated backpropagation: every task trains on its share of the sampled documents, starting
-from common weights, and the weights are averaged, weighted by tokens, after each of ``ROUNDS`` rounds; the sample is
-a fixed share of the training documents and grows with them.
+is truncated backpropagation in one pass over all training documents, dealt by a hash to ``ROUNDS`` rounds. A round's
+documents are dealt evenly to learners that start from common weights; their weights are averaged, weighted by tokens,
+after it. The number of learners is that of the square root of the tokens, whatever the input's splits: both the learners
+and the steps that each one takes grow with the corpus.
 
 Counts of the at most ``HEAD`` most frequent words go to the tasks; rarer words meet their counts in a join.
 
@@ -17,6 +19,7 @@ null doc_id are held out; without training documents nothing is known and N and
 
 from __future__ import annotations
 
+import copy
 import math
 from collections import Counter
 from collections.abc import Callable, Iterator
@@ -26,15 +29,18 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from citeflow.llm.common import crc_bucket, cut, shared_path, texts
+from citeflow.llm.common import crc_bucket, cut, shared_path, slices, texts
 
 HEAD = 200_000
 WORDS = 992
 PER_CLASS = 32
+TYPES_PER_WORD = 64
 WIDTH, HIDDEN = 16, 24
-SHARE = 32
-ROUNDS = 2
-WINDOW, STREAMS = 24, 32
+ROUNDS = 4
+LEARNER_TOKENS = 1 << 18
+GATHER_TOKENS = 2_000_000
+CHUNK = 16_384
+WINDOW, STREAMS = 24, 128
 RATE = 0.01
 FLUSH_WORDS = 300_000
 END = b""
@@ -88,26 +94,33 @@ class Vocabulary:
         self.tokens, self.types = tokens, types
         self.count = dict(head)
         ends = [w for w in head if w[0] == END]
-        chosen = sorted((ends + [w for w in head if w[0] != END])[:WORDS], key=lambda x: (-x[1], x[0]))
+        chosen = sorted((ends + [w for w in head if w[0] != END])[: max(WORDS, types // TYPES_PER_WORD)], key=lambda x: (-x[1], x[0]))
+        self.per_class = max(PER_CLASS, math.isqrt(len(chosen)))
         self.index = {w: k for k, (w, _) in enumerate(chosen)}
-        self.classes = max(1, math.ceil(len(chosen) / PER_CLASS))
+        self.classes = max(1, math.ceil(len(chosen) / self.per_class))
         self.rare_class = self.classes
         self.rare = len(chosen)
         self.rare_tokens = tokens - sum(n for _, n in chosen)
         self.rare_types = types - len(chosen)
-        n = np.zeros(self.classes * PER_CLASS)
+        n = np.zeros(self.classes * self.per_class)
         n[: len(chosen)] = [c + 1 for _, c in chosen]
-        n = n.reshape(-1, PER_CLASS)
+        n = n.reshape(-1, self.per_class)
         by_class = np.append(n.sum(axis=1), self.rare_tokens + self.rare_types + 1.0)
         self.class_bias = np.log(np.maximum(by_class, 1e-6) / by_class.sum()).astype(np.float32)
         inner = np.log(np.maximum(n, 1e-12) / np.maximum(n.sum(axis=1, keepdims=True), 1e-12))
         self.word_bias = np.where(n > 0, inner, -1e4).astype(np.float32)
 
+    def without_words(self) -> Vocabulary:
+        """What learning on ids needs."""
+        out = copy.copy(self)
+        out.index, out.count = {}, {}
+        return out
+
     def rare_norm(self) -> float:
         return math.log10(self.rare_tokens + self.rare_types + 1)
 
     def class_of(self, ids: np.ndarray) -> np.ndarray:
-        return np.where(ids == self.rare, self.rare_class, ids // PER_CLASS)
+        return np.where(ids == self.rare, self.rare_class, ids // self.per_class)
 
 
 def initial(v: Vocabulary) -> dict[str, np.ndarray]:
@@ -123,7 +136,7 @@ def initial(v: Vocabulary) -> dict[str, np.ndarray]:
         "over": matrix(HIDDEN, 3 * HIDDEN, scale=0.2),
         "class_w": np.zeros((HIDDEN, v.classes + 1), dtype=np.float32),
         "class_b": v.class_bias.copy(),
-        "word_w": np.zeros((v.classes, HIDDEN, PER_CLASS), dtype=np.float32),
+        "word_w": np.zeros((v.classes, HIDDEN, v.per_class), dtype=np.float32),
         "word_b": v.word_bias.copy(),
     }
 
@@ -173,54 +186,67 @@ def _forward(p: dict, inputs: np.ndarray, starts: np.ndarray, h: np.ndarray, tab
     return states, tape
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+def _softmax(x: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Natural log-probability of each row's target, and the probabilities less one at it."""
+    at = np.arange(len(x))
+    x -= x.max(axis=1, keepdims=True)
+    log = x[at, target]
+    np.exp(x, out=x)
+    total = x.sum(axis=1)
+    x /= total[:, None]
+    x[at, target] -= 1
+    return log - np.log(total), x
 
 
 def _outputs(p: dict, v: Vocabulary, states: np.ndarray, targets: np.ndarray, grads: dict | None) -> tuple[np.ndarray, np.ndarray | None]:
     """Natural log-probability of each target (the rare class: of the class), and the gradient into the states."""
-    kind = v.class_of(targets)
-    at = np.arange(len(targets))
-    score = _log_softmax(states @ p["class_w"] + p["class_b"])
-    out, into = score[at, kind].copy(), None
+    order = np.argsort(targets, kind="stable")
+    states, words = states[order], targets[order]
+    kind = v.class_of(words)
+    logs, d = _softmax(states @ p["class_w"] + p["class_b"], kind)
+    into = None
     if grads is not None:
-        d = np.exp(score)
-        d[at, kind] -= 1
         grads["class_w"] += states.T @ d
         grads["class_b"] += d.sum(axis=0)
         into = d @ p["class_w"].T
-    order = np.argsort(kind, kind="stable")
-    edges = np.searchsorted(kind[order], np.arange(v.classes + 1))
-    for c in range(v.classes):
-        own = order[edges[c] : edges[c + 1]]
-        if len(own):
-            word, h = targets[own] - c * PER_CLASS, states[own]
-            score = _log_softmax(h @ p["word_w"][c] + p["word_b"][c])
-            out[own] += score[np.arange(len(own)), word]
+    held, starts = np.unique(kind, return_index=True)
+    for c, a, b in zip(held.tolist(), starts.tolist(), [*starts[1:].tolist(), len(kind)], strict=True):
+        if c < v.classes:
+            w, h = p["word_w"][c], states[a:b]
+            log, d = _softmax(h @ w + p["word_b"][c], words[a:b] - c * v.per_class)
+            logs[a:b] += log
             if grads is not None:
-                d = np.exp(score)
-                d[np.arange(len(own)), word] -= 1
                 grads["word_w"][c] += h.T @ d
                 grads["word_b"][c] += d.sum(axis=0)
-                into[own] += d @ p["word_w"][c].T
-    return out, into
+                into[a:b] += d @ w.T
+    back = np.empty_like(order)
+    back[order] = np.arange(len(order))
+    return logs[back], None if into is None else into[back]
 
 
 def _backward(p: dict, grads: dict, inputs: np.ndarray, starts: np.ndarray, tape: list, into: np.ndarray) -> None:
     """Through one window; nothing goes back beyond its first step, nor beyond a document's start."""
-    into_table = np.zeros((p["embed"].shape[0], 3 * HIDDEN), dtype=np.float32)
-    dh = np.zeros_like(into[0])
+    into_table = np.zeros((p["embed"].shape[0], 3 * HIDDEN), dtype=into.dtype)
+    into_x, into_u = np.empty((2, *into.shape[:2], 3 * HIDDEN), dtype=into.dtype)
+    back, dh = p["over"].T, np.zeros_like(into[0])
     for t in range(len(tape) - 1, -1, -1):
         h, z, r, new, u = tape[t]
         dh = dh + into[t]
         dn = dh * (1 - z) * (1 - new * new)
-        dz = dh * (h - new) * z * (1 - z)
-        dr = dn * u * r * (1 - r)
-        du = np.hstack((dz, dr, dn * r))
-        np.add.at(into_table, inputs[t], np.hstack((dz, dr, dn)))
-        grads["over"] += h.T @ du
-        dh = (dh * z + du @ p["over"].T) * ~starts[t][:, None]
+        x, du = into_x[t], into_u[t]
+        x[:, :HIDDEN] = dh * (h - new) * z * (1 - z)
+        x[:, HIDDEN : 2 * HIDDEN] = dn * u * r * (1 - r)
+        x[:, 2 * HIDDEN :] = dn
+        du[:] = x
+        du[:, 2 * HIDDEN :] *= r
+        dh = dh * z + du @ back
+        if starts[t].any():
+            dh = dh * ~starts[t][:, None]
+    grads["over"] += np.concatenate([x[0] for x in tape]).T @ into_u.reshape(-1, 3 * HIDDEN)
+    flat = inputs.reshape(-1)
+    order = np.argsort(flat, kind="stable")
+    ids, at = np.unique(flat[order], return_index=True)
+    into_table[ids] = np.add.reduceat(into_x.reshape(-1, 3 * HIDDEN)[order], at)
     grads["embed"] += into_table @ p["into"].T
     grads["into"] += p["embed"].T @ into_table
     grads["bias"] += into_table.sum(axis=0)
@@ -231,25 +257,38 @@ def _table(p: dict) -> np.ndarray:
 
 
 def learn(p: dict, v: Vocabulary, docs: list[np.ndarray], memory: dict) -> int:
-    """One pass of truncated backpropagation with Adam over ``docs``; returns the number of tokens."""
+    """One pass of truncated backpropagation with Adam over ``docs``; returns the number of tokens.
+
+    A step touches only the rows of the words and classes that its window holds.
+    """
     inputs, targets, starts, _ = _streams(docs, v.rare, STREAMS)
     h = np.zeros((inputs.shape[1], HIDDEN), dtype=np.float32)
     for a in range(0, len(inputs), WINDOW):
-        i, t, s = inputs[a : a + WINDOW], targets[a : a + WINDOW], starts[a : a + WINDOW]
-        states, tape = _forward(p, i, s, h, _table(p), True)
+        i, t, s = inputs[a : a + WINDOW], targets[a : a + WINDOW].reshape(-1), starts[a : a + WINDOW]
+        real = t >= 0
+        if not real.any():
+            continue
+        words, near = np.unique(i, return_inverse=True)
+        kinds = np.unique(v.class_of(t[real]))
+        kinds = kinds[kinds < v.classes]
+        rows = {"embed": words, "word_w": kinds, "word_b": kinds}
+        q, i = p | {"embed": p["embed"][words]}, near.reshape(i.shape)
+        states, tape = _forward(q, i, s, h, _table(q), True)
         h = states[-1]
-        grads = {k: np.zeros_like(x) for k, x in p.items()}
-        real = t.reshape(-1) >= 0
+        grads = memory.setdefault("grads", {k: np.zeros_like(x) for k, x in p.items() if k != "embed"}) | {"embed": np.zeros_like(q["embed"])}
         into = np.zeros((real.size, HIDDEN), dtype=np.float32)
-        _, into[real] = _outputs(p, v, states.reshape(-1, HIDDEN)[real], t.reshape(-1)[real], grads)
-        _backward(p, grads, i, s, tape, into.reshape(states.shape))
+        _, into[real] = _outputs(q, v, states.reshape(-1, HIDDEN)[real], t[real], grads)
+        _backward(q, grads, i, s, tape, into.reshape(states.shape))
         memory["steps"] = n = memory.get("steps", 0) + 1
-        for k, g in grads.items():
-            g /= max(1, real.sum())
-            m, q = memory.setdefault(k, (np.zeros_like(g), np.zeros_like(g)))
-            m += 0.1 * (g - m)
-            q += 0.001 * (g * g - q)
-            p[k] -= RATE * (m / (1 - 0.9**n)) / (np.sqrt(q / (1 - 0.999**n)) + 1e-6)
+        for k, x in p.items():
+            m, w = memory.setdefault(k, (np.zeros_like(x), np.zeros_like(x)))
+            at = rows.get(k, slice(None))
+            g = (grads[k] if k == "embed" else grads[k][at]) / real.sum()
+            m[at] += 0.1 * (g - m[at])
+            w[at] += 0.001 * (g * g - w[at])
+            x[at] -= RATE * (m[at] / (1 - 0.9**n)) / (np.sqrt(w[at] / (1 - 0.999**n)) + 1e-6)
+            if k != "embed":
+                grads[k][at] = 0
     return int((targets >= 0).sum())
 
 
@@ -269,38 +308,74 @@ def score_ids(p: dict, v: Vocabulary, docs: list[np.ndarray]) -> np.ndarray:
     return out / math.log(10)
 
 
+def _encode(v: Vocabulary) -> Callable[[Iterator], Iterator]:
+    """The word ids of each text, four bytes a word."""
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for batch in slices(batches):
+            ids = [np.fromiter(map(v.index.get, words_of(x), repeat(v.rare)), dtype="<i4").tobytes() for x in texts(batch.column("text"))]
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.binary())], names=["ids"])
+
+    return run
+
+
 def _learn(p: dict, v: Vocabulary) -> Callable[[Iterator], Iterator]:
-    """Trains on the task's documents and gives its weights, times its tokens, one row for each number."""
+    """Trains on the task's documents and gives its weights in chunks, each with the task's tokens."""
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        own, memory, tokens = {k: x.copy() for k, x in p.items()}, {}, 0
-        for batch in batches:
-            docs = [np.fromiter(map(v.index.get, words_of(x), repeat(v.rare)), dtype=np.int32) for x in texts(batch.column("text"))]
-            if docs:
+        own, memory, tokens, docs, held = {k: x.copy() for k, x in p.items()}, {}, 0, [], 0
+        for batch in slices(batches):
+            for x in batch.column("ids").to_pylist():
+                docs.append(np.frombuffer(x, dtype="<i4"))
+                held += len(docs[-1])
+            if held >= GATHER_TOKENS:
                 tokens += learn(own, v, docs, memory)
+                docs, held = [], 0
+        if docs:
+            tokens += learn(own, v, docs, memory)
         if tokens:
-            flat = np.concatenate([x.reshape(-1) for x in own.values()] + [np.ones(1)]).astype(np.float64) * tokens
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat), dtype=np.int32)), pa.array(flat)], names=["i", "x"])
+            flat = np.concatenate([x.reshape(-1) for x in own.values()]).astype("<f4")
+            for k, a in enumerate(range(0, len(flat), CHUNK)):
+                chunk = pa.array([flat[a : a + CHUNK].tobytes()], pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([tokens], pa.int64()), chunk], names=["k", "tokens", "w"])
 
     return run
 
 
+def _average(batches: Iterator) -> Iterator:
+    """The mean of each chunk of weights, weighted by tokens."""
+    import pyarrow as pa
+
+    sums: dict[int, list] = {}
+    for batch in slices(batches, 64):
+        for r in batch.to_pylist():
+            held = sums.setdefault(r["k"], [0.0, 0])
+            held[0] = held[0] + np.frombuffer(r["w"], dtype="<f4").astype(np.float64) * r["tokens"]
+            held[1] += r["tokens"]
+    for k, (x, n) in sums.items():
+        yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([(x / n).astype("<f4").tobytes()], pa.binary())], names=["k", "w"])
+
+
+def learners(tokens: int) -> int:
+    return max(1, math.isqrt(tokens // LEARNER_TOKENS))
+
+
 def train(docs: DataFrame, v: Vocabulary) -> dict[str, np.ndarray]:
-    """Weights averaged over the tasks, round after round; ``docs`` are the training documents (doc_id, text)."""
-    p = initial(v)
-    sample = docs.where(F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(SHARE)) == 0).select("text")
-    for _ in range(ROUNDS):
-        sums = sample.mapInArrow(_learn(p, v), "i int, x double").groupBy("i").agg(F.sum("x").alias("x")).collect()
-        if not sums:
-            break
-        flat = np.zeros(len(sums))
-        for i, x in sums:
-            flat[i] = x
-        flat, at = (flat / flat[-1]).astype(np.float32), 0
+    """Weights after one pass over all of ``docs``, the training documents (doc_id, text)."""
+    p, bare = initial(v), v.without_words()
+    for number in range(ROUNDS):
+        own = docs.where(F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(ROUNDS)) == number).select("text")
+        dealt = own.mapInArrow(_encode(v), "ids binary").repartition(learners(v.tokens))
+        means = dealt.mapInArrow(_learn(p, bare), "k int, tokens bigint, w binary").repartition("k").mapInArrow(_average, "k int, w binary").collect()
+        if not means:
+            continue
+        flat, at = np.concatenate([np.frombuffer(r["w"], dtype="<f4") for r in sorted(means)]), 0
         for k, x in p.items():
-            p[k] = flat[at : at + x.size].reshape(x.shape)
+            p[k] = flat[at : at + x.size].reshape(x.shape).copy()
             at += x.size
     return p
 

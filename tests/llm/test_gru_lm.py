@@ -124,3 +124,33 @@ def test_gradients(monkeypatch):
             up = loss(q)
             q[name][at] -= 2e-2
             assert abs((up - loss(q)) / 2e-2 - grads[name][at]) < 2e-2 + 0.05 * abs(grads[name][at]), name
+
+
+def _trained(spark, rows):
+    """The vocabulary and the weights after training on all rows."""
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    counts = gru_lm.count_words(docs)
+    n, types = counts.selectExpr("sum(n)", "count(*)").first()
+    v = gru_lm.Vocabulary(gru_lm.frequent(counts), n, types)
+    return v, gru_lm.train(docs, v)
+
+
+def test_every_training_document_teaches(spark):
+    """Each text has a word of its own: its embedding moves only where the document was read."""
+    rows = [(k, f"own{k} next{k} " * 30) for k in range(40)]
+    v, p = _trained(spark, rows)
+    start = gru_lm.initial(v)
+    moved = {k for k in range(40) if not np.array_equal(p["embed"][v.index[b"own%d" % k]], start["embed"][v.index[b"own%d" % k]])}
+    assert moved == set(range(40))
+
+
+def test_a_single_document_teaches(spark):
+    v, p = _trained(spark, [(1, "a b a b a b")])
+    assert not np.array_equal(p["class_w"], gru_lm.initial(v)["class_w"])
+
+
+def test_vocabulary_and_learners_grow():
+    sizes = [len(gru_lm.Vocabulary([(b"", 9), *((b"w%d" % k, 5) for k in range(5000))], 10**6, types).index) for types in (5001, 200_000, 10**6)]
+    assert sizes == [gru_lm.WORDS, 3125, 5001]
+    few, many = gru_lm.learners(10**7), gru_lm.learners(10**9)
+    assert 1 < few < many and 10**7 / few < 10**9 / many
