@@ -17,7 +17,9 @@ confirmed in the same way. So no link between different sets is lost to the star
 Defined results: a document without words has no shingles, stands alone and is kept; with fewer words than a shingle
 the whole sequence is the one shingle; rows of equal text are copies and the smallest doc_id stands for them; rows
 that share a doc_id share its component; rows with a null doc_id link to nothing, have a null component and are kept;
-further columns are ignored, or kept when rows are returned.
+further columns are ignored, or kept when rows are returned. Where rows are returned, one stays of those with the same
+doc_id and text, and one of those with a null doc_id and the same text (whatever rows with an id hold); of copies that
+differ in further columns the smallest row stays, so these columns must have an order.
 """
 
 from __future__ import annotations
@@ -294,7 +296,18 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, doc_id: s
     )
 
 
+def _one_of_copies(docs: DataFrame) -> DataFrame:
+    """``docs`` with one row, the smallest, for each doc_id and text; rows without an id are copies by text alone."""
+    digest = F.coalesce(F.sha2(F.col("text").cast("binary"), 256), F.lit(""))
+    keyed = docs.withColumn("__key", F.concat_ws("/", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), digest))
+    repeated = cut(keyed.groupBy("__key").count().where("count > 1").select("__key"))
+    if repeated.isEmpty():
+        return docs
+    copies = keyed.join(repeated, "__key", "left_semi").groupBy("__key").agg(F.min(F.struct(*docs.columns)).alias("__row"))
+    return keyed.join(repeated, "__key", "left_anti").select(*docs.columns).unionAll(copies.select("__row.*"))
+
+
 def drop_near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` that stand for their group of near duplicates."""
+    """The rows of ``docs`` that stand for their group of near duplicates, and of exact copies among these one."""
     gone = near_duplicates(docs, size, percent).where("NOT kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    return _one_of_copies(docs.join(gone, "doc_id", "left_anti").select(*docs.columns))

@@ -105,3 +105,12 @@ def test_components_of_chains_and_hubs(spark):
     hub = [(1000, 1000 + k) for k in range(1, 300)]
     out = {r["node"]: r["component"] for r in components(spark.createDataFrame([*chain, *hub, (7, 7)], "a bigint, b bigint")).collect()}
     assert out == {**{k: 0 for k in range(401)}, **{1000 + k: 1000 for k in range(300)}}
+
+
+def test_rows_that_are_exact_copies_stay_once(spark):
+    rows = [(1, "a b c d e f", "x"), (1, "a b c d e f", "y"), (1, "q r s t u v w", "x"), (2, "a b c d e f", "x"), (3, None, "x"), (3, None, "x")]
+    rows += [(None, "no id", "x"), (None, "no id", "x"), (None, "other", "x"), (None, None, "x"), (None, None, "x"), (4, "alone", "x")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    got = sorted(map(tuple, near_dedup.drop_near_duplicates(docs).collect()), key=str)
+    want = [r for r in set(rows) if r not in ((1, "a b c d e f", "y"), (2, "a b c d e f", "x"))]
+    assert got == sorted(want, key=str)
