@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
 
@@ -14,11 +15,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _base_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; one of our own only where the setting is unset, as in tests."""
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir()
+    """The cluster's shared folder. Only a local session, whose driver and executors share a disk, gets one of its own."""
+    context = spark.sparkContext
+    base = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if not base:
-        base = "/tmp/checkpoints/citeflow"
-        spark.sparkContext.setCheckpointDir(base)
+        if not context.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        base = tempfile.mkdtemp(prefix="citeflow-")
+        context.setCheckpointDir(base)
     return base
 
 
@@ -42,6 +46,17 @@ def crc_bucket(id_column: str, modulus: int) -> Column:
     return F.crc32(F.col(id_column).cast("string").cast("binary")) % modulus
 
 
+def unused(taken: list[str], *names: str) -> dict[str, str]:
+    """For each name one of its own kind that is not among ``taken``."""
+    low, out = {c.lower() for c in taken}, {}
+    for name in names:
+        free = f"__{name}"
+        while free in low:
+            free += "_"
+        out[name] = free
+    return out
+
+
 def slices(batches: Iterable, rows: int = 1024) -> Iterator:
     """Arrow batches cut into views of at most ``rows`` rows, so that what Python makes of one stays small."""
     for batch in batches:

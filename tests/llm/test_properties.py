@@ -3,7 +3,6 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from citeflow.llm.decontaminate import Block
-from citeflow.llm.span_dedup import sentences
 from citeflow.llm.token_output import Shard, pack
 
 IDS = st.lists(st.lists(st.integers(0, 6), max_size=80), min_size=1, max_size=6)
@@ -32,12 +31,3 @@ def test_suffix_search_finds_every_window(doc, items):
         windows = {tuple(item[j : j + n]) for j in range(len(item) - n + 1)}
         want |= {(p, str(k)) for p in range(len(doc) - n + 1) if tuple(doc[p : p + n]) in windows}
     assert got == want
-
-
-@settings(max_examples=200, deadline=None)
-@given(st.text(alphabet="ab.!? \n\r", max_size=40))
-def test_sentences_are_disjoint_and_leave_only_borders(text):
-    found = sentences(text)
-    assert all(a < b for a, b in found) and all(x[1] <= y[0] for x, y in zip(found, found[1:], strict=False))
-    covered = {k for a, b in found for k in range(a, b)}
-    assert all(text[k].isspace() for k in range(len(text)) if k not in covered)
