@@ -8,29 +8,37 @@ _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvw
 
 OP5 = rf"""
 WITH d AS (
-  SELECT doc_id, regexp_extract_all(coalesce({_LOWER}, ''), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce({_LOWER}, ''), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
 ), i AS (
-  SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(coalesce({_LOWER}, ''), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
-), iw AS (
-  SELECT item, w, least(13, len(w)) AS n, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS p FROM i WHERE len(w) > 0
+  SELECT row_number() OVER () AS i, CAST(item_id AS VARCHAR) AS item, regexp_extract_all(coalesce({_LOWER}, ''), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), ip AS (
+  SELECT i, item, w, least(13, len(w)) AS n, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS q FROM i WHERE len(w) > 0
 ), win AS (
-  SELECT DISTINCT item, n, array_to_string(w[p : p + n - 1], ' ') AS win FROM iw
+  SELECT i, item, n, q, array_to_string(w[q : q + n - 1], ' ') AS win FROM ip
 ), sizes AS (
   SELECT DISTINCT n FROM win
 ), dp AS (
-  SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS p FROM d WHERE len(w) > 0
+  SELECT r, w, unnest(range(1, len(w) + 1)) AS p FROM d WHERE len(w) > 0
 ), dw AS (
-  SELECT doc_id, p, n, array_to_string(w[p : p + n - 1], ' ') AS win FROM dp, sizes WHERE p + n - 1 <= len(w)
+  SELECT r, p, n, array_to_string(w[p : p + n - 1], ' ') AS win FROM dp, sizes WHERE p + n - 1 <= len(w)
 ), m AS (
-  SELECT doc_id, p, dw.n, item FROM dw JOIN win ON dw.n = win.n AND dw.win = win.win
+  SELECT r, p, q, dw.n, i, item FROM dw JOIN win ON dw.n = win.n AND dw.win = win.win
 ), hits AS (
-  SELECT doc_id, count(DISTINCT h) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + n)) AS h FROM m) GROUP BY doc_id
+  SELECT r, count(DISTINCT h) AS n_hit FROM (SELECT r, unnest(range(p, p + n)) AS h FROM m) GROUP BY r
 ), items AS (
-  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed FROM (SELECT DISTINCT doc_id, item FROM m) GROUP BY doc_id
+  SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed FROM (SELECT DISTINCT r, item FROM m) GROUP BY r
+), chains AS (
+  SELECT r, i, item, p, q, n, p - row_number() OVER (PARTITION BY r, i, q - p ORDER BY p) AS island FROM m
+), matches AS (
+  SELECT r, item, min(p) - 1 AS doc_at, min(q) - 1 AS item_at, min(n) + count(*) - 1 AS words FROM chains GROUP BY r, i, item, q - p, island
+), best AS (
+  SELECT r, words, doc_at, item, item_at FROM matches
+  QUALIFY row_number() OVER (PARTITION BY r ORDER BY words DESC, doc_at, item NULLS FIRST, item_at) = 1
 )
-SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
-       sha256(coalesce(listed, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(d.w) AS contaminated
-FROM d LEFT JOIN hits ON d.doc_id = hits.doc_id LEFT JOIN items ON d.doc_id = items.doc_id
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+       sha256(coalesce(listed, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated,
+       CAST(coalesce(words, 0) AS INTEGER) AS longest_words, CAST(doc_at AS INTEGER) AS longest_at, best.item AS longest_item, CAST(item_at AS INTEGER) AS longest_item_at
+FROM d LEFT JOIN hits ON d.r = hits.r LEFT JOIN items ON d.r = items.r LEFT JOIN best ON d.r = best.r
 """
 
 OP6 = """
