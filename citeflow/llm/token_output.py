@@ -1,8 +1,9 @@
 """Token ids as Re-Pair compressed shards.
 
 Documents are dealt out in ranges of doc_id and sorted; a task encodes its documents in order and closes a shard
-after ``SHARD_IDS`` ids. In each shard the most frequent pairs of neighbouring symbols are replaced by nonterminals,
-round after round; a shard stores its rules, the expansion length of every rule, the symbol sequence, and where each
+after ``SHARD_IDS`` ids. In each shard the most frequent pairs of neighbouring symbols are replaced by nonterminals and
+the pairs of what is left counted anew, until no pair occurs ``LEAST_COUNT`` times or the symbols are used up; a round
+replaces the ``PAIRS_PER_ROUND`` most frequent pairs at once. A shard stores its rules, the expansion length of every rule, the symbol sequence, and where each
 document begins in it, so one document (or one token of it) is decoded without expanding the rest. Shards are rows of
 a Parquet table in the folder given: Spark's committer makes the write safe against lost tasks.
 
@@ -11,13 +12,14 @@ uint8 doc_id_is_null[n_docs], uint32 first_symbol[n_docs + 1], uint32 n_ids[n_do
 uint16 right[n_rules], uint32 expansion_length[n_rules], uint16 symbols[n_symbols]. Symbols below ``base`` are ids.
 
 Defined results: a null or empty text holds the end id alone; rows with a null doc_id come first, with a null doc_id;
-rows with one doc_id follow each other in an order of their own (the text's); an empty table gives no shards; longer
+rows with one doc_id (repeated rows too) follow each other in an order of their own (the text's); an empty table gives no shards; longer
 texts than a shard make a longer shard; further columns are ignored.
 """
 
 from __future__ import annotations
 
 import functools
+import json
 import re
 import zlib
 from array import array
@@ -32,15 +34,18 @@ from citeflow.llm.token_counts import load_tokenizer
 
 END_ID = 2
 SHARD_IDS = 1 << 20
-CACHE_ENTRIES = 500_000
-ROUNDS = 4
+CACHE_ENTRIES = 60_000
 PAIRS_PER_ROUND = 2048
 LEAST_COUNT = 16
 MAX_SYMBOL = 1 << 16
 
 
-#: Latin letters that NFC leaves as they are, and the marks that may follow them: two pre-tokens at most.
-_PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
+#: What the shortcut below was written for, as the tokenizer's file has it (fixed values).
+_NORMAL = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+_SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+#: The same pre-tokens in lower-cased texts of code points up to U+00FF, which NFC leaves as they are.
+_LETTERS, _FIGURES = "a-zªµºß-öø-ÿ", "0-9²³¹¼½¾"
+_PRE_TOKENS = re.compile(f"'(?:s|t|re|ve|m|ll|d)|[{_LETTERS}]+|[{_FIGURES}]|[^\t-\r \x85\xa0{_LETTERS}{_FIGURES}]+").findall
 
 
 def _byte_letters() -> dict[int, str]:
@@ -50,48 +55,46 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)}
 
 
-class Chunks(dict):
-    """A run of bytes without ASCII white space to its ids as uint16 bytes.
+class Encoder(dict):
+    """Texts to ids as uint16 bytes; as a mapping, lower-cased pre-tokens to theirs.
 
-    The tokenizer drops white space and joins nothing across it, so a text's ids are those of its runs in a row. Runs
-    of plain letters and marks go to the merges directly, all others through the whole library. ``limit`` runs are
-    kept, and as many that were in use before these.
+    Texts of code points up to U+00FF are split here and meet the merges pre-token by pre-token, with the last ``limit``
+    to twice as many kept; others, texts with an added token in them, and all texts of a tokenizer with other settings
+    go through the whole library.
     """
 
-    def __init__(self, tokenizer, limit: int = CACHE_ENTRIES):
+    def __init__(self, path: str, limit: int = CACHE_ENTRIES):
         super().__init__()
-        self.encode, self.merge = tokenizer.encode, tokenizer.model.tokenize
+        self.tokenizer = load_tokenizer(path)
+        self.merge = self.tokenizer.model.tokenize
         self.limit, self.older, self.letters = limit, {}, _byte_letters()
-        self.marks = functools.lru_cache(4096)(lambda marks: [t.id for t in self.merge(marks)])
-
-    def ids(self, chunk: bytes) -> list[int]:
-        text = chunk.decode("utf-8", "replace")
-        plain = _PLAIN.fullmatch(text)
-        if not plain:
-            return self.encode(text, add_special_tokens=False).ids
-        word, marks = plain.groups()
-        word = word.lower()
-        if not word.isascii():
-            word = word.encode().decode("latin-1").translate(self.letters)
-        out = [t.id for t in self.merge(word)]
-        return out + self.marks(marks) if marks else out
-
-    def __missing__(self, chunk: bytes) -> bytes:
-        out = self.older.get(chunk)
+        made = json.loads(self.tokenizer.to_str())
+        added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(added), re.IGNORECASE) if added else None
+        self.plain = made["normalizer"].get("normalizers") == _NORMAL and made["pre_tokenizer"]["pretokenizers"][0]["pattern"] == {"Regex": _SPLIT}
+
+    def __missing__(self, piece: str) -> bytes:
+        out = self.older.get(piece)
         if out is None:
-            out = array("H", self.ids(chunk)).tobytes()
+            shown = piece if piece.isascii() and piece.isprintable() else piece.encode().decode("latin-1").translate(self.letters)
+            out = array("H", [t.id for t in self.merge(shown)]).tobytes()
         if len(self) >= self.limit:
             self.older = dict(self)
             self.clear()
-        self[chunk] = out
+        self[piece] = out
         return out
 
+    def encode(self, raw: bytes) -> bytes:
+        text = raw.decode("utf-8", "replace")
+        if self.plain and max(text, default="") <= "\xff" and not (self.added and self.added.search(text)):
+            return b"".join(map(self.__getitem__, _PRE_TOKENS(text.lower())))
+        return array("H", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
 
 @functools.cache
-def _chunks(path: str) -> tuple[int, Chunks]:
-    """One tokenizer and one cache for all tasks of a worker process."""
-    tokenizer = load_tokenizer(path)
-    return tokenizer.get_vocab_size(), Chunks(tokenizer)
+def _encoder(path: str) -> Encoder:
+    """One tokenizer for all tasks of a worker process."""
+    return Encoder(path)
 
 
 def _replace(symbols: np.ndarray, inner: np.ndarray, chosen: np.ndarray, first: int) -> tuple[np.ndarray, np.ndarray]:
@@ -130,10 +133,8 @@ def compress(ids: np.ndarray, n_ids: np.ndarray, base: int) -> tuple[np.ndarray,
     left, right = [np.empty(0, np.uint16)], [np.empty(0, np.uint16)]
     length = np.ones(MAX_SYMBOL, dtype=np.uint32)
     used = base
-    for _ in range(ROUNDS):
+    while used < MAX_SYMBOL and len(symbols) > 1:
         room = min(PAIRS_PER_ROUND, MAX_SYMBOL - used)
-        if room <= 0 or len(symbols) < 2:
-            break
         keys = (symbols[:-1].astype(np.uint32) << 16) | symbols[1:]
         ordered = np.sort(keys[inner[:-1]])
         if not len(ordered):
@@ -233,7 +234,8 @@ def _encode(path: str, doc_id: str, text: str) -> Callable[[Iterator], Iterator]
         import pyarrow as pa
         from pyspark import TaskContext
 
-        (base, chunks), end = _chunks(path), np.array([END_ID], dtype="<u2").tobytes()
+        encoder, end = _encoder(path), np.array([END_ID], dtype="<u2").tobytes()
+        base = encoder.tokenizer.get_vocab_size()
         part, done = TaskContext.get().partitionId(), 0
         numbers: list[int | None] = []
         encoded: list[bytes] = []
@@ -250,11 +252,10 @@ def _encode(path: str, doc_id: str, text: str) -> Callable[[Iterator], Iterator]
             encoded.clear()
             return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(row, kinds, strict=True)], names=["part", "part_start", "n_docs", "n_ids", "shard"])
 
-        ids_of = chunks.__getitem__
         for batch in slices(batches):
             for number, x in zip(batch.column(doc_id).to_pylist(), texts(batch.column(text)), strict=True):
                 numbers.append(number)
-                encoded.append(b"".join(map(ids_of, x.split())) + end)
+                encoded.append(encoder.encode(x) + end)
                 size += len(encoded[-1]) // 2
                 if size >= SHARD_IDS:
                     yield shard()
