@@ -1,17 +1,18 @@
 """Token counts of whole texts, with the library's byte-level BPE.
 
-Offline (once per task, from the vocabulary file alone) every vocabulary string is encoded by itself; those that come
-out as one pre-token and one id are proven whole tokens. A text is split into pre-tokens; a proven one counts 1, and
+Offline (once, on the driver, from the vocabulary file alone) every vocabulary string is encoded by itself; those that
+come out as one pre-token and one id are proven whole tokens, a list bounded by the vocabulary that goes to the tasks. A text is split into pre-tokens; a proven one counts 1, and
 only the others go through the merges, one by one through the library, with their counts kept in a bounded table.
 
 Defined results: a null or empty text has 0 bytes and 0 tokens; added tokens inside a text count as the library's
 default has it (one id each); texts of any length are counted whole; every row is counted on its own, repeated or
-not; further columns are ignored. A text with code points that this Python's Unicode tables do not know is left to
+not; an empty table gives no rows; further columns are ignored. A text with code points that this Python's Unicode tables do not know is left to
 the library as a whole, because the pre-token borders could differ there.
 """
 
 from __future__ import annotations
 
+import functools
 import os
 import unicodedata
 from collections.abc import Callable, Iterator
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 
 from citeflow.llm.common import slices, texts
 
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 150_000
 OVER_LIMIT = 1024
 
 #: Added to a text's count for each pre-token that only the library may judge.
@@ -44,11 +45,16 @@ def proven_whole(tokenizer) -> dict[str, int]:
     return {s: 1 for s, e in zip(strings, encoded, strict=True) if len(e.ids) == 1 and len(tokenizer.pre_tokenizer.pre_tokenize_str(s)) == 1}
 
 
+@functools.cache
+def proven_at(path: str) -> dict[str, int]:
+    return proven_whole(load_tokenizer(path))
+
+
 class Counts(dict):
     """Pre-token to number of ids: the proven ones for good, merged ones up to ``limit``."""
 
-    def __init__(self, tokenizer, limit: int = CACHE_ENTRIES):
-        self.tokenizer, self.whole = tokenizer, proven_whole(tokenizer)
+    def __init__(self, tokenizer, whole: dict[str, int], limit: int = CACHE_ENTRIES):
+        self.tokenizer, self.whole = tokenizer, whole
         super().__init__(self.whole)
         self.limit = limit + len(self.whole)
 
@@ -65,13 +71,13 @@ class Counts(dict):
 class Counter:
     """Counts tokens of whole texts; ``count`` equals ``len(tokenizer.encode(text, add_special_tokens=False).ids)``."""
 
-    def __init__(self, path: str, limit: int = CACHE_ENTRIES):
+    def __init__(self, path: str, limit: int = CACHE_ENTRIES, whole: dict[str, int] | None = None):
         import public_tokenizers
         import regex
 
         self.tokenizer = load_tokenizer(path)
         self.find = regex.compile(public_tokenizers.PATTERN).findall
-        self.counts = Counts(self.tokenizer, limit)
+        self.counts = Counts(self.tokenizer, proven_at(path) if whole is None else whole, limit)
         special = [regex.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.special = regex.compile("|".join(special)) if special else None
 
@@ -83,11 +89,11 @@ class Counter:
         return total if total >= 0 else len(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
 
-def _count(path: str, keep: list[str], text: str) -> Callable[[Iterator], Iterator]:
+def _count(path: str, whole: dict[str, int], keep: list[str], text: str) -> Callable[[Iterator], Iterator]:
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        counter = Counter(path)
+        counter = Counter(path, whole=whole)
         for batch in slices(batches):
             own = texts(batch.column(text))
             tokens = [counter.count(x.decode("utf-8", "replace")) if x else 0 for x in own]
@@ -102,7 +108,7 @@ def _count(path: str, keep: list[str], text: str) -> Callable[[Iterator], Iterat
 def count_tokens(docs: DataFrame, path: str, keep: list[str], text: str = "text") -> DataFrame:
     """``keep`` columns with ``__n_bytes`` and ``__n_tokens``; one pass, nothing shuffled."""
     kinds = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in docs.select(*keep).schema)
-    return docs.select(*dict.fromkeys([*keep, text])).mapInArrow(_count(path, keep, text), f"{kinds}__n_bytes bigint, __n_tokens bigint")
+    return docs.select(*dict.fromkeys([*keep, text])).mapInArrow(_count(path, proven_at(path), keep, text), f"{kinds}__n_bytes bigint, __n_tokens bigint")
 
 
 def token_counts(docs: DataFrame, path: str, limit: int = OVER_LIMIT) -> DataFrame:
