@@ -34,8 +34,8 @@ from citeflow.llm.token_counts import load_tokenizer
 
 END_ID = 2
 SHARD_IDS = 1 << 20
-CACHE_ENTRIES = 60_000
-PAIRS_PER_ROUND = 2048
+CACHE_ENTRIES = 120_000
+PAIRS_PER_ROUND = 8192
 LEAST_COUNT = 16
 MAX_SYMBOL = 1 << 16
 
