@@ -14,7 +14,8 @@ still holds several components, its members meet in blocks, in which registers (
 hashes) are compared as matrices and only pairs of different components with a high enough estimate come out, to be
 confirmed in the same way. So no link between different sets is lost to the star shape, and no group's pairs are rows.
 
-Defined results: a document without words has no shingles, stands alone and is kept; with fewer words than a shingle
+Defined results: an empty table gives no rows; texts of any length are read whole; a document without words has no
+shingles, stands alone and is kept; with fewer words than a shingle
 the whole sequence is the one shingle; rows of equal text are copies and the smallest doc_id stands for them; rows
 that share a doc_id share its component; rows with a null doc_id link to nothing, have a null component and are kept;
 further columns are ignored, or kept when rows are returned. Where rows are returned, one stays of those with the same
@@ -40,8 +41,9 @@ REST_BITS = 64 - BUCKET_BITS
 MANTISSA_BITS = 8
 LANES = 128
 PER_LANE = BUCKETS // LANES
-CACHE_WORDS = 400_000
+CACHE_WORDS = 100_000
 BLOCK_NODES = 512
+HOT = 1000
 #: Sets up to this size go to the blocks as the upper halves of their hashes.
 FEW = 256
 #: Chance that two different minima have the same register: the same leading zeros (1/3) and mantissa.
@@ -116,6 +118,7 @@ def estimate(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return (same / np.maximum(either, 1) - CHANCE) / (1 - CHANCE)
 
 
+_NO_REGISTERS = bytes(2 * BUCKETS)
 _SKETCH = "doc_id bigint, n_shingles bigint, digest binary, registers binary, few binary, bands array<bigint>"
 
 
@@ -155,7 +158,7 @@ def _sets(size: int) -> Callable[[Iterator], Iterator]:
 
 
 def _matrix(column) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint16).reshape(-1, BUCKETS)
+    return np.frombuffer(b"".join(x or _NO_REGISTERS for x in column.to_pylist()), dtype=np.uint16).reshape(-1, BUCKETS)
 
 
 def _close_pairs(least: float) -> Callable[[Iterator], Iterator]:
@@ -253,10 +256,24 @@ def _unmet(grouped: DataFrame, found: DataFrame, nodes: DataFrame, confirm: _Con
     blocks = cut(sizes.where("low < high").select("band", "key", F.ceil(F.col("members") / BLOCK_NODES).cast("int").alias("blocks")))
     rest = labelled.join(blocks, ["band", "key"]).join(nodes, "node")
     rest = rest.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rest = rest.select("band", "key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "component", "n", "registers", "few", "bands")
+    needed = F.when(F.col("n") * 100 > FEW * confirm.percent, F.col("registers")).alias("registers")  # whatever fits a shorter one goes by halves too
+    rest = rest.select("band", "key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "component", "n", needed, "few", "bands")
     return rest.groupBy("band", "key", "i", "j").applyInArrow(_close_in_blocks(confirm.least, confirm.percent), "a bigint, b bigint")
 
 
+def _classes(rows: DataFrame) -> DataFrame:
+    """doc_id, node, digest: the smallest doc_id of its digest for each row.
+
+    Digests that a ``HOT``-th of all rows or more have are at most ``HOT`` and go to the rows; the others meet theirs in a join.
+    """
+    firsts = cut(rows.groupBy("digest").agg(F.min("doc_id").alias("node"), F.count("*").alias("copies")))
+    every = firsts.agg(F.coalesce(F.sum("copies"), F.lit(0))).first()[0]
+    hot = F.broadcast(firsts.where(F.col("copies") * HOT >= every).where("copies > 1").select("digest", "node"))
+    cold = firsts.where((F.col("copies") * HOT < every) | (F.col("copies") == 1)).select("digest", "node")
+    rest = rows.join(hot.select("digest"), "digest", "left_anti")
+    return rows.join(hot, "digest").unionByName(rest.join(cold, "digest")).select("doc_id", "node", "digest")
+
+
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id and kept for every row of ``docs``.
 
@@ -269,8 +286,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, doc_id: s
     sketches = spark.read.schema(_SKETCH).parquet(path)
     with_set = sketches.where("doc_id IS NOT NULL AND n_shingles > 0")
 
-    firsts = with_set.groupBy("digest").agg(F.min("doc_id").alias("node"))
-    classes = cut(with_set.select("doc_id", "digest").join(cut(firsts), "digest").select("doc_id", "node", "digest").distinct())
+    classes = cut(_classes(with_set.select("doc_id", "digest")).distinct())
     own = with_set.withColumnsRenamed({"doc_id": "node", "n_shingles": "n"})
     holders = classes.where("doc_id = node").select("node", "digest").distinct()
 
