@@ -9,7 +9,8 @@ tasks, and packed into blocks, each an annulus of one pivot.
 A query first looks into the annuli where its own pivot and distance put it, which gives a score that five rows reach.
 Then every task walks its annuli, nearest first, and leaves a query out of an annulus, and of all farther ones, when
 the triangle inequality shows that no row there can reach the query's score. Queries go out in blocks of at most
-``QUERY_BLOCK``; only rows that reach a query's score come back.
+``QUERY_BLOCK``, each a job of its own that reads the written index and adds its answers to a table; of a task only the
+k best rows of a query come back, if they reach its score.
 
 Defined results: vectors that are null or hold a null or non-finite component take no part, neither as query nor as
 candidate, and so give no rows; shorter vectors count as padded with zeros; rows that share an id are candidates one
@@ -26,13 +27,14 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from citeflow.llm.common import cut
+from citeflow.llm.common import cut, shared_path
 
 SCALE = 256
 PIVOTS = 32
 #: The pivots come from this many rows at most; every row is indexed.
 PIVOT_SAMPLE = 2048
 BLOCK_ROWS = 1024
+KEPT_ROWS = 1 << 20
 QUERY_BLOCK = 8192
 
 _INDEX = "pivot int, low double, high double, ids binary, vectors binary"
@@ -126,7 +128,19 @@ class _Queries:
         self.space, self.ids, self.rows, self.k = space, ids, rows, k
         self.to_pivots = space.distances(rows, query=True)
         self.squared = (rows**2).sum(axis=1)
+        #: The score, and the id that goes with it, which k candidates are known to reach.
         self.least = np.full(len(ids), np.iinfo(np.int64).min, dtype=np.int64)
+        self.least_id = np.full(len(ids), np.iinfo(np.int64).max, dtype=np.int64)
+
+    def fits(self, at: int, ids: np.ndarray, score: np.ndarray) -> np.ndarray:
+        """Candidates that can be among the k best: above the bound, or on it with an id that is not larger."""
+        good = (score > self.least[at]) | ((score == self.least[at]) & (ids <= self.least_id[at]))
+        return np.flatnonzero(good & (ids != self.ids[at]))
+
+    def bound(self, at: int, score: int, id: int) -> None:
+        """There are k candidates up to this one."""
+        if score > self.least[at] or (score == self.least[at] and id < self.least_id[at]):
+            self.least[at], self.least_id[at] = score, id
 
     def reach(self) -> np.ndarray:
         """The distance within which a row can still reach the query's score, with room for rounding."""
@@ -151,11 +165,12 @@ def _first(queries: _Queries) -> Callable[[Iterator], Iterator]:
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        nearest = queries.to_pivots.argmin(axis=1)
+        nearest, kept = queries.to_pivots.argmin(axis=1), _Kept(queries.k)
         for block in _blocks(batches):
             own = np.flatnonzero((nearest == block["pivot"]) & (queries.apart(block["pivot"], block["low"], block["high"]) <= 0.05 * queries.to_pivots[:, block["pivot"]]))
             if len(own):
-                yield _best(pa, queries, own, *_unpacked(queries, block))
+                kept.add(_best(queries, own, *_unpacked(queries, block)))
+        yield kept.batch(pa)
 
     return run
 
@@ -165,19 +180,39 @@ def _unpacked(queries: _Queries, block: dict) -> tuple[np.ndarray, np.ndarray]:
     return ids, np.frombuffer(block["vectors"], np.float64).reshape(len(ids), -1)
 
 
-def _best(pa, queries: _Queries, own: np.ndarray, ids: np.ndarray, rows: np.ndarray):
-    """The k best of one block for each of these queries, if they reach the query's bound; raises the bound."""
-    scores = _exact(queries.rows[own], rows)
-    out: list[tuple[int, int, int]] = []
-    for at, score in zip(own, scores, strict=True):
-        fit = np.flatnonzero((score >= queries.least[at]) & (ids != queries.ids[at]))
-        if len(fit) > queries.k:
-            fit = fit[np.lexsort((ids[fit], -score[fit]))[: queries.k]]
+def _best(queries: _Queries, own: np.ndarray, ids: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """(query, id, score) of the k best of one block for each of these queries, if they reach its bound; raises the bound."""
+    out = [np.empty((3, 0), dtype=np.int64)]
+    for at, score in zip(own.tolist(), _exact(queries.rows[own], rows), strict=True):
+        fit = queries.fits(at, ids, score)
+        fit = fit[np.lexsort((ids[fit], -score[fit]))[: queries.k]]
         if len(fit) == queries.k:
-            queries.least[at] = max(queries.least[at], score[fit].min())
-        out += [(at, int(ids[f]), int(score[f])) for f in fit]
-    columns = list(zip(*out, strict=True)) if out else [(), (), ()]
-    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["query", "vec_id", "score"])
+            queries.bound(at, int(score[fit[-1]]), int(ids[fit[-1]]))
+        out.append(np.stack([np.full(len(fit), at), ids[fit], score[fit]]))
+    return np.concatenate(out, axis=1)
+
+
+class _Kept:
+    """What a task has found, cut down to k rows a query now and then."""
+
+    def __init__(self, k: int):
+        self.k, self.found, self.size = k, [], 0
+
+    def add(self, rows: np.ndarray) -> None:
+        self.found.append(rows)
+        self.size += rows.shape[1]
+        if self.size > KEPT_ROWS:
+            self.found = [self.rows()]
+            self.size = self.found[0].shape[1] // 2
+
+    def rows(self) -> np.ndarray:
+        every = np.concatenate([np.empty((3, 0), dtype=np.int64), *self.found], axis=1)
+        query, ids, score = every = every[:, np.lexsort((every[1], -every[2], every[0]))]
+        first = np.searchsorted(query, query, "left")
+        return every[:, np.arange(len(query)) - first < self.k]
+
+    def batch(self, pa):
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in self.rows()], names=["query", "vec_id", "score"])
 
 
 def _walk(queries: _Queries) -> Callable[[Iterator], Iterator]:
@@ -186,13 +221,15 @@ def _walk(queries: _Queries) -> Callable[[Iterator], Iterator]:
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
+        kept = _Kept(queries.k)
         for batch in batches:
             blocks = batch.to_pylist()
             apart = np.array([queries.apart(b["pivot"], b["low"], b["high"]) for b in blocks]).reshape(len(blocks), len(queries.ids))
             for k in np.argsort(apart.min(axis=1, initial=np.inf)):
                 own = np.flatnonzero(apart[k] <= queries.reach())
                 if len(own):
-                    yield _best(pa, queries, own, *_unpacked(queries, blocks[k]))
+                    kept.add(_best(queries, own, *_unpacked(queries, blocks[k])))
+        yield kept.batch(pa)
 
     return run
 
@@ -224,16 +261,15 @@ def top_k(vectors: DataFrame, is_query: str, k: int = 5, id: str = "vec_id", vec
     dealt = keyed.repartitionByRange(parts, "pivot", "distance", "id").sortWithinPartitions("pivot", "distance", "id")
     index = cut(dealt.mapInArrow(_pack(space), _INDEX))
 
-    answers: DataFrame | None = None
+    path = shared_path(spark, "top-k")
     blocks = math.ceil(seen[2] / QUERY_BLOCK)
     for b in range(blocks):
         asked = rows.where("asks").where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == b).select("id", "vector").orderBy("id").collect()
         queries = _Queries(space, np.array([r["id"] for r in asked], dtype=np.int64), space.matrix([r["vector"] for r in asked]), k)
-        bounds = _ranked(index.mapInArrow(_first(queries), "query bigint, vec_id bigint, score bigint"), k).where(F.col("rank") == k).select("query", "score").collect()
+        bounds = _ranked(index.mapInArrow(_first(queries), "query bigint, vec_id bigint, score bigint"), k).where(F.col("rank") == k).select("query", "score", "vec_id").collect()
         for r in bounds:
-            queries.least[r["query"]] = r["score"]
+            queries.bound(r["query"], r["score"], r["vec_id"])
         names = spark.createDataFrame(list(enumerate(queries.ids.tolist())), "query bigint, query_id bigint")
         best = _ranked(index.mapInArrow(_walk(queries), "query bigint, vec_id bigint, score bigint"), k)
-        best = best.join(F.broadcast(names), "query").select("query_id", "rank", "vec_id", "score")
-        answers = best if answers is None else answers.unionAll(best)
-    return answers
+        best.join(F.broadcast(names), "query").select("query_id", "rank", "vec_id", "score").write.mode("append").parquet(path)
+    return spark.read.schema(schema).parquet(path)
