@@ -41,6 +41,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table in the shared folder; unlike a checkpoint it hands no constraints on, which add up in loops."""
+    path = shared_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def crc_bucket(id_column: str, modulus: int) -> Column:
     """crc32 of the id written as text, modulo ``modulus``."""
     return F.crc32(F.col(id_column).cast("string").cast("binary")) % modulus

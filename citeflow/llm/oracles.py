@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from citeflow.llm.mixing import POWER, ROUNDS
+from citeflow.llm.mixing import COMMON, DIMENSIONS, LEAST_LETTERS, OTHER, POWER, RARE, ROUNDS, TOPICS
 
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -59,23 +59,32 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, CAST(score AS BIGINT) AS
 
 
 def op9() -> str:
-    """Raking unrolled: one materialised step for each dimension of each round."""
-    dimensions = ("source", "lang", "topic")
+    """Topics, then raking unrolled: one materialised step for each dimension of each round."""
     steps = [
-        r"""d AS MATERIALIZED (
-  SELECT doc_id, coalesce(source, '(none)') AS source, coalesce(lang, '(none)') AS lang,
-         CASE WHEN contains(text, ' | ') THEN 'table' WHEN regexp_matches(text, '[0-9]') THEN 'figures' ELSE 'prose' END AS topic,
-         CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS n_tokens
-  FROM documents
+        f"""l AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, source, lang, text, [x for x in regexp_split_to_array(coalesce({_LOWER}, ''), '[^\\p{{L}}]+') if length(x) >= {LEAST_LETTERS}] AS words FROM documents
+)""",
+        f"""seeds AS MATERIALIZED (
+  SELECT word, count(*) AS n FROM (SELECT unnest(list_distinct(words)) AS word FROM l) GROUP BY word
+  HAVING count(*) * {RARE} >= (SELECT count(*) FROM l) AND count(*) * {COMMON} <= (SELECT count(*) FROM l) ORDER BY n DESC, word LIMIT {TOPICS}
+)""",
+        """best AS MATERIALIZED (
+  SELECT r, word FROM (SELECT r, word, count(*) AS c FROM (SELECT r, unnest(words) AS word FROM l) GROUP BY r, word) JOIN seeds USING (word)
+  QUALIFY row_number() OVER (PARTITION BY r ORDER BY c DESC, n, word) = 1
+)""",
+        f"""d AS MATERIALIZED (
+  SELECT doc_id, coalesce(source, '(none)') AS source, coalesce(lang, '(none)') AS lang, coalesce(word, '{OTHER}') AS topic,
+         CAST(coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS BIGINT) AS n_tokens
+  FROM l LEFT JOIN best ON l.r = best.r
 )""",
         "c0 AS MATERIALIZED (SELECT source, lang, topic, sum(n_tokens) AS tokens, CAST(sum(n_tokens) AS DOUBLE) AS w FROM d GROUP BY 1, 2, 3)",
     ]
-    for name in dimensions:
+    for name in DIMENSIONS:
         share = f"pow(own, {POWER}) / (sum(pow(own, {POWER})) OVER ()) * (sum(own) OVER ())"
         steps.append(f"t_{name} AS MATERIALIZED (SELECT {name}, {share} AS target FROM (SELECT {name}, CAST(sum(tokens) AS DOUBLE) AS own FROM c0 GROUP BY 1))")
     k = 0
     for _ in range(ROUNDS):
-        for name in dimensions:
+        for name in DIMENSIONS:
             now = f"(SELECT {name}, sum(w) AS now FROM c{k} GROUP BY 1)"
             scaled = "CASE WHEN now > 0 THEN w * (target / now) ELSE 0 END"
             steps.append(f"c{k + 1} AS MATERIALIZED (SELECT c.source, c.lang, c.topic, tokens, {scaled} AS w FROM c{k} AS c JOIN {now} AS n ON c.{name} = n.{name} JOIN t_{name} AS t ON c.{name} = t.{name})")

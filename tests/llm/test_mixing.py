@@ -29,19 +29,41 @@ def _rake(cells, wanted, rounds=mixing.ROUNDS):
 
 @pytest.mark.parametrize("lang", [None, {"en": 1, "de": 2, "fr": 1, "es": 4}])
 def test_fit_equals_plain_fitting(spark, sf, lang):
-    labelled = mixing._labelled(spark.read.parquet(f"{sf}/documents.parquet"), None)
-    fitted = mixing.fit(labelled, {"lang": lang} if lang else None).collect()
-    cells = {(r["__source"], r["__lang"], r["__topic"]): r["tokens"] for r in fitted}
+    rows, names = mixing.labelled(spark.read.parquet(f"{sf}/documents.parquet"))
+    cells = rows.groupBy(*(F.col(names[d]).alias(d) for d in mixing.DIMENSIONS)).agg(F.sum(names["tokens"]).alias("tokens"))
+    fitted = mixing.fit(cells, {"lang": lang} if lang else None).collect()
+    cells = {(r["source"], r["lang"], r["topic"]): r["tokens"] for r in fitted}
     want = _rake(cells, [None, lang, None])
-    assert all(abs(r["weight"] - want[r["__source"], r["__lang"], r["__topic"]]) < 1e-6 * (1 + r["weight"]) for r in fitted)
-    assert max(r["__probability"] for r in fitted) == pytest.approx(1)
+    assert all(abs(r["weight"] - want[r["source"], r["lang"], r["topic"]]) < 1e-6 * (1 + r["weight"]) for r in fitted)
+    assert max(r["probability"] for r in fitted) == pytest.approx(1)
     if lang:
         share = {}
         for r in fitted:
-            share[r["__lang"]] = share.get(r["__lang"], 0) + r["weight"]
+            share[r["lang"]] = share.get(r["lang"], 0) + r["weight"]
         assert share["es"] / sum(share.values()) == pytest.approx(0.5, abs=0.02)
 
 
+def test_targets_are_met(spark):
+    cells = spark.createDataFrame([(s, l, "t", 1000 if (s == "a") == (l == "x") else 1) for s in "ab" for l in "xy"], "source string, lang string, topic string, tokens bigint")
+    wanted = {"source": {"a": 7, "b": 3}, "lang": {"x": 6, "y": 4}}
+    fitted = mixing.fit(cells, wanted)
+    assert mixing.gap(fitted, wanted) < 0.01 < mixing.gap(mixing.fit(cells, wanted, rounds=0), wanted)
+    fitted = fitted.collect()
+    total = sum(r["weight"] for r in fitted)
+    assert sum(r["weight"] for r in fitted if r["source"] == "a") / total == pytest.approx(0.7, abs=0.01)
+    assert sum(r["weight"] for r in fitted if r["lang"] == "y") / total == pytest.approx(0.4, abs=0.01)
+
+
+def test_topics_by_hand(spark):
+    rows = [(k, "common " * 2 + ("river bank river" if k % 25 == 0 else "tax tax rate" if k % 25 == 1 else "") + f" x{k}") for k in range(100)]
+    rows += [(100, None), (101, "tax river")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    words = mixing.topic_words(docs)
+    assert words == ["bank", "rate", "river", "tax"]
+    got = dict(docs.select("doc_id", mixing.learned_topic(words)).collect())
+    assert got[0] == "river" and got[1] == "tax" and got[2] == "other" and got[100] == "other" and got[101] == "river"
+
+
 def test_sample_has_the_wanted_shares(spark):
     docs = spark.range(40_000).select(
         F.col("id").alias("doc_id"), F.lit("w w w w w").alias("text"), F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("s"), F.col("id") % 7)).alias("source"), F.when(F.col("id") % 10 == 0, "de").otherwise("en").alias("lang"), F.lit(1).alias("topic")
@@ -64,5 +86,6 @@ def test_awkward_rows(spark):
     got = mixing.probabilities(docs).collect()
     assert len(got) == docs.count() and all(0 < r["probability"] <= 1 for r in got)
     assert {r["doc_id"]: r["n_tokens"] for r in got}[1] == 0
-    assert mixing.mix(docs).columns == docs.columns
+    clash = docs.selectExpr("*", "1 AS __tokens", "2 AS __source", "3 AS topic", "4 AS __probability")
+    assert mixing.mix(docs).columns == docs.columns and mixing.mix(clash).columns == clash.columns
     assert mixing.probabilities(empty(spark)).count() == 0 and mixing.mix(empty(spark)).count() == 0
