@@ -1,20 +1,24 @@
 """Language-model scores: a gated recurrent network in numpy with a class-factored softmax.
 
-Counts of all training words are gathered by Spark. The most frequent ones (the document end always among them), one
-for every ``TYPES_PER_WORD`` types seen, ``WORDS`` at least and ``HEAD`` at most, form classes of about the square root of
-their number; all other words are one more class, in which a word's share is its
-add-one count. P(word) is P(class | state) times P(word | class, state). The network reads a document word by word;
-its state starts at zero with the document and is carried across all windows to its end, so a score is that of the
-whole text. The output biases start from the counts, so that the untrained network is the add-one unigram model. Training
-is truncated backpropagation in one pass over all training documents, dealt by a hash to ``ROUNDS`` rounds. A round's
-documents are dealt evenly to learners that start from common weights; their weights are averaged, weighted by tokens,
-after it. The number of learners is that of the square root of the tokens, whatever the input's splits: both the learners
-and the steps that each one takes grow with the corpus.
+Counts of all training words are gathered by Spark. The most frequent ones (the document end always among them), whose
+number grows with the root of the types seen, form classes of about the square root of their number; all other words
+are one more class, in which a word's share is its add-one count. P(word) is P(class | state) times P(word | class,
+state). The network reads a document word by word; its state starts at zero with the document and is carried across
+all windows to its end, so a score is that of the whole text. The output biases start from the counts, so that the
+untrained network is the add-one unigram model.
+
+The texts are turned into ids once, in a written table that training and scoring read. Training is truncated
+backpropagation in one pass over all training documents. A hash of the id deals each to one of ``ROUNDS`` rounds and,
+in it, to a learner; a round's learners start from common weights, and their weights are averaged, weighted by tokens,
+after it. A learner reads its documents in a fixed order, so the weights do not depend on how the input is split. There
+are as many learners as the square root of the tokens asks for: both they and the steps of each grow with the corpus.
 
 Counts of the at most ``HEAD`` most frequent words go to the tasks; rarer words meet their counts in a join.
 
-Defined results: a null or empty text is the end token alone; rows are scored one by one, repeated or not; rows with a
-null doc_id are held out; without training documents nothing is known and N and V are 0; further columns are ignored.
+Defined results: a null or empty text is the end token alone; texts of any length are scored whole; rows are scored one
+by one, repeated or not; rows with a null doc_id are held out; of equally frequent words the one with the smaller bytes
+is known first; without training documents nothing is known and N and V are 0; an empty table gives no rows; further
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -26,22 +30,25 @@ from collections.abc import Callable, Iterator
 from itertools import repeat
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from citeflow.llm.common import crc_bucket, cut, shared_path, slices, texts
 
 HEAD = 200_000
 WORDS = 992
+#: Words of the network for each root of the number of types.
+PER_ROOT = 1
 PER_CLASS = 32
-TYPES_PER_WORD = 64
-WIDTH, HIDDEN = 16, 24
+WIDTH, HIDDEN = 16, 16
 ROUNDS = 4
 LEARNER_TOKENS = 1 << 18
-GATHER_TOKENS = 2_000_000
+GATHER_TOKENS = 3_000_000
 CHUNK = 16_384
-WINDOW, STREAMS = 24, 128
-RATE = 0.01
+WINDOW, STREAMS, SCORE_STREAMS = 16, 384, 1024
+#: Fewer streams are taken, down to the least, where a pass would have fewer steps than these.
+STEPS, LEAST_STREAMS = 200, 16
+RATE, WARM_STEPS = 0.015, 20
 FLUSH_WORDS = 300_000
 END = b""
 
@@ -92,11 +99,13 @@ def frequent(counts: DataFrame, most: int = HEAD) -> list[tuple[bytes, int]]:
 class Vocabulary:
     def __init__(self, head: list[tuple[bytes, int]], tokens: int, types: int):
         self.tokens, self.types = tokens, types
-        self.count = dict(head)
         ends = [w for w in head if w[0] == END]
-        chosen = sorted((ends + [w for w in head if w[0] != END])[: max(WORDS, types // TYPES_PER_WORD)], key=lambda x: (-x[1], x[0]))
+        others = [w for w in head if w[0] != END]
+        room = max(WORDS, PER_ROOT * math.isqrt(types)) - len(ends)
+        chosen = sorted(ends + others[:room], key=lambda x: (-x[1], x[0]))
         self.per_class = max(PER_CLASS, math.isqrt(len(chosen)))
-        self.index = {w: k for k, (w, _) in enumerate(chosen)}
+        #: All counted words, those of the network first.
+        self.words = chosen + others[room:]
         self.classes = max(1, math.ceil(len(chosen) / self.per_class))
         self.rare_class = self.classes
         self.rare = len(chosen)
@@ -111,11 +120,14 @@ class Vocabulary:
         self.word_bias = np.where(n > 0, inner, -1e4).astype(np.float32)
 
     def without_words(self) -> Vocabulary:
-        """What learning on ids needs."""
+        """What learning and scoring of ids need."""
         out = copy.copy(self)
-        out.index, out.count = {}, {}
+        out.words = []
         return out
 
+    def ids_kind(self) -> str:
+        return "<u2" if self.rare < 1 << 16 else "<u4"
+
     def rare_norm(self) -> float:
         return math.log10(self.rare_tokens + self.rare_types + 1)
 
@@ -142,47 +154,68 @@ def initial(v: Vocabulary) -> dict[str, np.ndarray]:
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-x))
-
-
-def _streams(docs: list[np.ndarray], rare: int, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Documents laid end to end in streams of about one length: inputs, targets (-1: none), starts, and the document of each place."""
-    total, longest = sum(map(len, docs)), max(map(len, docs))
-    n = max(1, min(most, len(docs), math.ceil(total / longest)))
-    ends, held = np.zeros(n, dtype=np.int64), [[] for _ in range(n)]
-    for k in sorted(range(len(docs)), key=lambda k: -len(docs[k])):
-        at = int(ends.argmin())
-        held[at].append(k)
-        ends[at] += len(docs[k])
-    steps = int(ends.max())
-    targets, inputs = np.full((steps, n), -1, dtype=np.int32), np.full((steps, n), rare + 1, dtype=np.int32)
-    starts, owner = np.zeros((steps, n), dtype=bool), np.zeros((steps, n), dtype=np.int32)
-    for s, own in enumerate(held):
+    """In place."""
+    np.negative(x, out=x)
+    np.exp(x, out=x)
+    x += 1
+    return np.reciprocal(x, out=x)
+
+
+class Streams:
+    """Documents laid end to end in streams, the longest stream first: inputs, targets, starts, and whose each place is."""
+
+    def __init__(self, docs: list[np.ndarray], rare: int, most: int):
+        n = max(1, min(most, len(docs)))
+        ends, held = np.zeros(n, dtype=np.int64), [[] for _ in range(n)]
+        for k in sorted(range(len(docs)), key=lambda k: -len(docs[k])):
+            at = int(ends.argmin())
+            held[at].append(k)
+            ends[at] += len(docs[k])
+        order = np.argsort(-ends, kind="stable")
+        self.sizes, steps = ends[order], int(ends.max())
+        self.targets, self.inputs = np.zeros((steps, n), dtype=np.int32), np.full((steps, n), rare + 1, dtype=np.int32)
+        self.starts, self.owner = np.zeros((steps, n), dtype=bool), np.zeros((steps, n), dtype=np.int32)
+        for s, own in enumerate(order.tolist()):
+            at = 0
+            for k in held[own]:
+                d = docs[k]
+                end = at + len(d)
+                self.targets[at:end, s], self.inputs[at + 1 : end, s] = d, d[:-1]
+                self.starts[at, s], self.owner[at:end, s] = True, k
+                at = end
+
+    def windows(self, tokens: int, most_steps: int) -> Iterator[tuple[slice, int, np.ndarray]]:
+        """Places of about ``tokens`` tokens, how many streams reach them, and which of their places are filled."""
         at = 0
-        for k in own:
-            d = docs[k]
-            targets[at : at + len(d), s], inputs[at + 1 : at + len(d), s] = d, d[:-1]
-            starts[at, s], owner[at : at + len(d), s] = True, k
-            at += len(d)
-    return inputs, targets, starts, owner
+        while at < len(self.targets):
+            n = int(np.searchsorted(-self.sizes, -at))
+            steps = slice(at, min(at + max(1, min(most_steps, tokens // n)), len(self.targets)))
+            yield steps, n, np.arange(steps.start, steps.stop)[:, None] < self.sizes[:n]
+            at = steps.stop
 
 
 def _forward(p: dict, inputs: np.ndarray, starts: np.ndarray, h: np.ndarray, table: np.ndarray, keep: bool) -> tuple[np.ndarray, list]:
     """States after each step, carrying ``h`` in (its last row is the state to carry on)."""
     steps, n = inputs.shape
     states, tape = np.empty((steps, n, HIDDEN), dtype=np.float32), []
-    over, two = p["over"], 2 * HIDDEN
+    over, two, x = p["over"], 2 * HIDDEN, table[inputs]
+    begins = starts.any(axis=1).tolist()
     for t in range(steps):
-        if starts[t].any():
-            h = h * ~starts[t][:, None]
-        x, u = table[inputs[t]], h @ over
-        gates = _sigmoid(x[:, :two] + u[:, :two])
+        if begins[t]:
+            h = np.where(starts[t][:, None], np.float32(0), h)
+        u = h @ over
+        gates = _sigmoid(x[t, :, :two] + u[:, :two])
         z, r = gates[:, :HIDDEN], gates[:, HIDDEN:]
-        new = np.tanh(x[:, two:] + r * u[:, two:])
+        new = r * u[:, two:]
+        new += x[t, :, two:]
+        np.tanh(new, out=new)
         if keep:
             tape.append((h, z, r, new, u[:, two:]))
-        h = new + z * (h - new)
-        states[t] = h
+        out = states[t]
+        np.subtract(h, new, out=out)
+        out *= z
+        out += new
+        h = out
     return states, tape
 
 
@@ -198,8 +231,11 @@ def _softmax(x: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return log - np.log(total), x
 
 
-def _outputs(p: dict, v: Vocabulary, states: np.ndarray, targets: np.ndarray, grads: dict | None) -> tuple[np.ndarray, np.ndarray | None]:
-    """Natural log-probability of each target (the rare class: of the class), and the gradient into the states."""
+def _outputs(p: dict, v: Vocabulary, states: np.ndarray, targets: np.ndarray, grads: dict | None, kinds: np.ndarray) -> tuple[np.ndarray, np.ndarray | None]:
+    """Natural log-probability of each target (the rare class: of the class), and the gradient into the states.
+
+    ``kinds``: the classes whose words' weights ``p`` and ``grads`` hold, in order.
+    """
     order = np.argsort(targets, kind="stable")
     states, words = states[order], targets[order]
     kind = v.class_of(words)
@@ -210,14 +246,15 @@ def _outputs(p: dict, v: Vocabulary, states: np.ndarray, targets: np.ndarray, gr
         grads["class_b"] += d.sum(axis=0)
         into = d @ p["class_w"].T
     held, starts = np.unique(kind, return_index=True)
-    for c, a, b in zip(held.tolist(), starts.tolist(), [*starts[1:].tolist(), len(kind)], strict=True):
+    rows = np.searchsorted(kinds, held).tolist()
+    for c, k, a, b in zip(held.tolist(), rows, starts.tolist(), [*starts[1:].tolist(), len(kind)], strict=True):
         if c < v.classes:
-            w, h = p["word_w"][c], states[a:b]
-            log, d = _softmax(h @ w + p["word_b"][c], words[a:b] - c * v.per_class)
+            w, h = p["word_w"][k], states[a:b]
+            log, d = _softmax(h @ w + p["word_b"][k], words[a:b] - c * v.per_class)
             logs[a:b] += log
             if grads is not None:
-                grads["word_w"][c] += h.T @ d
-                grads["word_b"][c] += d.sum(axis=0)
+                grads["word_w"][k] += h.T @ d
+                grads["word_b"][k] += d.sum(axis=0)
                 into[a:b] += d @ w.T
     back = np.empty_like(order)
     back[order] = np.arange(len(order))
@@ -228,10 +265,10 @@ def _backward(p: dict, grads: dict, inputs: np.ndarray, starts: np.ndarray, tape
     """Through one window; nothing goes back beyond its first step, nor beyond a document's start."""
     into_table = np.zeros((p["embed"].shape[0], 3 * HIDDEN), dtype=into.dtype)
     into_x, into_u = np.empty((2, *into.shape[:2], 3 * HIDDEN), dtype=into.dtype)
-    back, dh = p["over"].T, np.zeros_like(into[0])
+    back, dh = np.ascontiguousarray(p["over"].T), np.zeros_like(into[0])
     for t in range(len(tape) - 1, -1, -1):
         h, z, r, new, u = tape[t]
-        dh = dh + into[t]
+        dh += into[t]
         dn = dh * (1 - z) * (1 - new * new)
         x, du = into_x[t], into_u[t]
         x[:, :HIDDEN] = dh * (h - new) * z * (1 - z)
@@ -241,7 +278,7 @@ def _backward(p: dict, grads: dict, inputs: np.ndarray, starts: np.ndarray, tape
         du[:, 2 * HIDDEN :] *= r
         dh = dh * z + du @ back
         if starts[t].any():
-            dh = dh * ~starts[t][:, None]
+            dh[starts[t]] = 0
     grads["over"] += np.concatenate([x[0] for x in tape]).T @ into_u.reshape(-1, 3 * HIDDEN)
     flat = inputs.reshape(-1)
     order = np.argsort(flat, kind="stable")
@@ -256,121 +293,186 @@ def _table(p: dict) -> np.ndarray:
     return p["embed"] @ p["into"] + p["bias"]
 
 
-def learn(p: dict, v: Vocabulary, docs: list[np.ndarray], memory: dict) -> int:
-    """One pass of truncated backpropagation with Adam over ``docs``; returns the number of tokens.
+class Adam:
+    """First and second moments; a step touches only the rows that it is given."""
 
-    A step touches only the rows of the words and classes that its window holds.
-    """
-    inputs, targets, starts, _ = _streams(docs, v.rare, STREAMS)
-    h = np.zeros((inputs.shape[1], HIDDEN), dtype=np.float32)
-    for a in range(0, len(inputs), WINDOW):
-        i, t, s = inputs[a : a + WINDOW], targets[a : a + WINDOW].reshape(-1), starts[a : a + WINDOW]
-        real = t >= 0
-        if not real.any():
-            continue
-        words, near = np.unique(i, return_inverse=True)
-        kinds = np.unique(v.class_of(t[real]))
-        kinds = kinds[kinds < v.classes]
-        rows = {"embed": words, "word_w": kinds, "word_b": kinds}
-        q, i = p | {"embed": p["embed"][words]}, near.reshape(i.shape)
-        states, tape = _forward(q, i, s, h, _table(q), True)
-        h = states[-1]
-        grads = memory.setdefault("grads", {k: np.zeros_like(x) for k, x in p.items() if k != "embed"}) | {"embed": np.zeros_like(q["embed"])}
-        into = np.zeros((real.size, HIDDEN), dtype=np.float32)
-        _, into[real] = _outputs(q, v, states.reshape(-1, HIDDEN)[real], t[real], grads)
-        _backward(q, grads, i, s, tape, into.reshape(states.shape))
-        memory["steps"] = n = memory.get("steps", 0) + 1
+    def __init__(self, p: dict):
+        self.steps = 0
+        self.moments = {k: (np.zeros_like(x), np.zeros_like(x)) for k, x in p.items()}
+
+    def step(self, p: dict, grads: dict, rows: dict, tokens: int, usual: int) -> None:
+        """A window of fewer tokens than usual, as at the end of a long document, moves the weights less."""
+        self.steps += 1
+        scale, first, second = 1 / tokens, 1 / (1 - 0.9**self.steps), 1 / (1 - 0.999**self.steps)
+        rate = RATE * min(1, self.steps / WARM_STEPS) * min(1, tokens / usual)
         for k, x in p.items():
-            m, w = memory.setdefault(k, (np.zeros_like(x), np.zeros_like(x)))
-            at = rows.get(k, slice(None))
-            g = (grads[k] if k == "embed" else grads[k][at]) / real.sum()
+            at, (m, w) = rows.get(k, slice(None)), self.moments[k]
+            g = grads[k] * scale
             m[at] += 0.1 * (g - m[at])
             w[at] += 0.001 * (g * g - w[at])
-            x[at] -= RATE * (m[at] / (1 - 0.9**n)) / (np.sqrt(w[at] / (1 - 0.999**n)) + 1e-6)
-            if k != "embed":
-                grads[k][at] = 0
-    return int((targets >= 0).sum())
+            x[at] -= rate * first * m[at] / (np.sqrt(w[at] * second) + 1e-6)
+
+
+def learn(p: dict, v: Vocabulary, docs: list[np.ndarray], adam: Adam) -> int:
+    """One pass of truncated backpropagation over ``docs``; returns the number of tokens."""
+    most = max(LEAST_STREAMS, min(STREAMS, sum(map(len, docs)) // (WINDOW * STEPS)))
+    streams, total = Streams(docs, v.rare, most), 0
+    h = np.zeros((streams.targets.shape[1], HIDDEN), dtype=np.float32)
+    for steps, n, filled in streams.windows(WINDOW * most, 4 * WINDOW):
+        inputs, starts, t = streams.inputs[steps, :n], streams.starts[steps, :n], streams.targets[steps, :n][filled]
+        words, near = np.unique(inputs, return_inverse=True)
+        kinds = np.unique(v.class_of(t))
+        kinds = kinds[kinds < v.classes]
+        rows = {"embed": words, "word_w": kinds, "word_b": kinds}
+        q, near = {k: x[rows[k]] if k in rows else x for k, x in p.items()}, near.reshape(inputs.shape)
+        grads = {k: np.zeros_like(x) for k, x in q.items()}
+        states, tape = _forward(q, near, starts, h[:n], _table(q), True)
+        h = states[-1]
+        into = np.zeros_like(states)
+        into[filled] = _outputs(q, v, states[filled], t, grads, kinds)[1]
+        _backward(q, grads, near, starts, tape, into)
+        adam.step(p, grads, rows, len(t), WINDOW * most)
+        total += len(t)
+    return total
 
 
 def score_ids(p: dict, v: Vocabulary, docs: list[np.ndarray]) -> np.ndarray:
     """log10 of each document's probability, rare words as their class only."""
-    out = np.zeros(len(docs))
-    inputs, targets, starts, owner = _streams(docs, v.rare, 1024)
-    h, table = np.zeros((inputs.shape[1], HIDDEN), dtype=np.float32), _table(p)
-    window = max(1, 16384 // inputs.shape[1])
-    for a in range(0, len(inputs), window):
-        states, _ = _forward(p, inputs[a : a + window], starts[a : a + window], h, table, False)
+    out, kinds = np.zeros(len(docs)), np.arange(v.classes)
+    streams, table = Streams(docs, v.rare, SCORE_STREAMS), _table(p)
+    h = np.zeros((streams.targets.shape[1], HIDDEN), dtype=np.float32)
+    for steps, n, filled in streams.windows(WINDOW * SCORE_STREAMS, WINDOW * SCORE_STREAMS):
+        states, _ = _forward(p, streams.inputs[steps, :n], streams.starts[steps, :n], h[:n], table, False)
         h = states[-1]
-        t = targets[a : a + window].reshape(-1)
-        real = np.flatnonzero(t >= 0)
-        logs, _ = _outputs(p, v, states.reshape(-1, HIDDEN)[real], t[real], None)
-        out += np.bincount(owner[a : a + window].reshape(-1)[real], weights=logs.astype(np.float64), minlength=len(docs))
+        logs, _ = _outputs(p, v, states[filled], streams.targets[steps, :n][filled], None, kinds)
+        out += np.bincount(streams.owner[steps, :n][filled], weights=logs.astype(np.float64), minlength=len(docs))
     return out / math.log(10)
 
 
+_ENCODED = "row bigint, doc_id bigint, held_out boolean, round int, learner int, dealt bigint, n_tokens bigint, n_known bigint, logs double, rare_logs double, n_rare bigint, rare array<struct<word: binary, n: bigint>>, ids binary"
+
+
 def _encode(v: Vocabulary) -> Callable[[Iterator], Iterator]:
-    """The word ids of each text, four bytes a word."""
+    """The network's ids of each text, the sums of its words' log counts, and the words that have none in ``v``."""
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
+        from pyspark import TaskContext
 
+        row = TaskContext.get().partitionId() << 40
+        get = {w: k for k, (w, _) in enumerate(v.words)}.get
+        plus, kind = np.log10(np.array([n for _, n in v.words], dtype=np.float64) + 1), v.ids_kind()
+        given = ["doc_id", "held_out", "round", "learner", "dealt"]
         for batch in slices(batches):
-            ids = [np.fromiter(map(v.index.get, words_of(x), repeat(v.rare)), dtype="<i4").tobytes() for x in texts(batch.column("text"))]
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.binary())], names=["ids"])
+            n_tokens, n_known, logs, rare_logs, n_rare, ids = [], [], [], [], [], []
+            missing, times, ends = [], [], [0]
+            for x in texts(batch.column("text")):
+                words = words_of(x)
+                at = np.fromiter(map(get, words, repeat(-1)), dtype=np.int32, count=len(words))
+                known = at[at >= 0]
+                if len(known) < len(at):
+                    absent = Counter(words[k] for k in np.flatnonzero(at < 0).tolist())
+                    missing += absent.keys()
+                    times += absent.values()
+                own = plus[known]
+                net = np.where((at < 0) | (at >= v.rare), v.rare, at)
+                n_tokens.append(len(words))
+                n_known.append(len(known))
+                logs.append(float(own.sum()))
+                rare_logs.append(float(own[known >= v.rare].sum()))
+                n_rare.append(int((net == v.rare).sum()))
+                ids.append(net.astype(kind).tobytes())
+                ends.append(len(missing))
+            rare = pa.StructArray.from_arrays([pa.array(missing, pa.binary()), pa.array(times, pa.int64())], ["word", "n"])
+            rows = np.arange(row, row + len(ids))
+            row += len(ids)
+            made = [pa.array(n_tokens, pa.int64()), pa.array(n_known, pa.int64()), pa.array(logs, pa.float64()), pa.array(rare_logs, pa.float64()), pa.array(n_rare, pa.int64())]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(rows), *(batch.column(c) for c in given), *made, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), rare), pa.array(ids, pa.binary())],
+                names=["row", *given, "n_tokens", "n_known", "logs", "rare_logs", "n_rare", "rare", "ids"],
+            )
 
     return run
 
 
+def encode(docs: DataFrame, held_out: Column, v: Vocabulary) -> DataFrame:
+    """``docs`` (doc_id, text) as a written table of ids, each row dealt to a round and a learner by a hash of its id."""
+    path, dealt = shared_path(docs.sparkSession, "lm-ids"), F.xxhash64("doc_id", F.lit(5))
+    round_ = F.pmod(F.shiftright(dealt, 32), F.lit(ROUNDS)).cast("int").alias("round")
+    hashed = docs.select("doc_id", "text", held_out.alias("held_out"), round_, F.pmod(dealt, F.lit(learners(v.tokens))).cast("int").alias("learner"), dealt.alias("dealt"))
+    hashed.mapInArrow(_encode(v), _ENCODED).write.option("compression", "zstd").parquet(path)
+    return docs.sparkSession.read.schema(_ENCODED).parquet(path)
+
+
+def _weights_out(pa, learner: int, p: dict, tokens: int) -> Iterator:
+    flat = np.concatenate([x.reshape(-1) for x in p.values()]).astype("<f4")
+    for k, a in enumerate(range(0, len(flat), CHUNK)):
+        values = [[k], [learner], [tokens], [flat[a : a + CHUNK].tobytes()]]
+        kinds = [pa.int32(), pa.int32(), pa.int64(), pa.binary()]
+        yield pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(values, kinds, strict=True)], names=["k", "learner", "tokens", "w"])
+
+
 def _learn(p: dict, v: Vocabulary) -> Callable[[Iterator], Iterator]:
-    """Trains on the task's documents and gives its weights in chunks, each with the task's tokens."""
+    """Trains each of the task's learners on its documents, which come in its order, and gives its weights in chunks."""
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        own, memory, tokens, docs, held = {k: x.copy() for k, x in p.items()}, {}, 0, [], 0
+        kind, at = v.ids_kind(), None
+        own, adam, tokens, docs, held = None, None, 0, [], 0
         for batch in slices(batches):
-            for x in batch.column("ids").to_pylist():
-                docs.append(np.frombuffer(x, dtype="<i4"))
+            for learner, x in zip(batch.column("learner").to_pylist(), batch.column("ids").to_pylist(), strict=True):
+                if learner != at or held >= GATHER_TOKENS:
+                    if docs:
+                        tokens += learn(own, v, docs, adam)
+                        docs, held = [], 0
+                    if learner != at:
+                        if tokens:
+                            yield from _weights_out(pa, at, own, tokens)
+                        at, own, tokens = learner, {k: x.copy() for k, x in p.items()}, 0
+                        adam = Adam(own)
+                docs.append(np.frombuffer(x, dtype=kind).astype(np.int32))
                 held += len(docs[-1])
-            if held >= GATHER_TOKENS:
-                tokens += learn(own, v, docs, memory)
-                docs, held = [], 0
         if docs:
-            tokens += learn(own, v, docs, memory)
-        if tokens:
-            flat = np.concatenate([x.reshape(-1) for x in own.values()]).astype("<f4")
-            for k, a in enumerate(range(0, len(flat), CHUNK)):
-                chunk = pa.array([flat[a : a + CHUNK].tobytes()], pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([tokens], pa.int64()), chunk], names=["k", "tokens", "w"])
+            tokens += learn(own, v, docs, adam)
+            yield from _weights_out(pa, at, own, tokens)
 
     return run
 
 
 def _average(batches: Iterator) -> Iterator:
-    """The mean of each chunk of weights, weighted by tokens."""
+    """The mean of each chunk of weights, weighted by tokens; chunks come one after the other, by learner."""
     import pyarrow as pa
 
-    sums: dict[int, list] = {}
+    at, total, tokens = None, None, 0
+
+    def mean() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), pa.array([(total / tokens).astype("<f4").tobytes()], pa.binary())], names=["k", "w"])
+
     for batch in slices(batches, 64):
         for r in batch.to_pylist():
-            held = sums.setdefault(r["k"], [0.0, 0])
-            held[0] = held[0] + np.frombuffer(r["w"], dtype="<f4").astype(np.float64) * r["tokens"]
-            held[1] += r["tokens"]
-    for k, (x, n) in sums.items():
-        yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([(x / n).astype("<f4").tobytes()], pa.binary())], names=["k", "w"])
+            if r["k"] != at:
+                if at is not None:
+                    yield mean()
+                at, total, tokens = r["k"], 0.0, 0
+            total = total + np.frombuffer(r["w"], dtype="<f4").astype(np.float64) * r["tokens"]
+            tokens += r["tokens"]
+    if at is not None:
+        yield mean()
 
 
 def learners(tokens: int) -> int:
     return max(1, math.isqrt(tokens // LEARNER_TOKENS))
 
 
-def train(docs: DataFrame, v: Vocabulary) -> dict[str, np.ndarray]:
-    """Weights after one pass over all of ``docs``, the training documents (doc_id, text)."""
-    p, bare = initial(v), v.without_words()
+def train(encoded: DataFrame, v: Vocabulary) -> dict[str, np.ndarray]:
+    """Weights after one pass over all training documents of ``encoded``."""
+    p, bare, n = initial(v), v.without_words(), learners(v.tokens)
     for number in range(ROUNDS):
-        own = docs.where(F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(ROUNDS)) == number).select("text")
-        dealt = own.mapInArrow(_encode(v), "ids binary").repartition(learners(v.tokens))
-        means = dealt.mapInArrow(_learn(p, bare), "k int, tokens bigint, w binary").repartition("k").mapInArrow(_average, "k int, w binary").collect()
+        own = encoded.where(~F.col("held_out") & (F.col("round") == number)).select("learner", "dealt", "doc_id", "ids")
+        dealt = own.repartitionByRange(n, "learner").sortWithinPartitions("learner", "dealt", "doc_id", "ids").select("learner", "ids")
+        given = dealt.mapInArrow(_learn(p, bare), "k int, learner int, tokens bigint, w binary")
+        means = given.repartition("k").sortWithinPartitions("k", "learner").mapInArrow(_average, "k int, w binary").collect()
         if not means:
             continue
         flat, at = np.concatenate([np.frombuffer(r["w"], dtype="<f4") for r in sorted(means)]), 0
@@ -380,46 +482,15 @@ def train(docs: DataFrame, v: Vocabulary) -> dict[str, np.ndarray]:
     return p
 
 
-_SCORED = "row bigint, doc_id bigint, n_tokens bigint, n_known bigint, logs double, score double, n_rare bigint, rare array<struct<word: binary, n: bigint>>"
-
-
-def _score(p: dict, v: Vocabulary) -> Callable[[Iterator], Iterator]:
+def _score(p: dict, v: Vocabulary, keep: list[str]) -> Callable[[Iterator], Iterator]:
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
-        from pyspark import TaskContext
 
-        row = TaskContext.get().partitionId() << 40
-        plus = {w: (math.log10(n + 1), w not in v.index) for w, n in v.count.items()}
-        for batch in batches:
-            ids, n_tokens, n_known, logs, rare_logs, n_rare = [], [], [], [], [], []
-            missing, times, ends = [], [], [0]
-            for x in texts(batch.column("text")):
-                words = words_of(x)
-                ids.append(np.fromiter(map(v.index.get, words, repeat(v.rare)), dtype=np.int32, count=len(words)))
-                known, total, among_rare = 0, 0.0, 0.0
-                for w, n in Counter(words).items():
-                    got = plus.get(w)
-                    if got is None:
-                        missing.append(w)
-                        times.append(n)
-                    else:
-                        known += n
-                        total += n * got[0]
-                        among_rare += n * got[0] if got[1] else 0.0
-                n_tokens.append(len(words))
-                n_known.append(known)
-                logs.append(total)
-                rare_logs.append(among_rare)
-                n_rare.append(int((ids[-1] == v.rare).sum()))
-                ends.append(len(missing))
-            score = score_ids(p, v, ids) + rare_logs if ids else []
-            rare = pa.StructArray.from_arrays([pa.array(missing, pa.binary()), pa.array(times, pa.int64())], ["word", "n"])
-            rows = np.arange(row, row + len(ids))
-            row += len(ids)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(rows), batch.column("doc_id"), pa.array(n_tokens, pa.int64()), pa.array(n_known, pa.int64()), pa.array(logs, pa.float64()), pa.array(score, pa.float64()), pa.array(n_rare, pa.int64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), rare)],
-                names=["row", "doc_id", "n_tokens", "n_known", "logs", "score", "n_rare", "rare"],
-            )
+        kind = v.ids_kind()
+        for batch in slices(batches, 4096):
+            if batch.num_rows:
+                score = score_ids(p, v, [np.frombuffer(x, dtype=kind).astype(np.int32) for x in batch.column("ids").to_pylist()])
+                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(score, pa.float64())], names=[*keep, "score"])
 
     return run
 
@@ -429,29 +500,30 @@ def scores(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     held_out = F.coalesce(crc_bucket("doc_id", 7) == 2, F.lit(True))
-    train_docs = docs.where(~held_out)
     path = shared_path(spark, "lm-counts")
-    count_words(train_docs).write.parquet(path)
+    count_words(docs.where(~held_out)).write.parquet(path)
     counts = spark.read.schema("word binary, n bigint").parquet(path)
     tokens, types = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     head = frequent(counts)
     if all(w != END for w, _ in head):
         head += [(END, r["n"]) for r in counts.where(F.length("word") == 0).collect()]
     v = Vocabulary(head, tokens, types)
-    p = train(train_docs, v)
 
-    path = shared_path(spark, "lm-scores")
-    docs.mapInArrow(_score(p, v), _SCORED).write.parquet(path)
-    scored = spark.read.schema(_SCORED).parquet(path)
-    missing = scored.select("row", F.explode("rare").alias("x")).select("row", "x.word", F.col("x.n").alias("times"))
+    encoded = encode(docs, held_out, v)
+    p = train(encoded, v)
+
+    missing = encoded.select("row", F.explode("rare").alias("x")).select("row", "x.word", F.col("x.n").alias("times"))
     met = missing.join(counts, "word").groupBy("row").agg(F.sum("times").alias("more_known"), F.sum(F.col("times") * F.log10(F.col("n") + 1)).alias("more"))
+    keep = ["row", "doc_id", "held_out", "n_tokens", "n_known", "logs", "rare_logs", "n_rare"]
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in encoded.select(*keep).schema)
+    scored = encoded.select(*keep, "ids").mapInArrow(_score(p, v.without_words(), keep), f"{kinds}, score double")
     more = F.coalesce("more", F.lit(0.0))
-    return scored.drop("rare").join(cut(met), "row", "left").select(
+    return scored.join(cut(met), "row", "left").select(
         "doc_id",
-        held_out.alias("held_out"),
+        "held_out",
         "n_tokens",
         (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
         F.lit(tokens).cast("long").alias("train_tokens"),
         (F.col("logs") + more - F.col("n_tokens") * math.log10(tokens + types + 1)).alias("base_score"),
-        (F.col("score") + more - F.col("n_rare") * v.rare_norm()).alias("score"),
+        (F.col("score") + F.col("rare_logs") + more - F.col("n_rare") * v.rare_norm()).alias("score"),
     )

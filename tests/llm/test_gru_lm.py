@@ -4,6 +4,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tests.llm.cases import awkward, empty
 
 from citeflow.llm import gru_lm, queries
@@ -46,7 +47,7 @@ def test_held_out_texts_are_likelier_than_by_counts(spark):
 def test_untrained_network_is_the_unigram_model(monkeypatch):
     monkeypatch.setattr(gru_lm, "WORDS", 50)
     v = _vocabulary()
-    docs = [np.array([v.index[b"w3"], v.index[b"w7"], v.rare, v.index[b""]], dtype=np.int32)]
+    docs = [np.array([_index(v)[b"w3"], _index(v)[b"w7"], v.rare, _index(v)[b""]], dtype=np.int32)]
     got = gru_lm.score_ids(gru_lm.initial(v), v, docs)[0] + math.log10(5) - v.rare_norm()
     want = sum(math.log10((c + 1) / (v.tokens + v.types + 1)) for c in (970, 930, 4, 500))
     assert abs(got - want) < 1e-3
@@ -60,6 +61,14 @@ def test_awkward_rows(spark):
     assert gru_lm.scores(empty(spark)).count() == 0
 
 
+def _index(v):
+    return {w: k for k, (w, _) in enumerate(v.words[: v.rare])}
+
+
+def _all(v):
+    return np.arange(v.classes)
+
+
 def _vocabulary(words=70):
     head = [(b"", 500)] + [(f"w{k}".encode(), 1000 - 10 * k) for k in range(words)]
     return gru_lm.Vocabulary(head, sum(n for _, n in head) + 300, len(head) + 40)
@@ -75,9 +84,9 @@ def test_probabilities_add_up_to_one(monkeypatch):
     v = _vocabulary()
     p = _random(v)
     states = np.random.default_rng(0).normal(size=(1, gru_lm.HIDDEN)).astype(np.float32)
-    total = sum(math.exp(gru_lm._outputs(p, v, states, np.array([k]), None)[0][0]) for k in range(v.rare + 1))
+    total = sum(math.exp(gru_lm._outputs(p, v, states, np.array([k]), None, _all(v))[0][0]) for k in range(v.rare + 1))
     assert abs(total - 1) < 1e-4
-    assert len(v.index) == 50 and b"" in v.index
+    assert len(_index(v)) == 50 and b"" in _index(v)
 
 
 def test_state_is_carried_to_the_end(monkeypatch):
@@ -92,7 +101,7 @@ def test_state_is_carried_to_the_end(monkeypatch):
         for before, target in zip([v.rare + 1, *d[:-1]], d, strict=True):
             states, _ = gru_lm._forward(p, np.array([[before]]), np.array([[False]]), h, table, False)
             h = states[-1]
-            total += gru_lm._outputs(p, v, h, np.array([target]), None)[0][0]
+            total += gru_lm._outputs(p, v, h, np.array([target]), None, _all(v))[0][0]
         want.append(total / math.log(10))
     assert np.allclose(gru_lm.score_ids(p, v, docs), want, rtol=1e-4)
 
@@ -108,11 +117,11 @@ def test_gradients(monkeypatch):
 
     def loss(q):
         states, _ = gru_lm._forward(q, inputs, starts, np.zeros((3, gru_lm.HIDDEN)), gru_lm._table(q), False)
-        return -gru_lm._outputs(q, v, states.reshape(18, -1).astype(np.float64), targets, None)[0].sum()
+        return -gru_lm._outputs(q, v, states.reshape(18, -1).astype(np.float64), targets, None, _all(v))[0].sum()
 
     states, tape = gru_lm._forward(p, inputs, starts, np.zeros((3, gru_lm.HIDDEN)), gru_lm._table(p), True)
     grads = {k: np.zeros_like(x) for k, x in p.items()}
-    _, into = gru_lm._outputs(p, v, states.reshape(18, -1).astype(np.float64), targets, grads)
+    _, into = gru_lm._outputs(p, v, states.reshape(18, -1).astype(np.float64), targets, grads, _all(v))
     gru_lm._backward(p, grads, inputs, starts, tape, into.reshape(6, 3, -1))
     for name in ("embed", "into", "bias", "over", "class_w", "class_b", "word_w"):
         for _ in range(6):
@@ -132,7 +141,7 @@ def _trained(spark, rows):
     counts = gru_lm.count_words(docs)
     n, types = counts.selectExpr("sum(n)", "count(*)").first()
     v = gru_lm.Vocabulary(gru_lm.frequent(counts), n, types)
-    return v, gru_lm.train(docs, v)
+    return v, gru_lm.train(gru_lm.encode(docs, F.lit(False), v), v)
 
 
 def test_every_training_document_teaches(spark):
@@ -140,7 +149,7 @@ def test_every_training_document_teaches(spark):
     rows = [(k, f"own{k} next{k} " * 30) for k in range(40)]
     v, p = _trained(spark, rows)
     start = gru_lm.initial(v)
-    moved = {k for k in range(40) if not np.array_equal(p["embed"][v.index[b"own%d" % k]], start["embed"][v.index[b"own%d" % k]])}
+    moved = {k for k in range(40) if not np.array_equal(p["embed"][_index(v)[b"own%d" % k]], start["embed"][_index(v)[b"own%d" % k]])}
     assert moved == set(range(40))
 
 
@@ -149,8 +158,42 @@ def test_a_single_document_teaches(spark):
     assert not np.array_equal(p["class_w"], gru_lm.initial(v)["class_w"])
 
 
+def test_weights_do_not_depend_on_the_partitioning(spark, monkeypatch):
+    monkeypatch.setattr(gru_lm, "LEARNER_TOKENS", 100)
+    rows = [(k, f"a{k % 7} b c{k % 3} " * 12) for k in range(90)]
+    _, p = _trained(spark, rows)
+    _, q = _trained(spark, rows[::-1])
+    assert all(np.array_equal(p[k], q[k]) for k in p)
+    start = gru_lm.initial(gru_lm.Vocabulary([(b"", 1)], 1, 1))
+    assert set(start) == set(p)
+
+
+def test_trained_score_against_a_plain_pass(spark):
+    """The scores of the query's own weights, computed document by document with plain loops over the formulas."""
+    rows = [(k, " ".join(f"w{(k * j) % 17}" for j in range(1, 40))) for k in range(60)]
+    v, p = _trained(spark, rows)
+    index, sig = _index(v), lambda x: 1 / (1 + np.exp(-x))
+    docs = [[index.get(w, v.rare) for w in gru_lm.words_of(t.encode())] for _, t in rows[:5]]
+    want, n = [], gru_lm.HIDDEN
+    for d in docs:
+        h, total = np.zeros(n), 0.0
+        for before, target in zip([v.rare + 1, *d[:-1]], d):
+            x, u = p["embed"][before] @ p["into"] + p["bias"], h @ p["over"]
+            z, r = sig(x[:n] + u[:n]), sig(x[n : 2 * n] + u[n : 2 * n])
+            h = (1 - z) * np.tanh(x[2 * n :] + r * u[2 * n :]) + z * h
+            c = v.classes if target == v.rare else target // v.per_class
+            logits = h @ p["class_w"] + p["class_b"]
+            total += logits[c] - np.log(np.exp(logits).sum())
+            if c < v.classes:
+                logits = h @ p["word_w"][c] + p["word_b"][c]
+                total += logits[target - c * v.per_class] - np.log(np.exp(logits).sum())
+        want.append(total / math.log(10))
+    got = gru_lm.score_ids(p, v, [np.array(d, dtype=np.int32) for d in docs])
+    assert np.allclose(got, want, rtol=1e-4)
+
+
 def test_vocabulary_and_learners_grow():
-    sizes = [len(gru_lm.Vocabulary([(b"", 9), *((b"w%d" % k, 5) for k in range(5000))], 10**6, types).index) for types in (5001, 200_000, 10**6)]
-    assert sizes == [gru_lm.WORDS, 3125, 5001]
+    sizes = [gru_lm.Vocabulary([(b"", 9), *((b"w%d" % k, 5) for k in range(5000))], 10**6, types).rare for types in (5001, 10**6, 10**7)]
+    assert sizes == [gru_lm.WORDS, 1000, 3162]
     few, many = gru_lm.learners(10**7), gru_lm.learners(10**9)
     assert 1 < few < many and 10**7 / few < 10**9 / many
