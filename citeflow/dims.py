@@ -82,11 +82,11 @@ STATES = {
 
 # Courts and how their names are spelled out.
 COURTS = {
-    "STF": r"Supremo\s+Tribunal\s+Federal|Suprema\s+Corte",
-    "STJ": r"Superior\s+Tribunal\s+de\s+Justi[çc]a",
-    "TST": r"Tribunal\s+Superior\s+do\s+Trabalho",
-    "TSE": r"Tribunal\s+Superior\s+Eleitoral",
-    "STM": r"Superior\s+Tribunal\s+Militar",
+    "STF": ["Supremo Tribunal Federal", "Suprema Corte"],
+    "STJ": ["Superior Tribunal de Justiça"],
+    "TST": ["Tribunal Superior do Trabalho"],
+    "TSE": ["Tribunal Superior Eleitoral"],
+    "STM": ["Superior Tribunal Militar"],
 }
 
 # Words that may be repaired when m was read as rn or rn as m.
@@ -98,14 +98,22 @@ REPAIRABLE = (
 # Phrases that refer to something without naming it.
 VAGUE = ["jurisprudência pacífica", "entendimento sumulado", "artigo correspondente", "orientação jurisprudencial da Corte Superior", "dispositivo legal de regência"]
 
-# Patterns of numbers, and of what stands around them.
-CASE_NUMBER = r"[0-9]{1,7}-[0-9]{2}\.[0-9]{4}\.[0-9]\.[0-9]{2}\.[0-9]{4}|[0-9]{7}-[0-9]{8,20}"
-ANY_NUMBER = rf"{CASE_NUMBER}|[0-9]{{1,3}}(?:\.[0-9]{{3}}){{1,4}}|[0-9]{{4,22}}"
-RELATOR_MARK = r"(?:Ministr[oa]|relatori[ao]|relatad[oa]|relator[ae]?|Rel\.?|Min\.?)"
-YEAR = r"(?:19|20)[0-9]{2}"
-TRIGGER = r"(?:julgad[oa]|precedente|ac[oó]rd[aã]o|decis[aã]o|aresto)"
-FILL = r"(?:(?!\.\s+(?-i:[A-ZÁÉÍÓÚÂÊÔÃÕÇ]))[^;0-9\n])"
-HEADER_LABEL = r"(?iu)^(?:processo|autos|protocolo|memorial|of[ií]cio|valor\s+da\s+causa|impetrante|paciente|apelante|apelado|agravante|agravado|assistido|autoridade|relator|reclamante|reclamada|recorrente|recorrido|autor|r[eé])\b|\bOAB\s*/"
+# The mask of case numbers, and the words of citations and headers.
+CASE_MASK = "NNNNNNN-DD.AAAA.J.TR.OOOO"
+RELATOR_WORDS = ["Ministro", "Ministra", "relator", "relatora", "relatore", "relatoria", "relatorio", "relatado", "relatada", "Rel.", "Rel", "Min.", "Min"]
+TRIGGERS = ["julgado", "julgada", "precedente", "acórdão", "decisão", "aresto"]
+CONTROL_CLASSES = ["ADPF", "ADI", "ADO", "ADC", "ACO"]
+ORDINALS = ["primeiro", "segundo", "terceiro", "quarto"]
+LAW_KINDS = {"decreto-lei": "DL", "decreto lei": "DL", "lei complementar": "LC", "lc": "LC", "lei": "LEI"}
+TITLES = ["ministro", "ministra", "min", "dr", "dra", "des", "juiz", "juiza", "juizo"]
+HONOURS = ["colendo", "egrégio", "excelso", "C."]
+PRECEDENT_INCIDENTS = ["ArgInc", "IncJulg", "IRR", "IUJ"]
+PARTIES = (
+    "RECORRENTE RECORRIDO AGRAVANTE AGRAVADO EMBARGANTE EMBARGADO REQUERENTE REQUERIDO IMPETRANTE PACIENTE ADVOGADO ADVOGADA REDATOR REVISOR".split()
+)
+HEADER_LABELS = (
+    "processo autos protocolo memorial ofício impetrante paciente apelante apelado agravante agravado assistido autoridade relator reclamante reclamada recorrente recorrido autor ré".split()
+) + ["valor da causa"]
 
 
 def class_names() -> dict[str, list[str]]:

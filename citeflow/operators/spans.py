@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from citeflow.dims import HEADER_LABEL
+from citeflow import dims
+from citeflow.operators.grammar import any_of, words
 
+_LABELLED = "(?iu)" + any_of(rf"^{words(dims.HEADER_LABELS)}\b", r"\bOAB\s*/")
 _OPEN, _CLOSE, _FREE = "\x01", "\x02", "\x03"
 
 
@@ -76,7 +78,7 @@ def header_end(text: str, labels: bool = False) -> Column:
         bare = F.trim(F.regexp_replace(line, "[\\r\\n\\t]", " "))
         letters = F.length(F.regexp_replace(bare, "[^\\p{L}]", ""))
         capitals = (letters >= 3) & ~bare.rlike("\\p{Ll}") & (F.length(bare) <= 120)
-        labelled = bare.rlike(HEADER_LABEL) if labels else F.lit(False)
+        labelled = bare.rlike(_LABELLED) if labels else F.lit(False)
         return (bare == "") | labelled | capitals | ((F.length(bare) <= 40) & ~bare.rlike("\\p{Ll}"))
 
     def step(a: Column, line: Column) -> Column:
