@@ -88,19 +88,32 @@ def class_of(path: Column) -> Column:
     return out
 
 
-def decide(mentions: DataFrame, registry: DataFrame, mention_id: str = "mention_id") -> DataFrame:
-    """mention_id, path, verdict, canonical_id, n_candidates, n_consistent for every mention.
+def decide(mentions: DataFrame, registry: DataFrame, mention_id: str = "mention_id", with_ids: bool = False, keep: tuple[str, ...] = ()) -> DataFrame:
+    """mention_id, path, verdict, canonical_id, n_candidates, n_consistent and the columns to ``keep`` for every mention.
 
     ``mentions``: mention_id, form, court, case_class, appeal_chain, number, state, law_key, article, fields_read.
     ``registry``: id, court, number, case_class, appeal_chain, state, law_key, article.
+    ``with_ids`` adds the sorted ids of candidates and of consistent ones, for registries in which few rows share a key.
+    A mention that can't be looked up gets a key of its own that no record has, so that these do not meet in one task.
     """
     keys = registry_keys(registry)
-    counted = keys.groupBy("key").agg(F.count("*").alias("n_candidates"))
-    asked = mentions.withColumn("key", mention_key()).join(counted, "key", "left").withColumn("n_candidates", F.coalesce("n_candidates", F.lit(0)))
+    ids = [F.sort_array(F.collect_set("r_id")).alias("candidates")] if with_ids else []
+    counted = keys.groupBy("key").agg(F.count("*").alias("n_candidates"), *ids)
+    own_key = F.coalesce(mention_key(), F.concat(F.lit("?|"), F.col(mention_id).cast("string")))
+    asked = mentions.withColumn("key", own_key).join(counted, "key", "left").withColumn("n_candidates", F.coalesce("n_candidates", F.lit(0)))
     joined = asked.join(keys, "key", "left").withColumn("ok", _consistent())
-    kept = joined.groupBy(mention_id, "form", "law_key", "fields_read", "n_candidates").agg(
-        F.sum(F.col("ok").cast("long")).alias("n_consistent"), F.min(F.when(F.col("ok"), F.col("r_id"))).alias("only")
-    )
-    path = path_of()
-    decided = kept.withColumn("path", path).withColumn("verdict", class_of(F.col("path")))
-    return decided.select(mention_id, "path", "verdict", F.when(F.col("verdict") == "real", F.col("only")).alias("canonical_id"), F.col("n_candidates").cast("long").alias("n_candidates"), "n_consistent")
+    stated = ["form", "law_key", "fields_read", "n_candidates", *(["candidates"] if with_ids else []), *keep]
+    found = [F.sum(F.col("ok").cast("long")).alias("n_consistent"), F.min(F.when(F.col("ok"), F.col("r_id"))).alias("only")]
+    if with_ids:
+        found.append(F.sort_array(F.collect_set(F.when(F.col("ok"), F.col("r_id")))).alias("consistent"))
+    kept = joined.groupBy(mention_id).agg(F.any_value(F.struct(*stated)).alias("__stated"), *found).select(mention_id, "__stated.*", "n_consistent", "only", *(["consistent"] if with_ids else []))
+    decided = kept.withColumn("path", path_of()).withColumn("verdict", class_of(F.col("path")))
+    listed = [F.coalesce(c, F.array().cast("array<string>")).alias(c) for c in ("candidates", "consistent")] if with_ids else []
+    canonical = F.when(F.col("verdict") == "real", F.col("only")).alias("canonical_id")
+    return decided.select(mention_id, "path", "verdict", canonical, F.col("n_candidates").cast("long").alias("n_candidates"), "n_consistent", *listed, *keep)
+
+
+def is_broken() -> Column:
+    """Whether a decision contradicts itself: a real one without its record, a record without a real verdict, no known path."""
+    is_real = F.coalesce(F.col("verdict") == "real", F.lit(False))
+    return (is_real != F.col("canonical_id").isNotNull()) | F.col("verdict").isNull() | (is_real & (F.coalesce("n_consistent", F.lit(0)) != 1))

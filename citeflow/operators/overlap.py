@@ -19,8 +19,8 @@ def form_rank(form: Column) -> Column:
     return rank
 
 
-def resolve_overlaps(mentions: DataFrame, doc: str = "doc_id") -> DataFrame:
-    """Mentions (doc, start, end, form, origins) that stand after overlaps are resolved.
+def resolve_overlaps(mentions: DataFrame, doc: str = "doc_id", carry: tuple[str, ...] = ()) -> DataFrame:
+    """Mentions (doc, start, end, form, origins, and the columns to ``carry``) that stand after overlaps are resolved.
 
     The more specific form goes first, then the one with more origins, the longer, the earlier. A mention within a
     chosen one goes; so does one that covers half of a chosen one's union; chosen ones within the new one give way.
@@ -33,6 +33,7 @@ def resolve_overlaps(mentions: DataFrame, doc: str = "doc_id") -> DataFrame:
         F.col("end").alias("end"),
         F.col("form").alias("form"),
         F.col("origins").alias("origins"),
+        *carry,
     )
 
     def step(chosen: Column, x: Column) -> Column:
@@ -43,7 +44,7 @@ def resolve_overlaps(mentions: DataFrame, doc: str = "doc_id") -> DataFrame:
 
     grouped = mentions.groupBy(doc).agg(F.array_sort(F.collect_list(item)).alias("items"))
     kept = F.aggregate("items", F.filter("items", lambda x: F.lit(False)), step)
-    return grouped.select(doc, F.inline(kept)).select(doc, "start", "end", "form", "origins")
+    return grouped.select(doc, F.inline(kept)).select(doc, "start", "end", "form", "origins", *carry)
 
 
 def matched_pairs(gold: DataFrame, found: DataFrame, doc: str = "doc_id") -> DataFrame:

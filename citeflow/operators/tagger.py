@@ -33,6 +33,18 @@ def gated(spans: DataFrame, regex_spans: DataFrame) -> DataFrame:
     return outside_of(inside, regex_spans)
 
 
+def tagger_mentions(spans: DataFrame, prepared: DataFrame, mentions: DataFrame) -> DataFrame:
+    """Mentions (as ``mentions``) from tagger ``spans`` (doc_id, start, end, label) that pass the gates, with their own origin.
+
+    Whether their fields can be read, the last gate, shows once they are read.
+    """
+    with_text = spans.join(prepared.select("doc_id", "text", "body_start"), "doc_id")
+    kept = gated(with_text, mentions.select("doc_id", "start", "end"))
+    precedent = F.col("snippet").rlike("(?iu)s[úu]mula")
+    form = F.when(F.col("label") == "LEI", "lei_artigo").when(precedent, "sumula").otherwise("com_numero")
+    return kept.select("doc_id", "start", "end", form.alias("form"), F.array(F.lit("encoder")).alias("origins"), "snippet")
+
+
 def tag_counts(gold: DataFrame, found: DataFrame, ignored: DataFrame) -> DataFrame:
     """label, gold, matched, predicted, correct at half overlap; predictions that touch ignored regions do not count."""
     kept = outside_of(found, ignored)
