@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from citeflow.functions.intervals import overlap
 from citeflow.operators.decide import class_of
-from citeflow.schema import PRIOR, SMOOTHING, VERDICT_CLASSES
+from citeflow.operators.overlap import match_one_to_one
+from citeflow.schema import LEAST_SEEN, PRIOR, SMOOTHING, VERDICT_CLASSES
 
 
 def confusion(pairs: DataFrame) -> DataFrame:
@@ -97,3 +99,52 @@ def verdict_confidence(verdicts: DataFrame, cells: DataFrame, classes: DataFrame
     """The lookup for verdicts: by path, misreading and source, else by the path's class."""
     named = verdicts.withColumn("verdict", class_of(F.col("path")))
     return with_confidence(named, cells, classes, ["path", "ocr_fixed", "source"], "verdict")
+
+
+def aligned_pairs(gold: DataFrame, found: DataFrame, share: float = 0.9) -> DataFrame:
+    """doc_id, gold_id, found_id of a run against gold (id, start, end): matched pairs, and what either side has alone.
+
+    A found span without a partner is forgiven, and left out, if ``share`` of it lies in a gold span that has one.
+    """
+    pairs = match_one_to_one(gold, found).select("doc_id", "gold_id", "found_id")
+    missed = gold.select("doc_id", F.col("id").alias("gold_id")).join(pairs.select("doc_id", "gold_id"), ["doc_id", "gold_id"], "left_anti")
+    extra = found.withColumnRenamed("id", "found_id").join(pairs.select("doc_id", "found_id"), ["doc_id", "found_id"], "left_anti")
+    taken = gold.select("doc_id", F.col("id").alias("gold_id"), F.col("start").alias("g_start"), F.col("end").alias("g_end")).join(pairs.select("doc_id", "gold_id"), ["doc_id", "gold_id"], "left_semi")
+    held = overlap(F.col("start"), F.col("end"), F.col("g_start"), F.col("g_end")) >= share * (F.col("end") - F.col("start"))
+    extra = extra.join(taken.drop("gold_id").withColumnRenamed("doc_id", "g_doc"), (F.col("doc_id") == F.col("g_doc")) & held, "left_anti")
+    nothing = F.lit(None)
+    return pairs.unionByName(missed.withColumn("found_id", nothing.cast(found.schema["id"].dataType))).unionByName(extra.select("doc_id", nothing.cast(gold.schema["id"].dataType).alias("gold_id"), "found_id"))
+
+
+def span_scores(pairs: DataFrame, *by: str) -> DataFrame:
+    """Matched, gold and found spans with recall and precision; null where there is nothing to divide by."""
+    matched = F.col("gold_id").isNotNull() & F.col("found_id").isNotNull()
+    out = pairs.groupBy(*by).agg(F.count_if(matched).alias("matched"), F.count("gold_id").alias("gold"), F.count("found_id").alias("found"))
+    return out.withColumn("recall", F.try_divide("matched", "gold")).withColumn("precision", F.try_divide("matched", "found"))
+
+
+def observations(pairs: DataFrame, gold: DataFrame, found: DataFrame) -> DataFrame:
+    """path, ocr_fixed, source, verdict and whether each matched mention's verdict (and target, if real) is right."""
+    g = gold.select("doc_id", F.col("id").alias("gold_id"), F.col("verdict").alias("g_verdict"), F.col("canonical_id").alias("g_target"))
+    f = found.select("doc_id", F.col("id").alias("found_id"), "path", "ocr_fixed", "source", "verdict", "canonical_id")
+    right = (F.col("verdict") == F.col("g_verdict")) & ((F.col("g_verdict") != "real") | F.coalesce(F.col("canonical_id") == F.col("g_target"), F.lit(False)))
+    matched = pairs.where("gold_id IS NOT NULL AND found_id IS NOT NULL")
+    return matched.join(g, ["doc_id", "gold_id"]).join(f, ["doc_id", "found_id"]).select("path", "ocr_fixed", "source", "verdict", right.alias("hit"))
+
+
+def calibration_summary(cells: DataFrame) -> DataFrame:
+    """Of the cells of ``calibrate``: n, the Brier scores of the table and of the constant, cells seen too seldom, and whether to send confidences."""
+    constant = smoothed_rate(F.sum("hits"), F.sum("n"))
+    totals = cells.agg(F.sum("n").alias("n"), F.sum("hits").alias("hits"), constant.alias("constant"), F.count_if(F.col("n") < LEAST_SEEN).alias("seldom"), F.sum(_squares(F.col("rate"))).alias("squares"))
+    brier, flat = F.bround(F.try_divide("squares", "n"), 6), F.bround(F.try_divide(_squares(F.col("constant")), F.col("n")), 6)
+    return totals.select("n", brier.alias("brier"), flat.alias("constant_brier"), "seldom", (brier <= flat).alias("send"))
+
+
+def _squares(rate: Column) -> Column:
+    return F.col("hits") * F.pow(1 - rate, F.lit(2)) + (F.col("n") - F.col("hits")) * F.pow(rate, F.lit(2))
+
+
+def with_context(errors: DataFrame, trace: DataFrame, snippets: DataFrame) -> DataFrame:
+    """Errors (doc_id, start, end) with the path of the trace and the snippet of the same place, where there are any."""
+    at = ["doc_id", "start", "end"]
+    return errors.join(trace.select(*at, "path"), at, "left").join(snippets.select(*at, "snippet"), at, "left")

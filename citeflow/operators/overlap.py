@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from citeflow.functions.intervals import half_covered, iou, strictly_inside
+from citeflow.functions.intervals import half_covered, iou, strictly_inside, touching
 from citeflow.schema import FORM_RANK
 
 
@@ -52,7 +52,7 @@ def matched_pairs(gold: DataFrame, found: DataFrame, doc: str = "doc_id") -> Dat
     g = gold.select(doc, F.col("id").alias("gold_id"), F.col("start").alias("g_start"), F.col("end").alias("g_end"))
     p = found.select(doc, F.col("id").alias("found_id"), F.col("start").alias("p_start"), F.col("end").alias("p_end"))
     span = (F.col("g_start"), F.col("g_end"), F.col("p_start"), F.col("p_end"))
-    return g.join(p, doc).where(half_covered(*span)).select(doc, "gold_id", "found_id", "g_start", "p_start", iou(*span).alias("iou"))
+    return touching(g, p, [doc], "g_start", "g_end", "p_start", "p_end").where(half_covered(*span)).select(doc, "gold_id", "found_id", "g_start", "p_start", iou(*span).alias("iou"))
 
 
 def match_one_to_one(gold: DataFrame, found: DataFrame, doc: str = "doc_id", by_gold: bool = False) -> DataFrame:
@@ -75,9 +75,9 @@ def match_one_to_one(gold: DataFrame, found: DataFrame, doc: str = "doc_id", by_
 
 def outside_of(candidates: DataFrame, others: DataFrame, doc: str = "doc_id") -> DataFrame:
     """Candidates that touch none of the others in their document (interval anti join)."""
-    o = others.select(F.col(doc).alias("__doc"), F.col("start").alias("__start"), F.col("end").alias("__end"))
-    touching = (F.col(doc) == F.col("__doc")) & (F.col("start") < F.col("__end")) & (F.col("__start") < F.col("end"))
-    return candidates.join(o, touching, "left_anti")
+    at, o = candidates.select(doc, "start", "end").distinct(), others.select(doc, F.col("start").alias("__start"), F.col("end").alias("__end"))
+    met = touching(at, o, [doc], "start", "end", "__start", "__end").select(doc, "start", "end").distinct()
+    return candidates.join(met, [doc, "start", "end"], "left_anti").select(*candidates.columns)
 
 
 def run_difference(a: DataFrame, b: DataFrame, doc: str = "doc_id") -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from citeflow.functions.intervals import touching
+
 WINDOW, SHARED = 510, 128
 
 
@@ -16,6 +18,21 @@ def windows(n: Column, size: int = WINDOW, shared: int = SHARED) -> Column:
     return F.transform(starts, lambda s: F.struct(s.cast("int").alias("start"), F.least(s + size, n).cast("int").alias("end")))
 
 
+def owned_ranges(spans: Column) -> Column:
+    """array<struct<owner, first, last>>: the places that each window owns, in the sense of ``token_owner``, without listing places.
+
+    Between two neighbouring windows ownership passes in the middle of what they share; windows that own nothing are left out.
+    """
+
+    def begins(i: Column) -> Column:
+        before, own = F.get(spans, i - 1), F.get(spans, i)
+        return F.when(i == 0, own["start"]).otherwise(F.floor((before["end"] - 1 + own["start"]) / 2) + 1).cast("long")
+
+    last = F.size(spans) - 1
+    ranges = F.transform(spans, lambda w, i: F.struct(i.alias("owner"), begins(i).alias("first"), (F.when(i == last, w["end"]).otherwise(begins(i + 1)) - 1).cast("long").alias("last")))
+    return F.filter(ranges, lambda r: r["first"] <= r["last"])
+
+
 def token_owner(token: Column, spans: Column) -> Column:
     """Index of the window in which a token is farthest from the edges; the first of equals."""
 
@@ -30,11 +47,10 @@ def token_owner(token: Column, spans: Column) -> Column:
 def bio_labels(tokens: DataFrame, spans: DataFrame, doc: str = "doc_id") -> DataFrame:
     """Tokens (doc, token, start, end) with tag ``B-x``, ``I-x`` or ``O`` by the first span (start, end, label) they touch.
 
-    An equi join on the document with the overlap as residual; a token keeps one row.
+    Tokens and spans meet by document and bucket of positions; a token keeps one row.
     """
     s = spans.select(doc, F.col("start").alias("s_start"), F.col("end").alias("s_end"), "label")
-    touching = (F.col("start") < F.col("s_end")) & (F.col("s_start") < F.col("end"))
-    owned = tokens.join(s, doc).where(touching).groupBy(doc, "token").agg(F.min(F.struct("s_start", "s_end", "label")).alias("own"))
+    owned = touching(tokens, s, [doc], "start", "end", "s_start", "s_end").groupBy(doc, "token").agg(F.min(F.struct("s_start", "s_end", "label")).alias("own"))
     order = Window.partitionBy(doc).orderBy("token")
     before = F.lag("own").over(order)
     out = tokens.join(owned, [doc, "token"], "left").withColumn("before", before)

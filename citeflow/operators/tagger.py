@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from citeflow.functions.intervals import half_covered, overlap
+from citeflow.functions.intervals import half_covered, overlap, touching
 from citeflow.operators.fields import law_key
 from citeflow.operators.overlap import outside_of
 from citeflow.operators.spans import matches
@@ -50,7 +50,7 @@ def tag_counts(gold: DataFrame, found: DataFrame, ignored: DataFrame) -> DataFra
     kept = outside_of(found, ignored)
     g = gold.select("doc_id", "label", F.col("start").alias("g_start"), F.col("end").alias("g_end"))
     p = kept.select("doc_id", "label", F.col("start").alias("p_start"), F.col("end").alias("p_end"))
-    pairs = g.join(p, ["doc_id", "label"]).where(half_covered(F.col("g_start"), F.col("g_end"), F.col("p_start"), F.col("p_end")))
+    pairs = touching(g, p, ["doc_id", "label"], "g_start", "g_end", "p_start", "p_end").where(half_covered(F.col("g_start"), F.col("g_end"), F.col("p_start"), F.col("p_end")))
     counts = [
         g.groupBy("label").agg(F.count("*").alias("gold")),
         pairs.select("doc_id", "label", "g_start", "g_end").distinct().groupBy("label").agg(F.count("*").alias("matched")),
@@ -67,8 +67,10 @@ def recall(gold: DataFrame, found: DataFrame) -> DataFrame:
     """doc_id, start, end of every gold span with whether some found one touches it, and whether one covers half."""
     p = found.select("doc_id", F.col("start").alias("p_start"), F.col("end").alias("p_end"))
     span = (F.col("start"), F.col("end"), F.col("p_start"), F.col("p_end"))
-    touched, half = F.coalesce(overlap(*span) > 0, F.lit(False)), F.coalesce(half_covered(*span), F.lit(False))
-    return gold.join(p, "doc_id", "left").groupBy("doc_id", "start", "end").agg(F.max(touched).alias("touched"), F.max(half).alias("half"))
+    met = touching(gold.select("doc_id", "start", "end").distinct(), p, ["doc_id"], "start", "end", "p_start", "p_end")
+    found_half = met.groupBy("doc_id", "start", "end").agg(F.max(half_covered(*span)).alias("half"))
+    rows = gold.select("doc_id", "start", "end").distinct().join(found_half, ["doc_id", "start", "end"], "left")
+    return rows.select("doc_id", "start", "end", F.col("half").isNotNull().alias("touched"), F.coalesce("half", F.lit(False)).alias("half"))
 
 
 def forgiven(gold: DataFrame, found: DataFrame) -> DataFrame:

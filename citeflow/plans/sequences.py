@@ -22,16 +22,16 @@ def sliding_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""
-WITH {_WINDOWS_SQL}, t AS (SELECT doc_id, n_chars, unnest(range(0, n_chars, 97)) AS token FROM documents),
-d AS (SELECT t.doc_id, token, k, CASE WHEN token >= start AND token < "end" THEN least(token - start, "end" - 1 - token) ELSE -1 END AS depth FROM t JOIN v ON t.doc_id = v.doc_id),
-r AS (SELECT *, row_number() OVER (PARTITION BY doc_id, token ORDER BY depth DESC, k) AS best FROM d)
-SELECT doc_id, token, CAST(k AS INTEGER) AS owner FROM r WHERE best = 1
+WITH {_WINDOWS_SQL}, t AS (SELECT doc_id, n_chars, unnest(range(0, n_chars)) AS token FROM documents),
+d AS (SELECT t.doc_id, token, k, least(token - start, "end" - 1 - token) AS depth FROM t JOIN v ON t.doc_id = v.doc_id AND token >= start AND token < "end"),
+r AS (SELECT doc_id, token, arg_max(k, depth * 100000 - k) AS owner FROM d GROUP BY doc_id, token)
+SELECT doc_id, CAST(owner AS INTEGER) AS owner, min(token) AS first, max(token) AS last, count(*) AS places FROM r GROUP BY doc_id, owner
 """)
 def token_owner_window(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """For every 97th place the window in which it lies deepest."""
-    docs = table(spark, sf_dir, "documents").where("n_chars > 0").select("doc_id", "n_chars", sequence.windows(F.col("n_chars")).alias("spans"))
-    tokens = docs.withColumn("token", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_chars") - 1, F.lit(97).cast("long"))))
-    return tokens.select("doc_id", "token", sequence.token_owner(F.col("token"), F.col("spans")).alias("owner"))
+    """The places of a document that lie deepest in each window; every place has one owner."""
+    docs = table(spark, sf_dir, "documents").where("n_chars > 0").select("doc_id", sequence.windows(F.col("n_chars")).alias("spans"))
+    owned = docs.select("doc_id", F.inline(sequence.owned_ranges(F.col("spans"))))
+    return owned.select("doc_id", "owner", "first", "last", (F.col("last") - F.col("first") + 1).alias("places"))
 
 
 def _split_sql(pattern: str) -> str:

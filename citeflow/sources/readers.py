@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from citeflow.operators.training import EXAMPLE
+
 GOLD = "tier int, doc_id string, citation_id string, start int, end int, snippet string, type string, verdict string, canonical_id string"
 TRACE = "doc_id string, start int, end int, snippet string, form string, path string, verdict string, canonical_id string, confidence double"
 
@@ -44,6 +46,11 @@ def trace(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(TRACE).json(path)
 
 
+def examples(spark: SparkSession, path: str) -> DataFrame:
+    """Training examples of JSON lines."""
+    return spark.read.schema(EXAMPLE).json(path)
+
+
 def tagged_tokens(spark: SparkSession, path: str) -> DataFrame:
     """token and tag of ``token tag`` lines; blank lines are left out."""
     lines = spark.read.text(path).where(F.trim("value") != "")

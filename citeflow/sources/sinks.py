@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import json
+from collections.abc import Callable, Mapping
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citeflow.functions.intervals import half_covered
@@ -55,3 +58,59 @@ def violations(verified: DataFrame, documents: DataFrame, doc: str = "doc_id") -
     later = (F.col("o_start") > F.col("start")) | ((F.col("o_start") == F.col("start")) & (F.col("o_end") > F.col("end")))
     pairs = verified.select(doc, "start", "end").join(other, doc).where(later & half_covered(F.col("start"), F.col("end"), F.col("o_start"), F.col("o_end")))
     return single.unionByName(pairs.select(doc, "start", "end", F.lit("overlap").alias("rule")))
+
+
+def write_documents(verified: DataFrame, documents: DataFrame, path: str, doc: str = "doc_id") -> None:
+    """One JSON text for each document, in a folder of its own; nothing is written if a mention breaks the contract."""
+    broken = violations(verified, documents, doc)
+    if found := broken.groupBy("rule").count().collect():
+        raise ValueError("output breaks the contract: " + ", ".join(f"{r['rule']} {r['count']}" for r in sorted(found)))
+    document_json(verified, doc).write.partitionBy(doc).mode("overwrite").text(path)
+
+
+def write_examples(examples: DataFrame, path: str) -> dict:
+    """Training examples as JSON lines, beside a manifest with their count and an order-free digest, which is returned."""
+    from citeflow.sources.runs import content_digest
+
+    examples.write.mode("overwrite").json(f"{path}/examples")
+    found = content_digest(examples)
+    made = {"examples": found["n"], "digest": f"{found['first']}-{found['second']}"}
+    _write_text(examples.sparkSession, f"{path}/manifest", json.dumps(made, sort_keys=True))
+    return made
+
+
+def write_synthetic(documents: DataFrame, gold: DataFrame, pairs: DataFrame, split: DataFrame, path: str, seed: int) -> None:
+    """A synthetic set: texts (a folder for each document), gold labels, twins, the split, and the seed that gives it all again."""
+    documents.select("doc_id", F.col("text").alias("value")).write.partitionBy("doc_id").mode("overwrite").option("lineSep", "\x00").text(f"{path}/txt")
+    gold.write.mode("overwrite").csv(f"{path}/gold", header=True, escape='"')
+    pairs.write.mode("overwrite").json(f"{path}/pairs")
+    split.write.mode("overwrite").json(f"{path}/split")
+    _write_text(documents.sparkSession, f"{path}/manifest", json.dumps({"seed": seed}))
+
+
+def _write_text(spark: SparkSession, path: str, text: str) -> None:
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+
+
+def publish(spark: SparkSession, path: str, writers: Mapping[str, Callable[[str], None]]) -> None:
+    """All outputs or none: each writer gets a place under ``path`` beside the final one; only when all are done do they move.
+
+    Moves are renames of the file system that ``path`` is on, so a failed run leaves what was published before.
+    """
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    fs = jvm.org.apache.hadoop.fs.Path(path).getFileSystem(conf)
+    staged = f"{path.rstrip('/')}/.partial"
+
+    def place(name: str):
+        return jvm.org.apache.hadoop.fs.Path(name)
+
+    fs.delete(place(staged), True)
+    try:
+        for name, write in writers.items():
+            write(f"{staged}/{name}")
+        for name in writers:
+            fs.delete(place(f"{path}/{name}"), True)
+            if not fs.rename(place(f"{staged}/{name}"), place(f"{path}/{name}")):
+                raise OSError(f"{name} can't be published under {path}")
+    finally:
+        fs.delete(place(staged), True)
