@@ -15,7 +15,7 @@ threshold.
 
 Without given targets, a value's target share follows its tokens to the power ``POWER``, which lifts small values.
 Without given topics they are learned from the texts: the ``TOPICS`` words held by the most documents, of those that
-between a two-hundredth and a twentieth of all documents hold (of three letters or more), each stand for a topic, and a
+between a two-hundredth and a twentieth of all documents hold (of four letters or more), each stand for a topic, and a
 document is of the one whose word it holds most often (of equals the rarer word's, then the first by name), or of none.
 
 Defined results: a null or empty text has 0 tokens and the topic ``other``, and is drawn like its cell; texts of any
@@ -38,7 +38,7 @@ ROUNDS = 8
 POWER = 0.8
 TOPICS = 16
 #: Topic words: the least length, and the shares of documents between which their frequency lies.
-LEAST_LETTERS, RARE, COMMON = 3, 200, 20
+LEAST_LETTERS, RARE, COMMON = 4, 200, 20
 DIMENSIONS = ("source", "lang", "topic")
 NONE, OTHER = "(none)", "other"
 

@@ -55,13 +55,13 @@ def test_targets_are_met(spark):
 
 
 def test_topics_by_hand(spark):
-    rows = [(k, "common " * 2 + ("river bank river" if k % 25 == 0 else "tax tax rate" if k % 25 == 1 else "") + f" x{k}") for k in range(100)]
-    rows += [(100, None), (101, "tax river")]
+    rows = [(k, "common " * 2 + ("river bank river" if k % 25 == 0 else "toll toll rate" if k % 25 == 1 else "") + f" x{k}") for k in range(100)]
+    rows += [(100, None), (101, "toll river")]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
     words = mixing.topic_words(docs)
-    assert words == ["bank", "rate", "river", "tax"]
+    assert words == ["bank", "rate", "river", "toll"]
     got = dict(docs.select("doc_id", mixing.learned_topic(words)).collect())
-    assert got[0] == "river" and got[1] == "tax" and got[2] == "other" and got[100] == "other" and got[101] == "river"
+    assert got[0] == "river" and got[1] == "toll" and got[2] == "other" and got[100] == "other" and got[101] == "river"
 
 
 def test_sample_has_the_wanted_shares(spark):
