@@ -32,7 +32,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from citeflow.llm.common import cut, shared_path, slices, texts
+from citeflow.llm.common import cut, shared_path, slices, texts, unused
 from citeflow.llm.components import components
 
 BUCKET_BITS = 9
@@ -312,18 +312,20 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, doc_id: s
     )
 
 
-def _one_of_copies(docs: DataFrame) -> DataFrame:
-    """``docs`` with one row, the smallest, for each doc_id and text; rows without an id are copies by text alone."""
+def _copy_key(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with one key for rows of the same doc_id and text; rows without an id are copies by text alone."""
+    name = unused(docs.columns, "key")["key"]
     digest = F.coalesce(F.sha2(F.col("text").cast("binary"), 256), F.lit(""))
-    keyed = docs.withColumn("__key", F.concat_ws("/", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), digest))
-    repeated = cut(keyed.groupBy("__key").count().where("count > 1").select("__key"))
-    if repeated.isEmpty():
-        return docs
-    copies = keyed.join(repeated, "__key", "left_semi").groupBy("__key").agg(F.min(F.struct(*docs.columns)).alias("__row"))
-    return keyed.join(repeated, "__key", "left_anti").select(*docs.columns).unionAll(copies.select("__row.*"))
+    return docs.withColumn(name, F.concat_ws("/", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), digest)), name
 
 
 def drop_near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` that stand for their group of near duplicates, and of exact copies among these one."""
+    """The rows of ``docs`` that stand for their group of near duplicates, and of exact copies among these the smallest row."""
     gone = near_duplicates(docs, size, percent).where("NOT kept").select("doc_id").distinct()
-    return _one_of_copies(docs.join(gone, "doc_id", "left_anti").select(*docs.columns))
+    keyed, key = _copy_key(docs)
+    repeated = cut(keyed.groupBy(key).count().where("count > 1").select(key))  # keys only: no text is shuffled for it
+    if repeated.isEmpty():
+        return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    kept = keyed.join(gone, "doc_id", "left_anti")
+    copies = kept.join(repeated, key, "left_semi").groupBy(key).agg(F.min(F.struct(*docs.columns)).alias("row"))
+    return kept.join(repeated, key, "left_anti").select(*docs.columns).unionAll(copies.select("row.*"))
