@@ -7,8 +7,9 @@ which is counted over all labelled training documents. Weights are learned with
 and spread over the languages; a fifth of these is held back to fit the temperature that calibrates the scores.
 
 Defined results: a text that is null or has no letter is ``und`` with score 0; without any labelled training document
-every text is ``und``; rows are judged one by one, repeated or not, whole however long; further columns are ignored,
-or kept when rows are returned; a null lang teaches nothing.
+every text is ``und``; rows are judged one by one, repeated or not, whole however long; of equally likely languages the
+first by name is taken; an empty table gives no rows; further columns are ignored, or kept when rows are returned,
+whatever their names; a null lang teaches nothing.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from citeflow.llm.common import crc_bucket, slices, texts
+from citeflow.llm.common import crc_bucket, slices, texts, unused
 
 FEATURES = 1 << 15
 SAMPLE = 4096
@@ -176,26 +177,29 @@ def train(labelled: DataFrame, sample: int = SAMPLE) -> Model:
     return Model(langs, w[:FEATURES] * idf[:, None] * GAIN, w[FEATURES], temperature)
 
 
-def _predict(model: Model, keep: list[str], text: str) -> Callable[[Iterator], Iterator]:
+def _predict(model: Model, keep: list[str], text: str, names: list[str]) -> Callable[[Iterator], Iterator]:
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         for batch in slices(batches):
             out = [model.predict(x.decode("utf-8", "replace")) for x in texts(batch.column(text))]
             lang, score = ([r[k] for r in out] for k in range(2))
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(lang, pa.string()), pa.array(score, pa.float64())], names=[*keep, "__lang", "__score"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(lang, pa.string()), pa.array(score, pa.float64())], names=[*keep, *names])
 
     return run
 
 
-def identify(docs: DataFrame, model: Model, keep: list[str], text: str = "text") -> DataFrame:
-    """``keep`` columns of ``docs`` with ``__lang`` and ``__score``."""
+def identify(docs: DataFrame, model: Model, keep: list[str], text: str = "text") -> tuple[DataFrame, dict[str, str]]:
+    """``keep`` columns of ``docs`` with those of the dictionary: lang, score."""
+    names = unused(docs.columns, "lang", "score")
     kinds = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in docs.select(*keep).schema)
-    return docs.select(*dict.fromkeys([*keep, text])).mapInArrow(_predict(model, keep, text), f"{kinds}__lang string, __score double")
+    judged = docs.select(*dict.fromkeys([*keep, text])).mapInArrow(_predict(model, keep, text, list(names.values())), f"{kinds}`{names['lang']}` string, `{names['score']}` double")
+    return judged, names
 
 
 def languages(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, lang_pred and score for every row; documents with crc32(doc_id) mod 5 = 0 teach nothing."""
     held_out = F.coalesce(crc_bucket("doc_id", 5) == 0, F.lit(True))
     model = train(docs.where(~held_out))
-    return identify(docs, model, ["doc_id"]).select("doc_id", held_out.alias("held_out"), F.col("__lang").alias("lang_pred"), F.col("__score").alias("score"))
+    judged, names = identify(docs, model, ["doc_id"])
+    return judged.select("doc_id", held_out.alias("held_out"), F.col(names["lang"]).alias("lang_pred"), F.col(names["score"]).alias("score"))

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from citeflow.llm.common import cut, unused, written
 
 ROUNDS = 8
-POWER = 0.8
+POWER = 0.95
 TOPICS = 16
 #: Topic words: the least length, and the shares of documents between which their frequency lies.
 LEAST_LETTERS, RARE, COMMON = 4, 200, 20

@@ -11,8 +11,9 @@ The expressions are the given ones with possessive repeats, and with the conditi
 entered at its start or right after a match: they match the same, but in linear time and without deep recursion.
 
 Defined results: a null or empty text holds nothing (the digest is that of the empty string); positions are code
-points; rows are judged one by one, repeated or not; further columns are ignored; rows with a null doc_id get their
-base spans only. The control characters U+0001 and U+0002 count as U+0003, which is in no pattern either.
+points; texts of any length are read whole; of spans that start at one place the kinds come as listed; rows are judged
+one by one, repeated or not; an empty table gives no rows; further columns are ignored; rows with a null doc_id get
+their base spans only. The control characters U+0001 and U+0002 count as U+0003, which is in no pattern either.
 """
 
 from __future__ import annotations

@@ -27,6 +27,6 @@ def test_awkward_rows(spark):
 def test_predictions_do_not_see_the_label(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     model = langid.train(docs)
-    a = {tuple(r) for r in langid.identify(docs, model, ["doc_id"]).collect()}
-    b = {tuple(r) for r in langid.identify(docs.drop("lang", "source"), model, ["doc_id"]).collect()}
+    a = {tuple(r) for r in langid.identify(docs, model, ["doc_id"])[0].collect()}
+    b = {tuple(r) for r in langid.identify(docs.drop("lang", "source"), model, ["doc_id"])[0].collect()}
     assert a == b
