@@ -2,6 +2,12 @@
 
 Each stage takes what its predecessor kept, as a table with the columns of ``documents``; the last returns what it
 read back from the token files.
+
+Defined results: a null or empty text has no language and goes in the first stage; texts of any length are read whole;
+rows with a null doc_id take part everywhere but teach no language; exact copies of a row, and rows without an id but
+with one text, leave one row; of near duplicates the smallest doc_id stays; rows that share an id are drawn together;
+null languages and sources are values of their own; further columns go through the stages, whatever their names; an
+empty table gives no rows, and so do all stages after one that keeps nothing.
 """
 
 from __future__ import annotations
@@ -20,8 +26,8 @@ LEAST_SCORE = 0.5
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a known language: texts without letters and those with a low calibrated score go."""
     model = langid.train(docs.where(F.coalesce(crc_bucket("doc_id", 5) != 0, F.lit(False))))
-    judged = langid.identify(docs, model, docs.columns)
-    return judged.where((F.col("__lang") != langid.UNKNOWN) & (F.col("__score") >= LEAST_SCORE)).select(*docs.columns)
+    judged, names = langid.identify(docs, model, docs.columns)
+    return judged.where((F.col(names["lang"]) != langid.UNKNOWN) & (F.col(names["score"]) >= LEAST_SCORE)).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
