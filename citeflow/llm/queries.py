@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from citeflow.llm import decontaminate, gru_lm, langid, mixing, near_dedup, oracles, pii, span_dedup, token_counts, token_output, topk
+from citeflow.llm import decontaminate, gru_lm, langid, mixing, near_dedup, oracles, pii, span_dedup, token_counts, token_output, topk, whitening
 from citeflow.llm.common import table
 
 
@@ -49,6 +49,16 @@ def op10_gru_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gru_lm.scores(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_near_dedup, op2_token_counts, op3_pii, op4_token_output, op5_decontaminate, op6_topk, op7_span_dedup, op8_langid, op9_mixing, op10_gru_lm)}
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_near_dedup, op2_token_counts, op3_pii, op4_token_output, op5_decontaminate, op6_topk, op7_span_dedup, op8_langid, op9_mixing, op10_gru_lm,
+        op11_whitening,
+    )
+}
 
 ORACLE_SQL = {"op5_decontaminate": oracles.OP5, "op6_topk": oracles.OP6, "op9_mixing": oracles.op9()}
