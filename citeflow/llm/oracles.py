@@ -96,3 +96,67 @@ def op9() -> str:
         + ",\n".join(steps)
         + f"\nSELECT doc_id, d.topic, n_tokens, round(p, 6) AS probability, {drawn} < p AS kept FROM d JOIN p ON d.source = p.source AND d.lang = p.lang AND d.topic = p.topic"
     )
+
+
+def op13() -> str:
+    """The repairs by a plain recursion over rows that carries, for each state, cost, audit and text."""
+
+    def edit(state: str, cost: str, letter: str, text: str) -> str:
+        return f"CASE WHEN {state} IS NOT NULL THEN struct_pack(cost := {state}.cost + {cost}, audit := {state}.audit || '{letter}', out := {state}.out || {text}) END"
+
+    def least(*found: str) -> str:
+        return f"list_sort(list_filter([{', '.join(found)}], lambda x: x IS NOT NULL))[1]"
+
+    def keep(state: str, initial: str) -> str:
+        return f"CASE WHEN NOT r.gone AND r.initial = '{initial}' THEN {edit(state, 'r.extra', 'K', keeps)} END"
+
+    def rerole(state: str, role: str) -> str:
+        return f"CASE WHEN NOT r.gone THEN {edit(state, '3 + r.extra', 'R', f"'{role}:' || r.text || chr(10)")} END"
+
+    def put_in(state: str, role: str) -> str:
+        return edit(state, "3", "I", f"'{role}:' || chr(10)")
+
+    keeps = "r.role || ':' || r.text || chr(10)"
+    dropped = {s: edit(f"p.{s}", "4", "D", "''") for s in "zsua"}
+    crc = "list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(k, ''), lambda c: CAST(ascii(c) AS BIGINT))), lambda h, b: list_reduce(list_prepend(xor(h, b), range(8)), lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, CAST(3988292384 AS BIGINT)) ELSE x >> 1 END))"
+    blank = r"NOT regexp_matches(text, '[^\x20\x09-\x0D]')"
+    closed = f"SELECT c, pos, z, s, u, {least('a', put_in('u', 'assistant'))} AS a FROM (SELECT c, pos, z, s, a, {least('u', put_in('z', 'user'), put_in('s', 'user'), put_in('a', 'user'))} AS u FROM"
+    return rf"""
+WITH RECURSIVE ids AS MATERIALIZED (
+  SELECT conv_id, row_number() OVER (ORDER BY conv_id) AS c FROM (SELECT DISTINCT conv_id FROM conversations)
+), kinds AS MATERIALIZED (
+  SELECT c, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, xor({crc}, CAST(4294967295 AS BIGINT)) % 20 AS kind
+  FROM (SELECT c, turn, role, text, coalesce(CAST(v.conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM conversations AS v JOIN ids ON v.conv_id IS NOT DISTINCT FROM ids.conv_id)
+), damaged AS MATERIALIZED (
+  SELECT c, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role, CASE WHEN kind = 1 THEN '' WHEN kind = 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+         unnest(range(CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy
+  FROM kinds
+), marked AS MATERIALIZED (
+  SELECT *, row_number() OVER o AS pos, left(role, 1) AS initial, lag(left(role, 1)) OVER o AS before, {blank} AS blank,
+         row_number() OVER (PARTITION BY c, role, text ORDER BY turn NULLS FIRST, copy) > 1 AS again,
+         NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') AS open
+  FROM damaged WINDOW o AS (PARTITION BY c ORDER BY turn NULLS FIRST, role, text, copy)
+), r AS MATERIALIZED (
+  SELECT c, pos, turn, role, text, initial, blank, again AND NOT blank AS duplicate, open AND NOT blank AND NOT again AS truncated,
+         blank OR again AS gone, CASE WHEN open AND NOT blank AND NOT again THEN 3 ELSE 0 END AS extra,
+         before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au') AS illegal
+  FROM marked
+), steps AS (
+  {closed} (SELECT c, CAST(0 AS BIGINT) AS pos, struct_pack(cost := CAST(0 AS BIGINT), audit := '', out := '') AS z, CAST(NULL AS STRUCT(cost BIGINT, audit VARCHAR, out VARCHAR)) AS s,
+    CAST(NULL AS STRUCT(cost BIGINT, audit VARCHAR, out VARCHAR)) AS u, CAST(NULL AS STRUCT(cost BIGINT, audit VARCHAR, out VARCHAR)) AS a FROM ids))
+  UNION ALL
+  {closed} (SELECT r.c, r.pos, {dropped['z']} AS z, {least(dropped['s'], keep('p.z', 's'))} AS s,
+    {least(dropped['u'], *(keep(f'p.{x}', 'u') for x in 'zsa'), *(rerole(f'p.{x}', 'user') for x in 'zsa'))} AS u,
+    {least(dropped['a'], keep('p.u', 'a'), rerole('p.u', 'assistant'))} AS a
+    FROM steps AS p JOIN r ON r.c = p.c AND r.pos = p.pos + 1))
+), ends AS (
+  SELECT c, {least('z', 'a')} AS best FROM steps QUALIFY row_number() OVER (PARTITION BY c ORDER BY pos DESC) = 1
+), sums AS (
+  SELECT c, max(turn) - min(turn) + 1 - count(DISTINCT turn) AS gaps, count(*) FILTER (blank) AS blank, count(*) FILTER (duplicate) AS duplicate,
+         count(*) FILTER (truncated) AS truncated, count(*) FILTER (illegal) AS illegal FROM r GROUP BY c
+)
+SELECT conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank, CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate,
+       CAST(coalesce(truncated, 0) AS BIGINT) AS truncated, CAST(coalesce(illegal, 0) AS BIGINT) AS illegal, CAST(best.cost AS BIGINT) AS cost, best.audit AS audit,
+       sha256(CASE WHEN best.out = '' THEN '' ELSE left(best.out, length(best.out) - 1) END) AS repaired_sha256
+FROM ids JOIN ends USING (c) LEFT JOIN sums USING (c)
+"""
