@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from citeflow.llm import conversations, decontaminate, gru_lm, langid, mixing, near_dedup, oracles, pii, span_dedup, token_counts, token_output, topk, whitening
+from citeflow.llm import conversations, decontaminate, gru_lm, langid, mixing, near_dedup, oracles, pii, span_dedup, token_counts, token_output, topk, toxicity, whitening
 from citeflow.llm.common import table
 
 
@@ -53,6 +53,10 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whitened(table(spark, sf_dir, "embeddings"))
 
 
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     given = table(spark, sf_dir, "conversations")
     return conversations.digests(conversations.damage(given), given)
@@ -62,7 +66,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_near_dedup, op2_token_counts, op3_pii, op4_token_output, op5_decontaminate, op6_topk, op7_span_dedup, op8_langid, op9_mixing, op10_gru_lm,
-        op11_whitening, op13_conversations,
+        op11_whitening, op12_toxicity, op13_conversations,
     )
 }
 
