@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 #: What a sign may stand for. Fixed values.
 SIGNS = {
@@ -24,15 +24,13 @@ EDGE = " "
 _LETTER = r"[^\W\d_]"
 _SIGN = r"[0-9@$!|+€(*]"
 _ONE = rf"(?:{_LETTER}|{_SIGN})"
-#: A place where a disguise shows; the stretch is then widened to white space.
-_MARKS = re.compile(
-    rf"(?<![^\s]){_ONE}(?:[ ._-]{_ONE}){{2,}}(?![^\s.,;:?!])"  # apart
-    rf"|{_LETTER}{_SIGN}+{_LETTER}"  # within
-    rf"|(?<![^\s\"'])[0-9@$€]+{_LETTER}{{2}}"  # in front
-    rf"|{_LETTER}{{2}}[0-9@$€]+(?![^\s.,;:?!\"'])"  # behind
-    rf"|({_LETTER})\1\1"  # drawn out
-)
-_SPACE = re.compile(r"\s")
+_END = r"[.,;:?!\"')]*"
+#: A token that may be disguised: signs within, in front or behind, letters apart by other signs than spaces, or drawn out.
+_MARKS = re.compile(rf"{_LETTER}{_SIGN}+{_LETTER}|^[\"'(]?[0-9@$€]+{_LETTER}{{2}}|{_LETTER}{{2}}[0-9@$€]+{_END}$|^{_ONE}(?:[._-]{_ONE}){{2,}}{_END}$|({_LETTER})\1\1")
+_DRAWN = re.compile(rf"({_LETTER})\1\1")
+_AROUND = ".,;:?!\"'()|"
+#: Single characters with a space between them, at least three.
+_APART = re.compile(rf"(?<!\S){_ONE}(?: {_ONE}){{2,}}(?=[\s.,;:?!]|$)")
 
 
 class Model:
@@ -130,37 +128,47 @@ def decoded(model: Model, stretch: str) -> str:
     return best[EDGE][1].strip(EDGE)
 
 
+def marked(token: str) -> bool:
+    """Whether a token (lower case) may be disguised; most are letters between marks, and need one look for drawn out ones."""
+    return (_DRAWN if token.strip(_AROUND).isalpha() else _MARKS).search(token) is not None
+
+
+def pieces(text: str, size: int = 1 << 18) -> Iterator[str]:
+    """The text in pieces that end at white space, no run of single characters cut."""
+    start = 0
+    while start < len(text):
+        end = start + size
+        while end < len(text) and not (text[end].isspace() and not text[end + 2 : end + 3].isspace()):
+            end += 1
+        yield text[start:end]
+        start = end
+
+
 class Restorer:
-    """Restores whole texts; remembers the stretches of a task, up to a bound."""
+    """Restores texts token by token; remembers what it found in a task, up to a bound."""
 
-    def __init__(self, model: Model, most: int = 100_000) -> None:
-        self.model, self.most, self.known = model, most, {}
+    def __init__(self, model: Model, most: int = 200_000) -> None:
+        self.model, self.most = model, most
+        self.known: dict[str, str] = {}
 
-    def stretches(self, text: str) -> Iterable[tuple[int, int]]:
-        """Where the text (lower case) may be disguised: places that don't touch, widened to white space."""
-        end = 0
-        for m in _MARKS.finditer(text):
-            if m.start() < end:
-                continue
-            start = m.start()
-            while start > end and not text[start - 1].isspace():
-                start -= 1
-            after = _SPACE.search(text, m.end())
-            end = after.start() if after else len(text)
-            yield start, end
-
-    def restored(self, text: str) -> tuple[str, int]:
-        """The text in lower case with its disguised stretches decoded, and how many of them changed."""
-        text = text.lower()
-        out, done, changed = [], 0, 0
-        for start, end in self.stretches(text):
-            stretch = text[start:end]
-            found = self.known.get(stretch)
-            if found is None:
-                found = decoded(self.model, stretch)
-                if len(self.known) < self.most:
-                    self.known[stretch] = found
-            out += [text[done:start], found]
-            done = end
-            changed += found != stretch
-        return "".join([*out, text[done:]]), changed
+    def token(self, token: str) -> str:
+        """A token (lower case) as it was meant."""
+        found = self.known.get(token)
+        if found is None:
+            found = decoded(self.model, token) if marked(token) else token
+            if len(self.known) < self.most:
+                self.known[token] = found
+        return found
+
+    def tokens(self, text: str) -> Iterator[list[str]]:
+        """The tokens of a text in lower case, piece by piece; characters apart by spaces are put together first."""
+        for piece in pieces(text):
+            piece = piece.lower()
+            found = piece.split()
+            if sum(len(x) == 1 for x in found) > 2:
+                found = _APART.sub(lambda m: ".".join(m.group().split(" ")), piece).split()
+            yield found
+
+    def restored(self, text: str) -> str:
+        """The restored tokens with a space between them."""
+        return " ".join(self.token(x) for found in self.tokens(text) for x in found)

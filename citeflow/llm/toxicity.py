@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from citeflow.llm.common import slices, texts, unused, written
-from citeflow.llm.deobfuscate import EDGE, ORDER, Model, Restorer
+from citeflow.llm.deobfuscate import EDGE, ORDER, Model, Restorer, marked
 
 #: Labelled rows of the regression, at most about; features; grams of each length of the language model.
 SAMPLE, FEATURES, GRAMS = 32_768, 2_048, 65_536
@@ -65,7 +65,7 @@ def training_texts(documents: DataFrame, labels: DataFrame, model: Model) -> Dat
     def restored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         restorer = Restorer(model)
         for piece in slices(batches, 256):
-            found = pa.array([restorer.restored(t.decode())[0] for t in texts(piece.column(2))], pa.string())
+            found = pa.array([restorer.restored(t.decode()) for t in texts(piece.column(2))], pa.string())
             yield pa.RecordBatch.from_arrays([piece.column(0), piece.column(1), found], ["toxic", "share", "text"])
 
     return written(rows.mapInArrow(restored, "toxic int, share double, text string"), "toxicity-training")
@@ -91,45 +91,52 @@ def telling_features(training: DataFrame, most: int = FEATURES) -> list[str]:
     return [r.feature for r in sums.orderBy(ratio.desc(), "feature").limit(most).select("feature").collect()]
 
 
-def _pieces(text: str, size: int = 1 << 16) -> Iterator[str]:
-    """The text in pieces that end at white space."""
-    start = 0
-    while start < len(text):
-        end = start + size
-        while end < len(text) and not text[end].isspace():
-            end += 1
-        yield text[start:end]
-        start = end
-
-
-def features_of(text: str, known: dict[str, int]) -> tuple[list[int], list[float]]:
-    """Numbers and values (log of one and the count) of the known features of a restored text; the last is its length."""
-    words: Counter[str] = Counter()
-    for piece in _pieces(text):
-        words.update(_WORD.findall(piece))
-    found: Counter[int] = Counter()
-    for word, n in words.items():
-        k = known.get(word)
-        if k is not None:
-            found[k] += n
-        for size in BEGINNINGS:
-            if len(word) <= size:
-                break
-            k = known.get(word[:size] + "-")
-            if k is not None:
-                found[k] += n
-    ids = sorted(found)
-    return [*ids, len(known)], [*(float(np.log1p(found[k])) for k in ids), float(np.log1p(words.total())) / 10]
-
-
-def fitted(training: DataFrame, known: dict[str, int], sample: int = SAMPLE) -> np.ndarray:
+class Features:
+    """Numbers and values of the known features of texts, by tokens whose features are remembered up to a bound."""
+
+    def __init__(self, model: Model, known: dict[str, int]) -> None:
+        self.restorer, self.known = Restorer(model), known
+        self.found: dict[str, tuple[int, ...]] = {}
+        self.starts = {name[: BEGINNINGS[0]] for name in known}
+
+    def of_token(self, token: str) -> tuple[int, ...]:
+        """The token's features; -1 before them if it was restored."""
+        restored = self.restorer.token(token) if marked(token) else token
+        out = [-1] if restored != token else []
+        for word in _WORD.findall(restored):
+            if word[: BEGINNINGS[0]] in self.starts:
+                names = [word, *(word[:size] + "-" for size in BEGINNINGS if len(word) > size)]
+                out += [self.known[x] for x in names if x in self.known]
+        return tuple(out)
+
+    def of(self, text: str) -> tuple[list[int], list[float], int]:
+        """Features, their values (log of one and the count; the last is the length), and how many tokens were restored."""
+        found: Counter[int] = Counter()
+        total = changed = 0
+        for tokens in self.restorer.tokens(text):
+            total += len(tokens)
+            for token, n in Counter(tokens).items():
+                ids = self.found.get(token)
+                if ids is None:
+                    ids = self.of_token(token)
+                    if len(self.found) < self.restorer.most:
+                        self.found[token] = ids
+                for k in ids:
+                    found[k] += n
+        changed = found.pop(-1, 0)
+        ids = sorted(found)
+        return [*ids, len(self.known)], [*(float(np.log1p(found[k])) for k in ids), float(np.log1p(total)) / 10], changed
+
+
+def fitted(training: DataFrame, model: Model, known: dict[str, int], sample: int = SAMPLE) -> np.ndarray:
     """Weights by feature, of the length and the intercept, from about ``sample`` training rows at most."""
     rows = training.count()
 
     def values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        features = Features(model, known)
         for piece in slices(batches, 256):
-            found = [features_of(t.decode(), known) for t in texts(piece.column(1))]
-            yield pa.RecordBatch.from_arrays([piece.column(0), pa.array([k for k, _ in found], pa.list_(pa.int32())), pa.array([v for _, v in found], pa.list_(pa.float64()))], ["toxic", "k", "v"])
+            found = [features.of(t.decode()) for t in texts(piece.column(1))]
+            yield pa.RecordBatch.from_arrays([piece.column(0), pa.array([k for k, _, _ in found], pa.list_(pa.int32())), pa.array([v for _, v, _ in found], pa.list_(pa.float64()))], ["toxic", "k", "v"])
 
     picked = training.where(F.col("share") <= sample / max(rows, 1)).select("toxic", "text").mapInArrow(values, "toxic int, k array<int>, v array<double>").toArrow()
     y = picked.column("toxic").to_numpy().astype(float).clip(0, 1)
@@ -158,21 +165,20 @@ def fitted(training: DataFrame, known: dict[str, int], sample: int = SAMPLE) ->
 
 
 def toxicity(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, held_out, score, predicted, n_restored (disguised stretches that were replaced) for each document."""
+    """doc_id, held_out, score, predicted, n_restored (disguised tokens that were replaced) for each document."""
     model = character_model(documents)
     training = training_texts(documents, labels, model)
     known = {f: k for k, f in enumerate(telling_features(training))}
-    weights = fitted(training, known)
+    weights = fitted(training, model, known)
     rows = documents.select("doc_id", _bucket().alias("bucket"), "text")
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        restorer = Restorer(model)
+        features = Features(model, known)
         for piece in slices(batches, 256):
             scores, changed = [], []
             for t in texts(piece.column(2)):
-                text, n = restorer.restored(t.decode())
-                ids, values = features_of(text, known)
+                ids, values, n = features.of(t.decode())
                 margin = float(np.dot(weights[ids], values)) + weights[-1]
                 scores.append(1 / (1 + np.exp(-min(max(margin, -500.0), 500.0))))
                 changed.append(n)

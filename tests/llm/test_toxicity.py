@@ -7,7 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from citeflow.llm import toxicity
-from citeflow.llm.deobfuscate import EDGE, ORDER, Model, Restorer, decoded, grams_of, lattice, paths_cost
+from citeflow.llm.deobfuscate import EDGE, ORDER, Model, Restorer, decoded, grams_of, lattice, paths_cost, pieces
 from tests.llm import cases
 
 WORDS = ["idiot", "stupid", "trash", "loser", "hello", "world", "letter", "the", "a", "cat", "sat", "on", "mat", "this", "is"]
@@ -38,13 +38,13 @@ def test_viterbi_finds_what_trying_all_paths_finds(stretch, words):
 
 @pytest.mark.parametrize("text, want", [("1d10t", "idiot"), ("$tup1d", "stupid"), ("trrraaash", "trash"), ("l o s e r", "loser"), ("l.o.5.e.r", "loser"), ("tr@sh!", "trash"), ("looooooser", "loser")])
 def test_restores(text, want):
-    restored, n = Restorer(_model(WORDS * 5)).restored(f"This {text} is on the mat.")
-    assert n == 1 and restored.split()[1].strip(".!") == want and restored.split()[-1] == "mat."
+    restored = Restorer(_model(WORDS * 5)).restored(f"This {text} is on the mat.").split()
+    assert restored == ["this", want, "is", "on", "the", "mat."] or restored == ["this", want + "!", "is", "on", "the", "mat."]
 
 
 def test_plain_text_stays():
     text = "the cat sat on the mat, 12 or 2024. a-b? (letter) hello!"
-    assert Restorer(_model(WORDS)).restored(text) == (text, 0)
+    assert Restorer(_model(WORDS)).restored(text) == text
 
 
 def test_model_counts_like_plain_python(spark):
@@ -114,7 +114,15 @@ def test_odd_rows(spark):
 
 
 def test_pieces_lose_no_word():
-    text = " ".join(f"word{'x' * (k % 7)}" for k in range(40_000))
-    known = {"word": 0, "wordx": 1, "wor-": 2}
-    ids, values = toxicity.features_of(text, known)
-    assert ids == [0, 1, 2, 3] and np.allclose(np.expm1(values[:3]), [sum(k % 7 == 0 for k in range(40_000)), sum(k % 7 == 1 for k in range(40_000)), 40_000])
+    text = " ".join(f"word{'xy' * (k % 7)}" for k in range(60_000))
+    features = toxicity.Features(_model(WORDS), {"word": 0, "wordxy": 1, "wor-": 2})
+    ids, values, changed = features.of(text)
+    assert ids == [0, 1, 2, 3] and np.allclose(np.expm1(values[:3]), [sum(k % 7 == 0 for k in range(60_000)), sum(k % 7 == 1 for k in range(60_000)), 60_000]) and changed == 0
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.text(alphabet="ab \n.", max_size=60), st.integers(1, 12))
+def test_pieces_join_to_the_text_and_cut_no_run(text, size):
+    cut = list(pieces(text, size))
+    assert "".join(cut) == text
+    assert sorted(x for p in cut for x in p.split()) == sorted(text.split())
