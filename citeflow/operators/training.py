@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from citeflow.functions.intervals import touches
@@ -71,6 +71,42 @@ def paraphrased(rows: DataFrame, marker: str) -> DataFrame:
     return good.drop("text", "start", "end").withColumnsRenamed({"new_text": "text", "new_start": "start", "new_end": "end"})
 
 
+def paraphrased_documents(docs: DataFrame, spans: DataFrame, paraphrases: DataFrame, marker: str) -> tuple[DataFrame, DataFrame]:
+    """Documents with all usable paraphrases put in, and all their spans at their new places.
+
+    ``docs``: doc_id, text. ``spans``: doc_id, start, end and more. ``paraphrases``: doc_id, sentence_start, sentence_end,
+    paraphrase; a sentence is replaced if it holds one whole span and touches no other, begins where all that begin before
+    it have ended, and its paraphrase passes as in ``paraphrased``. A span after replaced sentences moves by the running sum of
+    their changes in length; the span within one goes to the marker's place.
+    """
+    clean = F.size(F.split(F.col("paraphrase"), f"\\Q{marker}\\E", -1)) == 2
+    latin = ~F.regexp_replace("paraphrase", f"\\Q{marker}\\E", "").rlike(r"[\p{L}&&[^\p{IsLatin}]]")
+    by = Window.partitionBy("doc_id").orderBy("sentence_start", "sentence_end", "paraphrase")
+    every = by.rowsBetween(Window.unboundedPreceding, -1)
+    usable = paraphrases.select("doc_id", "sentence_start", "sentence_end", "paraphrase").where(clean & latin)
+    alone = usable.withColumn("__before", F.max("sentence_end").over(every)).where("__before IS NULL OR __before <= sentence_start").drop("__before")
+    places = spans.select(F.col("doc_id").alias("__doc"), F.col("start").alias("s"), F.col("end").alias("e"))
+    inside = (F.col("s") >= F.col("sentence_start")) & (F.col("e") <= F.col("sentence_end"))
+    keys = ["doc_id", "sentence_start", "sentence_end", "paraphrase"]
+    held = alone.join(places, (F.col("doc_id") == F.col("__doc")) & (F.col("s") < F.col("sentence_end")) & (F.col("e") > F.col("sentence_start")))
+    held = held.groupBy(*keys).agg(F.count("*").alias("n"), F.count_if(inside).alias("whole"), F.min("s").alias("s"), F.min("e").alias("e")).where("n = 1 AND whole = 1")
+    put = F.replace("paraphrase", F.lit(marker), F.expr("substring(text, s + 1, e - s)"))
+    edits = held.join(docs.select("doc_id", "text"), "doc_id").select("doc_id", F.col("sentence_start").alias("at"), F.col("sentence_end").alias("stop"), put.alias("put"), (F.instr("paraphrase", marker) - 1).alias("offset"), "s")
+    listed = edits.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("at", "stop", "put"))).alias("edits"))
+    pieces = F.transform("edits", lambda x, i: F.concat(F.expr("text").substr(F.when(i == 0, 0).otherwise(F.get("edits", i - 1)["stop"]) + 1, x["at"] - F.when(i == 0, 0).otherwise(F.get("edits", i - 1)["stop"])), x["put"]))
+    tail = F.expr("substring(text, element_at(edits, -1).stop + 1)")
+    new_docs = docs.join(listed, "doc_id", "left").withColumn("text", F.when(F.col("edits").isNull(), F.col("text")).otherwise(F.concat(F.array_join(pieces, ""), tail))).drop("edits")
+    change = (F.length("put") - (F.col("stop") - F.col("at"))).alias("change")
+    events = edits.select("doc_id", F.col("at").alias("place"), change, F.struct("at", "offset", "s").alias("edit"), F.lit(None).cast(spans.select(F.struct(*spans.columns).alias("x")).schema["x"].dataType).alias("span"))
+    moved = spans.select("doc_id", F.col("start").alias("place"), F.lit(0).alias("change"), F.lit(None).cast("struct<at: int, offset: int, s: int>").alias("edit"), F.struct(*spans.columns).alias("span"))
+    order = Window.partitionBy("doc_id").orderBy("place", F.col("span").isNotNull()).rowsBetween(Window.unboundedPreceding, 0)
+    run = events.unionByName(moved).withColumn("shift", F.sum("change").over(order)).withColumn("last", F.last("edit", True).over(order)).withColumn("own", F.last(F.when(F.col("edit").isNotNull(), F.col("change")), True).over(order))
+    within = F.coalesce(F.col("last.s") == F.col("span.start"), F.lit(False))
+    start = F.when(within, F.col("last.at") + F.col("shift") - F.col("own") + F.col("last.offset")).otherwise(F.col("span.start") + F.col("shift"))
+    out = run.where("span IS NOT NULL").select("span.*", start.cast("int").alias("__start"))
+    return new_docs, out.withColumn("end", (F.col("__start") + F.col("end") - F.col("start")).cast("int")).withColumn("start", F.col("__start")).drop("__start")
+
+
 def ignored_tokens(tokens: DataFrame, ignored: DataFrame, doc: str = "doc_id") -> DataFrame:
     """Tokens with ``masked``: empty ones, and those that touch an ignored region."""
     i = ignored.select(F.col(doc).alias("__doc"), F.col("start").alias("__start"), F.col("end").alias("__end"))

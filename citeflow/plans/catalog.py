@@ -27,6 +27,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def load() -> tuple[dict[str, Query], dict[str, str]]:
-    from citeflow.plans import citations, reporting, resolving, scoring, sequences, spans, texts  # noqa: F401
+    from citeflow.plans import citations, generated, reporting, resolving, scoring, sequences, spans, texts  # noqa: F401
 
     return QUERIES, ORACLES

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from citeflow.operators import registry as reg
 from citeflow.operators import splits
 from citeflow.operators.decide import decide
+from citeflow.operators.truth import truth
 from citeflow.plans.catalog import query, table
 
 CLASSES = ["REsp", "AREsp", "RE", "ARE", "HC", "RHC"]
@@ -148,13 +149,10 @@ def negative_key_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return splits.absent_keys(candidates, table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("number")), "number")
 
 
-@query(f"""
-WITH clean AS ({_RESOLVE}), noisy AS (SELECT mention_id, CASE WHEN mention_id % 3 = 0 THEN 'numero_ausente' ELSE path END AS path FROM clean)
-SELECT clean.verdict, count(*) AS n, sum(CASE WHEN clean.path = noisy.path THEN 1 ELSE 0 END)::BIGINT AS agreeing
-FROM clean JOIN noisy ON clean.mention_id = noisy.mention_id GROUP BY clean.verdict
-""")
-def noise_twins_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A third of the twins lost their number to noise; how many decisions agree, by verdict of the clean twin."""
-    clean = resolve_mentions(spark, sf_dir).select("mention_id", "verdict", "path")
-    noisy = clean.select("mention_id", F.when(F.col("mention_id") % 3 == 0, "numero_ausente").otherwise(F.col("path")).alias("noisy_path"))
-    return clean.join(noisy, "mention_id").groupBy("verdict").agg(F.count("*").alias("n"), F.sum((F.col("path") == F.col("noisy_path")).cast("long")).alias("agreeing"))
+@query(f"SELECT mention_id, verdict, canonical_id FROM ({_RESOLVE})")
+def truth_of_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same mentions classified by elimination, without any of the decision's code."""
+    rows = order_mentions(table(spark, sf_dir, "orders"))
+    unnumbered = (F.col("form") != "com_numero") | ~F.col("fields_read")
+    key = F.when(~unnumbered, F.when(F.col("case_class").isNotNull(), F.col("number")).otherwise(""))
+    return truth(rows.withColumn("key", key), lineitem_registry(table(spark, sf_dir, "lineitem")), "mention_id")

@@ -34,6 +34,18 @@ def test_paraphrases_shift_places(spark):
     assert out[0]["text"] == "Antes. Ficou decidido no REsp 10, enfim. Depois." and out[0]["text"][out[0]["start"] : out[0]["end"]] == "REsp 10"
 
 
+def test_all_spans_of_a_document_move(spark):
+    text = "Aqui REsp 1 fica. Ali HC 22 fica. Fim Pet 333."
+    spans = [("d", text.index(s), text.index(s) + len(s), s) for s in ("REsp 1", "HC 22", "Pet 333")] + [("e", 0, 2, "ab")]
+    docs = spark.createDataFrame([("d", text), ("e", "ab cd")], "doc_id string, text string")
+    given = [("d", 0, 17, "Consta [[X]]."), ("d", 18, 33, "Em [[X]] ficou bem mais claro."), ("d", 20, 30, "cruza [[X]]"), ("d", 34, 46, "[[X]] [[X]]"), ("e", 0, 5, "判 [[X]]")]
+    new, moved = training.paraphrased_documents(docs, spark.createDataFrame(spans, "doc_id string, start int, end int, snippet string"), spark.createDataFrame(given, "doc_id string, sentence_start int, sentence_end int, paraphrase string"), "[[X]]")
+    texts = {r["doc_id"]: r["text"] for r in new.collect()}
+    assert texts == {"d": "Consta REsp 1. Em HC 22 ficou bem mais claro. Fim Pet 333.", "e": "ab cd"}
+    rows = moved.collect()
+    assert len(rows) == 4 and all(texts[r["doc_id"]][r["start"] : r["end"]] == r["snippet"] for r in rows)
+
+
 def test_ignored_tokens_and_labels(spark):
     tokens = spark.createDataFrame([(1, 0, 0, 4), (1, 1, 5, 9), (1, 2, 9, 9)], "doc_id int, token int, start int, end int")
     ignored = spark.createDataFrame([(1, 6, 7)], "doc_id int, start int, end int")
