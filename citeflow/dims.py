@@ -1,55 +1,55 @@
-"""Lookup tables, as plain data, and the patterns that are made of them."""
+"""Lookup tables, as plain data."""
 
 from __future__ import annotations
 
-# Case classes and the patterns they are written as.
+# Case classes and what they are written as, without accents; a dot may be there or not, with spaces after it.
 CLASSES = {
-    "EDcl": ["embargos de declara[cç][aã]o", r"e\s*d\s*cl", "eds", r"\bed\b"],
-    "EDv": [r"nos?\s*embargos de diverg[eê]ncia", "embargos de diverg[eê]ncia", r"\bedv\b"],
-    "AREsp": ["agravo em recurso especial", r"a\.?\s*resp", "aresp", "arespel"],
-    "REspe": ["recurso especial eleitoral", r"respe\.?"],
-    "REsp": ["recurso especial", r"rec\.?\s*esp\.?", r"r\.?\s*esp\.?", r"resp\.?"],
+    "EDcl": ["embargos de declaracao", "e.d.cl", "eds", "ed"],
+    "EDv": ["no embargos de divergencia", "nos embargos de divergencia", "embargos de divergencia", "edv"],
+    "AREsp": ["agravo em recurso especial", "a.resp", "aresp", "arespel"],
+    "REspe": ["recurso especial eleitoral", "respe."],
+    "REsp": ["recurso especial", "rec.esp.", "r.esp.", "resp."],
     "RHC": ["recurso em habeas corpus", "rhc"],
-    "RMS": ["recurso em mandado de seguran[cç]a", "rms"],
-    "SLS": [r"suspens[aã]o\s+de\s+liminar\s+e\s+de\s+senten[cç]a", r"\bsls\b"],
-    "AI": ["agravo de instrumento", r"\bai\b"],
-    "AgInt": ["agravo interno", r"ag\.?\s*int\.?", "agint"],
-    "AgRg": ["agravo regimental", r"ag\.?\s*r(?:eg(?:imental)?)?\.?", "agrg", "agr"],
+    "RMS": ["recurso em mandado de seguranca", "rms"],
+    "SLS": ["suspensao de liminar e de sentenca", "sls"],
+    "AI": ["agravo de instrumento", "ai"],
+    "AgInt": ["agravo interno", "ag.int.", "agint"],
+    "AgRg": ["agravo regimental", "ag.r.", "ag.reg.", "ag.regimental", "agrg", "agr"],
     "AgREsp": ["agresp"],
-    "Rcl": ["reclama[cç][aã]o", r"recl\.?", "rcl"],
-    "HC": ["habeas corpus", r"h\.?\s*c\.?"],
-    "APL": ["apela[cç][aã]o", "apl"],
+    "Rcl": ["reclamacao", "recl.", "rcl"],
+    "HC": ["habeas corpus", "h.c."],
+    "APL": ["apelacao", "apl"],
     "RSE": ["rse", "recurso em sentido estrito"],
-    "RE": ["recurso extraordin[aá]rio", r"re\.?"],
-    "AR": ["a[cç][aã]o rescis[oó]ria", r"\bar\b"],
-    "RR": ["recurso de revista", r"\brr\b"],
-    "ARR": [r"\barr\b"],
+    "RE": ["recurso extraordinario", "re."],
+    "AR": ["acao rescisoria", "ar"],
+    "RR": ["recurso de revista", "rr"],
+    "ARR": ["arr"],
     "AgARR": ["agarr"],
-    "Rp": ["representa[cç][aã]o", r"\brp\b"],
-    "EIN": ["embargos infringentes e de nulidade", "embargos infringentes", r"\bein\b"],
-    "ROE": ["recurso ordin[aá]rio eleitoral", r"\broe\b"],
-    "RO": ["recurso ordin[aá]rio", r"\bro\b"],
-    "CautInom": ["cautelar inominada criminal", "cautelar inominada", r"\bcautinom\b"],
-    "CJ": ["conflito de jurisdi[cç][aã]o", "conflito de compet[eê]ncia", r"\bcj\b"],
-    "CorPar": ["correi[cç][aã]o parcial militar", "correi[cç][aã]o parcial", r"\bcorpar\b"],
-    "Pet": ["peti[cç][aã]o", r"\bpet\b"],
-    "PC": ["presta[cç][aã]o de contas"],
-    "LT": ["lista tr[ií]plice", r"\blt\b"],
-    "AP": ["a[cç][aã]o penal", r"\bap\b"],
-    "MS": ["mandado de seguran[cç]a", r"\bms\b"],
-    "ADI": ["a[cç][aã]o direta de inconstitucionalidade", "adi"],
-    "AC": ["a[cç][aã]o cautelar", r"\bac\b"],
-    "DCG": [r"\bdcg\b"],
+    "Rp": ["representacao", "rp"],
+    "EIN": ["embargos infringentes e de nulidade", "embargos infringentes", "ein"],
+    "ROE": ["recurso ordinario eleitoral", "roe"],
+    "RO": ["recurso ordinario", "ro"],
+    "CautInom": ["cautelar inominada criminal", "cautelar inominada", "cautinom"],
+    "CJ": ["conflito de jurisdicao", "conflito de competencia", "cj"],
+    "CorPar": ["correicao parcial militar", "correicao parcial", "corpar"],
+    "Pet": ["peticao", "pet"],
+    "PC": ["prestacao de contas"],
+    "LT": ["lista triplice", "lt"],
+    "AP": ["acao penal", "ap"],
+    "MS": ["mandado de seguranca", "ms"],
+    "ADI": ["acao direta de inconstitucionalidade", "adi"],
+    "AC": ["acao cautelar", "ac"],
+    "DCG": ["dcg"],
     "AIRR": ["agravo de instrumento em recurso de revista", "airr"],
-    "RRAG": [r"\brrag\b"],
-    "ROT": ["recurso ordin[aá]rio trabalhista", r"\brot\b"],
-    "IRR": ["incidente de recursos? de revista repetitivos?", r"\birr\b"],
-    "ACO": ["a[cç][aã]o c[ií]vel origin[aá]ria", r"\baco\b"],
-    "ADC": ["a[cç][aã]o declarat[oó]ria de constitucionalidade", "a[cç][aã]o direta de constitucionalidade", r"\badc\b"],
-    "ADO": ["a[cç][aã]o direta de inconstitucionalidade por omiss[aã]o", r"\bado\b"],
-    "ADPF": ["arg[uü]i[cç][aã]o de descumprimento de preceito fundamental", r"\badpf\b"],
-    "ARE": ["recurso extraordin[aá]rio com agravo", r"\bare\b"],
-    "EREsp": ["embargos de diverg[eê]ncia em recurso especial", r"\beresp\b"],
+    "RRAG": ["rrag"],
+    "ROT": ["recurso ordinario trabalhista", "rot"],
+    "IRR": ["incidente de recursos de revista repetitivos", "incidente de recurso de revista repetitivo", "irr"],
+    "ACO": ["acao civel originaria", "aco"],
+    "ADC": ["acao declaratoria de constitucionalidade", "acao direta de constitucionalidade", "adc"],
+    "ADO": ["acao direta de inconstitucionalidade por omissao", "ado"],
+    "ADPF": ["arguicao de descumprimento de preceito fundamental", "adpf"],
+    "ARE": ["recurso extraordinario com agravo", "are"],
+    "EREsp": ["embargos de divergencia em recurso especial", "eresp"],
 }
 
 # Tokens within labour-court numbers, and the classes they stand for.
@@ -80,13 +80,13 @@ STATES = {
     "RN": "rio grande do norte", "RS": "rio grande do sul", "RO": "rondonia", "RR": "roraima", "SC": "santa catarina", "SP": "sao paulo", "SE": "sergipe", "TO": "tocantins",
 }
 
-# Courts and how their names are spelled out.
+# Courts and how their names are spelled out, without accents.
 COURTS = {
-    "STF": ["Supremo Tribunal Federal", "Suprema Corte"],
-    "STJ": ["Superior Tribunal de Justiça"],
-    "TST": ["Tribunal Superior do Trabalho"],
-    "TSE": ["Tribunal Superior Eleitoral"],
-    "STM": ["Superior Tribunal Militar"],
+    "STF": ["supremo tribunal federal", "suprema corte"],
+    "STJ": ["superior tribunal de justica"],
+    "TST": ["tribunal superior do trabalho"],
+    "TSE": ["tribunal superior eleitoral"],
+    "STM": ["superior tribunal militar"],
 }
 
 # Words that may be repaired when m was read as rn or rn as m.
@@ -95,37 +95,12 @@ REPAIRABLE = (
     "competência inominada criminal liminar militar cautinom ms rms com omissão descumprimento fundamental complementar cpm consumidor tema temas"
 ).split()
 
-# Phrases that refer to something without naming it.
-VAGUE = ["jurisprudência pacífica", "entendimento sumulado", "artigo correspondente", "orientação jurisprudencial da Corte Superior", "dispositivo legal de regência"]
+# Phrases that refer to something without naming it, without accents.
+VAGUE = ["jurisprudencia pacifica", "entendimento sumulado", "artigo correspondente", "orientacao jurisprudencial da corte superior", "dispositivo legal de regencia"]
 
-# The mask of case numbers, and the words of citations and headers.
-CASE_MASK = "NNNNNNN-DD.AAAA.J.TR.OOOO"
-RELATOR_WORDS = ["Ministro", "Ministra", "relator", "relatora", "relatore", "relatoria", "relatorio", "relatado", "relatada", "Rel.", "Rel", "Min.", "Min"]
-TRIGGERS = ["julgado", "julgada", "precedente", "acórdão", "decisão", "aresto"]
-CONTROL_CLASSES = ["ADPF", "ADI", "ADO", "ADC", "ACO"]
-ORDINALS = ["primeiro", "segundo", "terceiro", "quarto"]
+# Prefixes of laws' keys, titles before names, and lines of headers.
 LAW_KINDS = {"decreto-lei": "DL", "decreto lei": "DL", "lei complementar": "LC", "lc": "LC", "lei": "LEI"}
 TITLES = ["ministro", "ministra", "min", "dr", "dra", "des", "juiz", "juiza", "juizo"]
-HONOURS = ["colendo", "egrégio", "excelso", "C."]
-PRECEDENT_INCIDENTS = ["ArgInc", "IncJulg", "IRR", "IUJ"]
-PARTIES = (
-    "RECORRENTE RECORRIDO AGRAVANTE AGRAVADO EMBARGANTE EMBARGADO REQUERENTE REQUERIDO IMPETRANTE PACIENTE ADVOGADO ADVOGADA REDATOR REVISOR".split()
-)
 HEADER_LABELS = (
-    "processo autos protocolo memorial ofício impetrante paciente apelante apelado agravante agravado assistido autoridade relator reclamante reclamada recorrente recorrido autor ré".split()
+    "processo autos protocolo memorial oficio impetrante paciente apelante apelado agravante agravado assistido autoridade relator reclamante reclamada recorrente recorrido autor re".split()
 ) + ["valor da causa"]
-
-
-def class_names() -> dict[str, list[str]]:
-    """Each class with its patterns, white space in them of any kind."""
-    return {name: [p.replace(" ", r"\s+") for p in patterns] for name, patterns in CLASSES.items()}
-
-
-def class_aliases() -> list[tuple[str, str]]:
-    """(pattern, class), longest pattern first."""
-    pairs = [(p, name) for name, patterns in class_names().items() for p in patterns]
-    return sorted(pairs, key=lambda x: -len(x[0]))
-
-
-def class_pattern() -> str:
-    return "(?<![A-Za-z])(?:" + "|".join(f"(?:{p})" for p, _ in class_aliases()) + ")(?![A-Za-z])"

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -12,14 +14,34 @@ MISREAD, DIGITS = "lIOoSsgG", "11005599"
 DASHES = "‐‑‒–—―−"
 SPACES = "\n\r\t               　"
 
-# Accented letters and their plain forms.
-ACCENTED = "áàâãäåéèêëíìîïóòôõöúùûüçñýÿ"
-PLAIN = "aaaaaaeeeeiiiiooooouuuucnyy"
+
+
+def _accented() -> dict[str, str]:
+    """Each Latin letter that Unicode composes of a plain one and marks, with the plain one."""
+    out = {}
+    for code in [*range(0xC0, 0x250), *range(0x1E00, 0x1F00)]:
+        first, *marks = unicodedata.normalize("NFD", chr(code))
+        if marks and first.isascii() and all(unicodedata.category(m) == "Mn" for m in marks):
+            out[chr(code)] = first
+    return out
+
+
+PLAIN_LETTERS = _accented()
+
+
+def without_accents(text: Column) -> Column:
+    """Composed letters without their accents, position by position."""
+    return F.translate(text, "".join(PLAIN_LETTERS), "".join(PLAIN_LETTERS.values()))
 
 
 def fold(text: Column) -> Column:
-    """Lower case without accents."""
-    return F.translate(F.lower(text), ACCENTED, PLAIN)
+    """Lower case without accents, whether they are composed with their letters or marks of their own."""
+    return F.regexp_replace(without_accents(F.lower(text)), r"\p{Mn}", "")
+
+
+def folded(word: str) -> str:
+    """What ``fold`` does, for a word at hand."""
+    return "".join(c for c in map(lambda c: PLAIN_LETTERS.get(c, c), word.lower()) if unicodedata.category(c) != "Mn")
 
 
 def plain_spaces(text: Column) -> Column:

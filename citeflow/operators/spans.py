@@ -6,18 +6,19 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from citeflow import dims
-from citeflow.operators.grammar import any_of, words
+from citeflow.functions.text import without_accents
+from citeflow.operators.patterns import either
 
-_LABELLED = "(?iu)" + any_of(rf"^{words(dims.HEADER_LABELS)}\b", r"\bOAB\s*/")
+_LABELLED = rf"(?i)^(?:{either(dims.HEADER_LABELS)})\b|\bOAB\s*/"
 _OPEN, _CLOSE, _FREE = "\x01", "\x02", "\x03"
 
 
-def _pieces(text: str, pattern: str) -> Column:
-    clean = F.translate(F.col(text), _OPEN + _CLOSE, _FREE + _FREE)
+def _pieces(text: str | Column, pattern: str) -> Column:
+    clean = F.translate(F.col(text) if isinstance(text, str) else text, _OPEN + _CLOSE, _FREE + _FREE)
     return F.split(F.regexp_replace(clean, f"({pattern})", f"{_OPEN}$1{_CLOSE}"), f"[{_OPEN}{_CLOSE}]", -1)
 
 
-def matches(text: str, pattern: str) -> Column:
+def matches(text: str | Column, pattern: str) -> Column:
     """array<struct<start, end, snippet>> of the leftmost matches of a Java pattern without capturing groups.
 
     The matches are put between marks and the text is split at them; odd pieces are matches, and the lengths of the
@@ -78,7 +79,7 @@ def header_end(text: str, labels: bool = False) -> Column:
         bare = F.trim(F.regexp_replace(line, "[\\r\\n\\t]", " "))
         letters = F.length(F.regexp_replace(bare, "[^\\p{L}]", ""))
         capitals = (letters >= 3) & ~bare.rlike("\\p{Ll}") & (F.length(bare) <= 120)
-        labelled = bare.rlike(_LABELLED) if labels else F.lit(False)
+        labelled = without_accents(bare).rlike(_LABELLED) if labels else F.lit(False)
         return (bare == "") | labelled | capitals | ((F.length(bare) <= 40) & ~bare.rlike("\\p{Ll}"))
 
     def step(a: Column, line: Column) -> Column:

@@ -6,10 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from citeflow.functions.intervals import half_covered, overlap, touching
+from citeflow.functions.text import without_accents
 from citeflow.operators.fields import law_key
 from citeflow.operators.overlap import outside_of
+from citeflow.operators.patterns import CLASS
 from citeflow.operators.spans import matches
-from citeflow.dims import class_pattern
 
 _EDGE = " \t\n,;:()"
 
@@ -26,7 +27,8 @@ def trimmed(spans: DataFrame) -> DataFrame:
 def gated(spans: DataFrame, regex_spans: DataFrame) -> DataFrame:
     """Tagger spans that add to the patterns' ones: in the body, touching no pattern span, and with something to look up."""
     s = F.col("snippet")
-    ruling = (s.rlike("(?iu)s[úu]mula") & ~s.rlike("(?iu)administrativ")) | s.rlike(f"(?iu){class_pattern()}")
+    plain = without_accents(s)
+    ruling = (plain.rlike("(?i)sumula") & ~plain.rlike("(?i)administrativ")) | plain.rlike(f"(?i){CLASS}")
     statute = s.rlike("(?iu)^art") & law_key(F.regexp_extract(s, r"(?iu)\bd[oa]s?\s+(.+)$", 1)).isNotNull()
     anchored = s.rlike("[0-9]") & F.when(F.col("label") == "LEI", statute).otherwise(ruling)
     inside = trimmed(spans).where(F.col("start") >= F.col("body_start")).where(anchored)

@@ -43,7 +43,9 @@ def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     ]
     kind = (k % 8).cast("int")
     citation = F.element_at(F.array(*written), kind + 1)
-    return table(spark, sf_dir, "orders").select(k.alias("doc_id"), F.concat(F.lit(HEAD + BEFORE), citation, F.lit(AFTER)).alias("text"))
+    # the keys are dealt out before texts are made of them: the table may be one split, and the kernel works split by split
+    keys = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey").repartition(spark.sparkContext.defaultParallelism, "o_orderkey")
+    return keys.select(k.alias("doc_id"), F.concat(F.lit(HEAD + BEFORE), citation, F.lit(AFTER)).alias("text"))
 
 
 def _source(spark: SparkSession, sf_dir: str) -> DataFrame:

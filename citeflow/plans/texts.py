@@ -73,7 +73,7 @@ def number_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""
-WITH w AS (SELECT unnest(regexp_extract_all(translate(lower(text), '{tx.ACCENTED}', '{tx.PLAIN}'), '[a-z]+')) AS word FROM documents)
+WITH w AS (SELECT unnest(regexp_extract_all(translate(lower(text), '{''.join(tx.PLAIN_LETTERS)}', '{''.join(tx.PLAIN_LETTERS.values())}'), '[a-z]+')) AS word FROM documents)
 SELECT word, count(*) AS n FROM w GROUP BY word
 """)
 def accent_fold_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from citeflow.functions.text import without_accents
 from citeflow.operators import evaluate, overlap
 from citeflow.operators.decide import decide
 from citeflow.operators.fields import read_fields
@@ -27,7 +28,7 @@ def prepare(docs: DataFrame) -> DataFrame:
 
 def extract(prepared: DataFrame, with_vague: bool = False) -> DataFrame:
     """Mentions of the running text: doc_id, start, end (original), form, origins, snippet."""
-    rows = prepared.withColumn("__at", body_in_norm(F.col("body_start"))).withColumn("__body", F.expr("substring(norm, __at + 1)"))
+    rows = prepared.withColumn("__at", body_in_norm(F.col("body_start"))).withColumn("__body", without_accents(F.expr("substring(norm, __at + 1)")))
     found = rows.select("doc_id", "text", "map", "body_start", "__at", F.inline(all_matches("__body", forms(with_vague))))
     found = found.select("doc_id", "text", "body_start", original_start(F.col("start") + F.col("__at")).alias("start"), original_end(F.col("end") + F.col("__at")).alias("end"), "form")
     kept = found.where((F.col("start") >= F.col("body_start")) & (F.col("end") > F.col("start")))
