@@ -13,6 +13,10 @@ from pyspark.sql import functions as F
 from citeflow.schema import CLASS_FAMILIES, PATH_CLASS
 
 
+#: What a record is known by.
+RECORD = ("number", "law_key", "article")
+
+
 def _stated(c: Column) -> Column:
     """Empty strings count as absent."""
     return F.nullif(c, F.lit(""))
@@ -49,6 +53,7 @@ def registry_keys(registry: DataFrame) -> DataFrame:
     return registry.select(
         F.explode(keys).alias("key"),
         F.col("id").alias("r_id"),
+        *(F.col(c).alias(f"r_{c}") for c in RECORD),
         *(_stated(F.col(c)).alias(f"r_{c}") for c in ("court", "state", "case_class")),
         F.coalesce("appeal_chain", F.array().cast("array<string>")).alias("r_chain"),
     )
@@ -88,32 +93,56 @@ def class_of(path: Column) -> Column:
     return out
 
 
-def decide(mentions: DataFrame, registry: DataFrame, mention_id: str = "mention_id", with_ids: bool = False, keep: tuple[str, ...] = ()) -> DataFrame:
+def write_index(registry: DataFrame, name: str, buckets: int = 64) -> DataFrame:
+    """The registry's keys as a table bucketed and sorted by key, so that runs which look up in it don't shuffle it."""
+    registry_keys(registry).write.bucketBy(buckets, "key").sortBy("key").mode("overwrite").saveAsTable(name)
+    return registry.sparkSession.table(name)
+
+
+def decide(mentions: DataFrame, registry: DataFrame | None, mention_id: str = "mention_id", with_ids: bool = False, keep: tuple[str, ...] = (), index: DataFrame | None = None, with_record: bool = False, strict: bool = False) -> DataFrame:
     """mention_id, path, verdict, canonical_id, n_candidates, n_consistent and the columns to ``keep`` for every mention.
 
     ``mentions``: mention_id, form, court, case_class, appeal_chain, number, state, law_key, article, fields_read.
     ``registry``: id, court, number, case_class, appeal_chain, state, law_key, article.
     ``with_ids`` adds the sorted ids of candidates and of consistent ones, for registries in which few rows share a key.
+    ``index``, a table of ``write_index``, stands for the registry. ``with_record`` adds what the mention states (``stated``)
+    and what the chosen record is known by (``record``), for ``is_broken``; with ``strict`` a broken decision stops the job.
     A mention that can't be looked up gets a key of its own that no record has, so that these do not meet in one task.
     """
-    keys = registry_keys(registry)
+    keys = registry_keys(registry) if index is None else index
+    with_record = with_record or strict
     ids = [F.sort_array(F.collect_set("r_id")).alias("candidates")] if with_ids else []
     counted = keys.groupBy("key").agg(F.count("*").alias("n_candidates"), *ids)
     own_key = F.coalesce(mention_key(), F.concat(F.lit("?|"), F.col(mention_id).cast("string")))
     asked = mentions.withColumn("key", own_key).join(counted, "key", "left").withColumn("n_candidates", F.coalesce("n_candidates", F.lit(0)))
     joined = asked.join(keys, "key", "left").withColumn("ok", _consistent())
-    stated = ["form", "law_key", "fields_read", "n_candidates", *(["candidates"] if with_ids else []), *keep]
-    found = [F.sum(F.col("ok").cast("long")).alias("n_consistent"), F.min(F.when(F.col("ok"), F.col("r_id"))).alias("only")]
+    said = [F.struct(precedent_key(F.col("number")).alias("number"), "law_key", "article").alias("stated")] if with_record else []
+    stated = ["form", "law_key", "fields_read", "n_candidates", *said, *(["candidates"] if with_ids else []), *keep]
+    found = [F.sum(F.col("ok").cast("long")).alias("n_consistent"), F.min(F.when(F.col("ok"), F.struct("r_id", *(f"r_{c}" for c in RECORD)))).alias("chosen")]
     if with_ids:
         found.append(F.sort_array(F.collect_set(F.when(F.col("ok"), F.col("r_id")))).alias("consistent"))
-    kept = joined.groupBy(mention_id).agg(F.any_value(F.struct(*stated)).alias("__stated"), *found).select(mention_id, "__stated.*", "n_consistent", "only", *(["consistent"] if with_ids else []))
+    kept = joined.groupBy(mention_id).agg(F.any_value(F.struct(*stated)).alias("__stated"), *found).select(mention_id, "__stated.*", "n_consistent", "chosen", *(["consistent"] if with_ids else []))
     decided = kept.withColumn("path", path_of()).withColumn("verdict", class_of(F.col("path")))
     listed = [F.coalesce(c, F.array().cast("array<string>")).alias(c) for c in ("candidates", "consistent")] if with_ids else []
-    canonical = F.when(F.col("verdict") == "real", F.col("only")).alias("canonical_id")
-    return decided.select(mention_id, "path", "verdict", canonical, F.col("n_candidates").cast("long").alias("n_candidates"), "n_consistent", *listed, *keep)
+    real = F.col("verdict") == "real"
+    canonical = F.when(real, F.col("chosen.r_id")).alias("canonical_id")
+    record = ["stated", F.when(real, F.struct(*(F.col(f"chosen.r_{c}").alias(c) for c in RECORD))).alias("record")] if with_record else []
+    out = decided.select(mention_id, "path", "verdict", canonical, F.col("n_candidates").cast("long").alias("n_candidates"), "n_consistent", *listed, *record, *keep)
+    if not strict:
+        return out
+    told = F.raise_error(F.concat(F.lit("broken decision: "), F.col(mention_id).cast("string")))
+    return out.withColumn("path", F.when(is_broken(with_record=True), told).otherwise(F.col("path"))).drop("stated", "record")
+
 
+def is_broken(with_record: bool = False) -> Column:
+    """Whether a decision contradicts itself: a real one without its record, a record without a real verdict, no known path.
 
-def is_broken() -> Column:
-    """Whether a decision contradicts itself: a real one without its record, a record without a real verdict, no known path."""
+    ``with_record``: also a chosen record that bears neither the number nor the law and article that the mention states.
+    """
     is_real = F.coalesce(F.col("verdict") == "real", F.lit(False))
-    return (is_real != F.col("canonical_id").isNotNull()) | F.col("verdict").isNull() | (is_real & (F.coalesce("n_consistent", F.lit(0)) != 1))
+    broken = (is_real != F.col("canonical_id").isNotNull()) | F.col("verdict").isNull() | (is_real & (F.coalesce("n_consistent", F.lit(0)) != 1))
+    if not with_record:
+        return broken
+    number = F.col("record.number") == F.col("stated.number")
+    law = (F.col("record.law_key") == F.col("stated.law_key")) & (F.col("record.article") == F.col("stated.article"))
+    return broken | (is_real & ~F.coalesce(number, F.lit(False)) & ~F.coalesce(law, F.lit(False)))

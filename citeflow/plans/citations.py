@@ -10,6 +10,7 @@ from citeflow.operators.fields import classes_in, labour_classes, law_key, state
 from citeflow.operators.normalise import with_norm
 from citeflow.operators.parse_registry import parse_registry
 from citeflow.plans.catalog import query, table
+from citeflow.sources.runs import content_sums
 from citeflow.plans.verify import LOOKED_UP, extract, prepare, verify, with_fields
 
 #: Written before and after each citation; the header is one line of capitals and one with a label.
@@ -178,7 +179,7 @@ def verified_citations(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _decided(spark: SparkSession, sf_dir: str) -> DataFrame:
     read = with_fields(extract(prepare(_texts(spark, sf_dir)), with_vague=True))
     asked = read.select(F.col("doc_id").alias("mention_id"), "form", F.col("fields").isNotNull().alias("fields_read"), *(F.col(f"fields.{c}").alias(c) for c in LOOKED_UP))
-    return decide(asked, parse_registry(_source(spark, sf_dir)), with_ids=True)
+    return decide(asked, parse_registry(_source(spark, sf_dir)), with_ids=True, with_record=True)
 
 
 @query(f"{_DECIDED} SELECT doc_id, path, CAST(n_candidates AS BIGINT) AS n_candidates, CAST(n_consistent AS BIGINT) AS n_consistent, candidates, consistent FROM v")
@@ -190,7 +191,33 @@ def decision_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT CAST(0 AS BIGINT) AS broken, count(*) AS decided FROM orders")
 def decision_invariant(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _decided(spark, sf_dir).agg(F.coalesce(F.count_if(is_broken()), F.lit(0)).alias("broken"), F.count("*").alias("decided"))
+    return _decided(spark, sf_dir).agg(F.coalesce(F.count_if(is_broken(with_record=True)), F.lit(0)).alias("broken"), F.count("*").alias("decided"))
+
+
+@query("""
+SELECT unnest(['other names', 'other partitions', 'other order']) AS change, n, true AS same FROM (SELECT count(*) AS n FROM orders)
+""")
+def verification_is_stable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same documents under other names, in other partitions and in another order give the same mentions and verdicts."""
+    docs, rows = _texts(spark, sf_dir), parse_registry(_source(spark, sf_dir))
+    name = F.col("doc_id").cast("string")
+    changes = {
+        "other names": docs.withColumn("doc_id", F.concat(F.md5(name.cast("binary")), F.lit("-"), name)),
+        "other partitions": docs.repartition(5, F.xxhash64("text")),
+        "other order": docs.sortWithinPartitions(F.desc("text")),
+    }
+
+    def sums(given: DataFrame) -> DataFrame:
+        found = verify(given, rows, with_vague=True)
+        return content_sums(found.withColumn("doc_id", F.element_at(F.split(F.col("doc_id").cast("string"), "-"), -1)).drop("fields"))
+
+    base = sums(docs).withColumnsRenamed({c: f"b_{c}" for c in ("n", "first", "second")})
+    out = None
+    for change, given in changes.items():
+        one = sums(given).select(F.lit(change).alias("change"), "*")
+        out = one if out is None else out.unionByName(one)
+    same = (F.col("n") == F.col("b_n")) & (F.col("first") == F.col("b_first")) & (F.col("second") == F.col("b_second"))
+    return out.join(F.broadcast(base)).select("change", "n", same.alias("same"))  # one row with each
 
 
 @query("""

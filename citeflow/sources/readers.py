@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, In, InputPartition, IsNotNull, LessThan, LessThanOrEqual
 
 from citeflow.operators.training import EXAMPLE
 
@@ -57,6 +57,9 @@ def tagged_tokens(spark: SparkSession, path: str) -> DataFrame:
     return lines.select(F.regexp_extract("value", r"^(.*) (\S+)$", 1).alias("token"), F.regexp_extract("value", r"^(.*) (\S+)$", 2).alias("tag"))
 
 
+_COMPARED = {EqualTo: "=", GreaterThan: ">", GreaterThanOrEqual: ">=", LessThan: "<", LessThanOrEqual: "<="}
+
+
 class _Range(InputPartition):
     def __init__(self, low: int, high: int):
         self.low, self.high = low, high
@@ -67,6 +70,24 @@ class SqliteReader(DataSourceReader):
 
     def __init__(self, schema, options):
         self.schema, self.options = schema, options
+        self.conditions: list[str] = []
+        self.values: list = []
+
+    def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
+        """Comparisons of a column with values go into the SELECT; what SQLite can't be asked stays with Spark."""
+        for f in filters:
+            column = f'"{f.attribute[0]}"' if len(getattr(f, "attribute", ())) == 1 else None
+            sign = next((s for kind, s in _COMPARED.items() if type(f) is kind), None)
+            if column and sign and isinstance(f.value, (int, float, str)):
+                self.conditions.append(f"{column} {sign} ?")
+                self.values.append(f.value)
+            elif column and type(f) is In and all(isinstance(v, (int, float, str)) for v in f.value):
+                self.conditions.append(f"{column} IN ({', '.join('?' * len(f.value))})")
+                self.values += f.value
+            elif column and type(f) is IsNotNull:
+                self.conditions.append(f"{column} IS NOT NULL")
+            else:
+                yield f
 
     def _open(self):
         import sqlite3
@@ -85,8 +106,9 @@ class SqliteReader(DataSourceReader):
 
     def read(self, partition: _Range) -> Iterator[tuple]:
         columns = ", ".join(f'"{f.name}"' for f in self.schema.fields)
+        where = " AND ".join(["rowid >= ?", "rowid < ?", *self.conditions])
         with self._open() as connection:
-            yield from connection.execute(f'SELECT {columns} FROM "{self.options["table"]}" WHERE rowid >= ? AND rowid < ?', (partition.low, partition.high))
+            yield from connection.execute(f'SELECT {columns} FROM "{self.options["table"]}" WHERE {where}', (partition.low, partition.high, *self.values))
 
 
 class Sqlite(DataSource):
@@ -101,5 +123,7 @@ class Sqlite(DataSource):
 
 
 def sqlite(spark: SparkSession, path: str, table: str, schema: str) -> DataFrame:
+    """The columns of ``schema``, and no others, of a table; comparisons with values are answered by SQLite."""
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(Sqlite)
     return spark.read.format("sqlite_ro").schema(schema).option("table", table).load(path)

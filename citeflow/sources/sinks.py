@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -92,25 +93,49 @@ def _write_text(spark: SparkSession, path: str, text: str) -> None:
     spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
 
 
-def publish(spark: SparkSession, path: str, writers: Mapping[str, Callable[[str], None]]) -> None:
-    """All outputs or none: each writer gets a place under ``path`` beside the final one; only when all are done do they move.
+POINTER = "CURRENT"
 
-    Moves are renames of the file system that ``path`` is on, so a failed run leaves what was published before.
-    """
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    fs = jvm.org.apache.hadoop.fs.Path(path).getFileSystem(conf)
-    staged = f"{path.rstrip('/')}/.partial"
 
-    def place(name: str):
-        return jvm.org.apache.hadoop.fs.Path(name)
+def publish(spark: SparkSession, path: str, writers: Mapping[str, Callable[[str], None]]) -> str:
+    """All outputs or none: each writer gets a place in a run folder of its own, and one rename makes the run the current one.
 
-    fs.delete(place(staged), True)
+    ``CURRENT`` under ``path`` names the run that readers see; it is replaced by a single atomic rename when everything is
+    written, so a run that fails anywhere before leaves readers with the whole run that was current. Returns the run's folder.
+    """
+    run = f"{path.rstrip('/')}/runs/{uuid.uuid4().hex}"
     try:
         for name, write in writers.items():
-            write(f"{staged}/{name}")
-        for name in writers:
-            fs.delete(place(f"{path}/{name}"), True)
-            if not fs.rename(place(f"{staged}/{name}"), place(f"{path}/{name}")):
-                raise OSError(f"{name} can't be published under {path}")
-    finally:
-        fs.delete(place(staged), True)
+            write(f"{run}/{name}")
+        _point(spark, path, run.rsplit("/", 1)[1])
+    except BaseException:
+        _hadoop(spark, run)[0].delete(_hadoop(spark, run)[1], True)
+        raise
+    return run
+
+
+def _hadoop(spark: SparkSession, name: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(name)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def _point(spark: SparkSession, path: str, run: str) -> None:
+    fs, new = _hadoop(spark, f"{path}/.{POINTER}-{run}")
+    out = fs.create(new, True)
+    out.write(bytearray(run.encode()))
+    out.close()
+    context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration())
+    rename = spark._jvm.org.apache.hadoop.fs.Options.Rename
+    options = spark.sparkContext._gateway.new_array(rename, 1)
+    options[0] = rename.OVERWRITE
+    context.rename(context.makeQualified(new), context.makeQualified(_hadoop(spark, f"{path}/{POINTER}")[1]), options)
+
+
+def published(spark: SparkSession, path: str, name: str) -> str:
+    """Where the current run's output ``name`` is; nothing published is an error."""
+    fs, pointer = _hadoop(spark, f"{path}/{POINTER}")
+    if not fs.exists(pointer):
+        raise FileNotFoundError(f"nothing is published under {path}")
+    stream = fs.open(pointer)
+    run = bytes(stream.readAllBytes()).decode()
+    stream.close()
+    return f"{path.rstrip('/')}/runs/{run}/{name}"

@@ -166,3 +166,56 @@ def test_splits(spark):
     weights = {"x": 3, "y": 1}
     got = [r[0] for r in spark.range(4).select(splits.weighted_choice(F.col("id"), weights)).collect()]
     assert got == ["x", "x", "x", "y"]
+
+
+def _mentions(spark, rows):
+    return spark.createDataFrame(rows, "mention_id string, form string, court string, case_class string, appeal_chain array<string>, number string, state string, law_key string, article string, fields_read boolean")
+
+
+def test_a_decision_that_took_another_record_is_broken(spark):
+    from citeflow.operators.decide import decide, is_broken, registry_keys
+
+    registry = spark.createDataFrame([("1", "STJ", "100", "REsp", [], None, None, None), ("2", None, None, None, [], None, "CF-1988", "5"), ("3", "STJ", "S7", None, [], None, None, None)], "id string, court string, number string, case_class string, appeal_chain array<string>, state string, law_key string, article string")
+    mentions = _mentions(spark, [("a", "com_numero", None, "REsp", [], "100", None, None, None, True), ("b", "lei_artigo", None, None, [], None, None, "CF-1988", "5", True), ("c", "sumula", "STJ", None, [], "S007", None, None, None, True), ("d", "com_numero", None, "REsp", [], "999", None, None, None, True)])
+    good = decide(mentions, registry, with_record=True)
+    assert {r["mention_id"]: r["canonical_id"] for r in good.collect()} == {"a": "1", "b": "2", "c": "3", "d": None}
+    assert good.where(is_broken(with_record=True)).count() == 0 and decide(mentions, registry, strict=True).count() == 4
+    keys = registry_keys(registry)
+    torn = keys.withColumn("r_number", F.when(F.col("r_id") == "1", "101").otherwise(F.col("r_number")))
+    assert [r["mention_id"] for r in decide(mentions, None, index=torn, with_record=True).where(is_broken(with_record=True)).collect()] == ["a"]
+    with pytest.raises(Exception, match="broken decision: a"):
+        decide(mentions, None, index=torn, strict=True).collect()
+
+
+def test_a_written_index_is_not_shuffled(spark, tmp_path):
+    from citeflow.operators.decide import decide, write_index
+    from citeflow.plans.resolving import lineitem_registry, order_mentions
+
+    sf = "/root/testdata/sf0.001"
+    registry, mentions = lineitem_registry(spark.read.parquet(f"{sf}/lineitem.parquet")), order_mentions(spark.read.parquet(f"{sf}/orders.parquet"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.sql("DROP TABLE IF EXISTS registry_index")
+    try:
+        registry.write.mode("overwrite").parquet(str(tmp_path / "r"))
+        index = write_index(spark.read.parquet(str(tmp_path / "r")), "registry_index", 4)
+        found = decide(mentions, None, index=index)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        lines = plan.splitlines()
+        scans = [i for i, line in enumerate(lines) if "registry_index" in line and "Scan" in line]
+        assert len(scans) == 2
+        for i in scans:
+            depth = lines[i].index("FileScan") if "FileScan" in lines[i] else len(lines[i])
+            above = []
+            for line in reversed(lines[:i]):
+                at = len(line) - len(line.lstrip(" :+-*()0123456789"))
+                if at < depth:
+                    depth = at
+                    above.append(line)
+                    if "Join" in line:
+                        break
+            assert not any("Exchange" in x for x in above), above
+        want = decide(mentions, registry)
+        assert sorted(map(str, found.collect())) == sorted(map(str, want.collect()))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("DROP TABLE IF EXISTS registry_index")

@@ -41,17 +41,27 @@ def test_a_synthetic_set_is_read_back(spark, tmp_path):
     assert json.loads(spark.read.text(str(tmp_path / "manifest")).first()[0]) == {"seed": 7}
 
 
-def test_publishing_is_all_or_nothing(spark, tmp_path):
+def test_publishing_is_all_or_nothing(spark, tmp_path, monkeypatch):
     path = str(tmp_path / "run")
     frame = spark.range(3)
 
     def fail(place):
         raise RuntimeError("no")
 
+    def rows(name):
+        return spark.read.parquet(sinks.published(spark, path, name)).count()
+
+    with pytest.raises(FileNotFoundError):
+        sinks.published(spark, path, "a")
     sinks.publish(spark, path, {"a": frame.write.parquet, "b": frame.write.parquet})
+    assert (rows("a"), rows("b")) == (3, 3)
     with pytest.raises(RuntimeError):
         sinks.publish(spark, path, {"a": spark.range(9).write.parquet, "b": fail})
-    assert sorted(x for x in os.listdir(path) if not x.startswith(".")) == ["a", "b"]
-    assert spark.read.parquet(f"{path}/a").count() == 3
-    sinks.publish(spark, path, {"a": spark.range(9).write.parquet})
-    assert spark.read.parquet(f"{path}/a").count() == 9 and not os.path.exists(f"{path}/.partial")
+    assert (rows("a"), rows("b")) == (3, 3) and len(os.listdir(f"{path}/runs")) == 1
+    with monkeypatch.context() as m:
+        m.setattr(sinks, "_point", fail)
+        with pytest.raises(TypeError):
+            sinks.publish(spark, path, {"a": spark.range(9).write.parquet, "b": frame.write.parquet})
+    assert (rows("a"), rows("b")) == (3, 3)
+    sinks.publish(spark, path, {"a": spark.range(9).write.parquet, "b": frame.write.parquet})
+    assert (rows("a"), rows("b")) == (9, 3) and sorted(x for x in os.listdir(path) if not x.startswith(".")) == ["CURRENT", "runs"]

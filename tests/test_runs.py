@@ -1,3 +1,7 @@
+import json
+
+from pyspark.sql import functions as F
+
 from citeflow.sources import runs
 
 
@@ -23,3 +27,22 @@ def test_manifest_and_report(spark):
     pairs = spark.createDataFrame(rows, "doc_id string, tier int, gold_class string, found_class string, gold_target string, found_target string, confidence double")
     text = runs.report(pairs)
     assert "| inventada | real | 1 |" in text and "| incompleta | sem_span | 1 |" in text and "- inventada as real: 1" in text
+    data = json.loads(runs.report(pairs.withColumn("path", F.lit("p")).withColumn("snippet", F.lit("REsp 1")), as_json=True))
+    assert {"gold_class": "inventada", "found_class": "real", "doc_id": "1", "path": "p", "snippet": "REsp 1"} in data["errors"] and len(data["tiers"]) == 1
+
+
+def test_manifest_tells_its_inputs(spark, tmp_path):
+    (tmp_path / "in" / "deep").mkdir(parents=True)
+    (tmp_path / "in" / "a.txt").write_bytes(b"one")
+    (tmp_path / "in" / "deep" / "b.txt").write_bytes(b"two")
+    verified = spark.createDataFrame([("numero_unico", "real")], "path string, verdict string")
+
+    def made():
+        return runs.manifest(verified, runs.Settings(), inputs={"docs": str(tmp_path / "in")}, environment={"API_KEY": "x", "HOME": "/h"})
+
+    first = made()
+    assert first["inputs"]["docs"]["files"] == 2 and first["inputs"]["docs"]["bytes"] == 6 and first["environment"] == {"API_KEY": "***", "HOME": "/h"}
+    assert made() == first
+    (tmp_path / "in" / "a.txt").write_bytes(b"onE")
+    changed = made()
+    assert changed["inputs"]["docs"]["digest"] != first["inputs"]["docs"]["digest"] and changed["tables"] == first["tables"] and len(first["tables"]) == 64

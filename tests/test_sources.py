@@ -2,6 +2,7 @@ import json
 import sqlite3
 
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import StringContains
 
 from citeflow.sources import readers, sinks
 
@@ -27,6 +28,23 @@ def test_sqlite_in_ranges(spark, tmp_path):
     assert len(rows) == 50 and rows[3] == "x�" and rows[4] == "t4"
 
 
+def test_sqlite_answers_comparisons_itself(spark, tmp_path):
+    path = str(tmp_path / "r.db")
+    with sqlite3.connect(path) as db:
+        db.execute("CREATE TABLE t (id INTEGER, natureza TEXT, texto TEXT)")
+        db.executemany("INSERT INTO t VALUES (?, ?, ?)", [(k, ["acordao", "sumula", None][k % 3], f"t{k}") for k in range(60)])
+    rows = readers.sqlite(spark, path, "t", "id long, natureza string")
+    asked = rows.where("natureza = 'acordao' AND id > 30 AND id % 2 = 0")
+    plan = asked._jdf.queryExecution().executedPlan().toString()
+    assert "natureza" in plan and "texto" not in plan
+    assert sorted(r["id"] for r in asked.collect()) == [36, 42, 48, 54]
+    assert sorted(r["id"] for r in rows.where("natureza IN ('sumula', 'x') AND id <= 10").collect()) == [1, 4, 7, 10]
+    reader = readers.SqliteReader(rows.schema, {"path": path, "table": "t", "partitions": "3"})
+    left = list(reader.pushFilters([readers.EqualTo(("natureza",), "acordao"), readers.GreaterThan(("id",), 30), StringContains(("natureza",), "c")]))
+    assert [type(f) for f in left] == [StringContains]
+    assert sorted(r[0] for p in reader.partitions() for r in reader.read(p)) == [33, 36, 39, 42, 45, 48, 51, 54, 57]
+
+
 def test_tagged_tokens_and_trace(spark, tmp_path):
     (tmp_path / "c.txt").write_text("O O\n, O\n\nSTF B-ORG\n")
     assert [tuple(r) for r in readers.tagged_tokens(spark, str(tmp_path / "c.txt")).collect()] == [("O", "O"), (",", "O"), ("STF", "B-ORG")]
