@@ -253,3 +253,63 @@ def law_and_token_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def state_resolve(spark: SparkSession, sf_dir: str) -> DataFrame:
     written = F.element_at(F.array(*map(F.lit, ("sp", "Rio de Janeiro", "Acapulco", " MG ", "ESPÍRITO SANTO"))), (F.col("c_nationkey") % 5 + 1).cast("int"))
     return table(spark, sf_dir, "customer").select("c_custkey", state(written).alias("state"))
+
+
+_RARE = [
+    ("'Tema 1.' || n || ' da repercussão geral'", "com_numero", None, None, "'1' || n", None, None),
+    ("'ADPF ' || n || '/DF'", "com_numero", None, "'ADPF'", "CAST(n AS VARCHAR)", "'DF'", None),
+    ("'Súmulas ' || n || ', 83 e 7 do STJ'", "sumula", "'STJ'", None, "'S' || n", None, None),
+    ("'Enunciado n. ' || n || ' da Súmula do TST'", "sumula", "'TST'", None, "'S' || n", None, None),
+    ("'OJ ' || n || ' da SBDI-1 do TST'", "sumula", "'TST'", None, "'OJ' || n", None, None),
+    ("'Súmula Vinculante ' || n || ' do STF'", "sumula", "'STF'", None, "'SV' || n", None, None),
+    ("'habeas corpus nº ' || n || '.456 (SP)'", "com_numero", None, "'HC'", "n || '456'", "'SP'", None),
+    ("'artigo ' || n || ', III, da Constituição Federal'", "lei_artigo", None, None, None, None, "'CF-1988'"),
+    ("'segundo AgInt no Recurso em Mandado de Segurança n. ' || n || '.789'", "com_numero", None, "'RMS'", "n || '789'", None, None),
+    ("'decisão do STM, de 2014, relatora a Ministra Bia Modelo'", "sem_numero", "'STM'", None, None, None, None),
+    ("'Súmula ' || n || ', itens I e IV, do TST'", "sumula", None, None, "'S' || n", None, None),
+    ("'art. ' || n || ' da Lei nº 9.504/1997'", "lei_artigo", None, None, None, None, "'LEI-9504-1997'"),
+]
+
+
+def _rare_sql() -> str:
+    def case(k: int, kind: str = "VARCHAR") -> str:
+        return "CASE kind " + " ".join(f"WHEN {i} THEN {row[k]}" for i, row in enumerate(_RARE) if row[k]) + f" ELSE CAST(NULL AS {kind}) END"
+
+    forms = " ".join(f"WHEN {i} THEN '{row[1]}'" for i, row in enumerate(_RARE))
+    return f"""
+WITH k AS (SELECT p_partkey, p_partkey % {len(_RARE)} AS kind, 100 + p_partkey % 800 AS n FROM part), t AS (SELECT *, {case(0)} AS written FROM k)
+SELECT p_partkey, 8 AS start, CAST(8 + length(written) - CASE kind WHEN 10 THEN 22 ELSE 0 END AS INTEGER) AS "end", CASE kind {forms} END AS form, {case(2)} AS court, {case(3)} AS case_class, {case(4)} AS number,
+       {case(5)} AS state, {case(6)} AS law_key, CASE WHEN kind IN (7, 11) THEN CAST(n AS VARCHAR) END AS article, CAST(CASE kind WHEN 9 THEN 2014 END AS INTEGER) AS year FROM t"""
+
+
+@query(_rare_sql())
+def rare_citation_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Themes, constitutional control, lists of precedents, statements, guidelines, items, long class names, articles of the constitution."""
+    written = " ".join(f"WHEN {i} THEN {row[0]}" for i, row in enumerate(_RARE))
+    rows = table(spark, sf_dir, "part").select("p_partkey").repartition(spark.sparkContext.defaultParallelism, "p_partkey")
+    rows = rows.selectExpr("p_partkey AS doc_id", f"p_partkey % {len(_RARE)} AS kind", "100 + p_partkey % 800 AS n").selectExpr("doc_id", f"'Veja-se ' || CASE kind {written} END || ', e basta.' AS text")
+    read = with_fields(extract(prepare(rows)))
+    return read.select(F.col("doc_id").alias("p_partkey"), "start", "end", "form", *(F.col(f"fields.{c}").alias(c) for c in ("court", "case_class", "number", "state", "law_key", "article", "year")))
+
+
+@query("""
+WITH k AS (SELECT s_suppkey AS k, s_suppkey % 5 AS kind, 100 + s_suppkey % 900 AS n FROM supplier)
+SELECT CAST(k AS VARCHAR) AS id, ['STF', 'STM', 'TSE', 'TSE', 'TST'][kind + 1] AS court, ['RE', 'APL', 'REspe', 'REspe', 'RR'][kind + 1] AS case_class,
+       CASE kind WHEN 0 THEN '1' || n || '456' WHEN 1 THEN '7000' || n || '45201970000' || '00' WHEN 2 THEN '0600' || n || '12202062600' || '00' WHEN 3 THEN '25' || n ELSE '1000' || n || '7820155240091' END AS number,
+       CASE kind WHEN 0 THEN 'SP' WHEN 2 THEN 'BA' WHEN 4 THEN 'RR' END AS state, CAST(CASE kind WHEN 1 THEN 2019 WHEN 2 THEN 2020 WHEN 4 THEN 2015 END AS INTEGER) AS year,
+       CASE kind WHEN 0 THEN 'fulano modelo' WHEN 1 THEN 'beltrana modelo' WHEN 2 THEN 'sicrano modelo' END AS relator, CASE kind WHEN 4 THEN 'AgRg' ELSE '' END AS chain FROM k
+""")
+def court_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Own numbers, classes, states, years and names from headers as each court writes them, some torn apart by a scan."""
+    k, n = F.col("s_suppkey"), (100 + F.col("s_suppkey") % 900).cast("string")
+    kind = (k % 5).cast("int")
+    heads = [
+        F.concat(F.lit("RECURSO EXTRAORDINÁRIO 1."), n, F.lit(".456 SÃO PAULO RELATOR : MIN. FULANO MODELO  RECTE.(S) : ALGUÉM")),
+        F.concat(F.lit("APELAÇÃO Nº 7000"), n, F.lit("-45 . 2019.7. 00.0000 RELATORA: MINISTRA BELTRANA MODELO  APELANTE: ALGUÉM")),
+        F.concat(F.lit("RECURSO ESPECIAL ELEITORAL Nº 0600"), n, F.lit("-12.2020.6.26.0000 - Bahia. Relator: Ministro Sicrano Modelo  RECORRENTE: ALGUÉM")),
+        F.concat(F.lit("RECURSO ESPECIAL ELEITORAL Nº 25."), n, F.lit(" (em mesa)\n")),
+        F.concat(F.lit("Vistos estes autos de Agravo em Recurso de Revista TST-AgR-RR-1000"), n, F.lit("-78.2015.5.24.0091, em que é parte alguém")),
+    ]
+    courts = F.get(F.array(*map(F.lit, ("STF", "STM", "TSE", "TSE", "TST"))), kind)
+    source = table(spark, sf_dir, "supplier").select(k.cast("string").alias("id"), courts.alias("tribunal"), F.lit(None).cast("int").alias("ano"), F.lit(None).cast("string").alias("relator"), F.lit("acordao").alias("natureza"), F.get(F.array(*heads), kind).alias("texto"))
+    return parse_registry(source).select("id", "court", "case_class", "number", "state", "year", "relator", F.array_join("appeal_chain", " ").alias("chain"))
