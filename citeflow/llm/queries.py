@@ -34,7 +34,8 @@ def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_span_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return span_dedup.repeated_spans(table(spark, sf_dir, "documents"))
+    """Passages of fifty words; shorter ones that texts share (slogans, lines of a licence) stay."""
+    return span_dedup.repeated_spans(table(spark, sf_dir, "documents"), sentences=2, span_words=50)
 
 
 def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
