@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from citeflow.functions.intervals import overlap
+from citeflow.functions.intervals import overlap, touching
 from citeflow.operators.decide import class_of
 from citeflow.operators.overlap import match_one_to_one
 from citeflow.schema import LEAST_SEEN, PRIOR, SMOOTHING, VERDICT_CLASSES
@@ -111,7 +111,8 @@ def aligned_pairs(gold: DataFrame, found: DataFrame, share: float = 0.9) -> Data
     extra = found.withColumnRenamed("id", "found_id").join(pairs.select("doc_id", "found_id"), ["doc_id", "found_id"], "left_anti")
     taken = gold.select("doc_id", F.col("id").alias("gold_id"), F.col("start").alias("g_start"), F.col("end").alias("g_end")).join(pairs.select("doc_id", "gold_id"), ["doc_id", "gold_id"], "left_semi")
     held = overlap(F.col("start"), F.col("end"), F.col("g_start"), F.col("g_end")) >= share * (F.col("end") - F.col("start"))
-    extra = extra.join(taken.drop("gold_id").withColumnRenamed("doc_id", "g_doc"), (F.col("doc_id") == F.col("g_doc")) & held, "left_anti")
+    within = touching(extra.select("doc_id", "found_id", "start", "end"), taken.drop("gold_id"), ["doc_id"], "start", "end", "g_start", "g_end").where(held)
+    extra = extra.join(within.select("doc_id", "found_id"), ["doc_id", "found_id"], "left_anti")
     nothing = F.lit(None)
     return pairs.unionByName(missed.withColumn("found_id", nothing.cast(found.schema["id"].dataType))).unionByName(extra.select("doc_id", nothing.cast(gold.schema["id"].dataType).alias("gold_id"), "found_id"))
 

@@ -79,7 +79,7 @@ def forgiven(gold: DataFrame, found: DataFrame) -> DataFrame:
     """Found spans nine tenths of which lie in one gold span: unmatched, they are not counted as wrong."""
     g = gold.select("doc_id", F.col("start").alias("g_start"), F.col("end").alias("g_end"))
     common = overlap(F.col("start"), F.col("end"), F.col("g_start"), F.col("g_end"))
-    return found.join(g, "doc_id").where(10 * common >= 9 * (F.col("end") - F.col("start"))).select(*found.columns).distinct()
+    return touching(found, g, ["doc_id"], "start", "end", "g_start", "g_end").where(10 * common >= 9 * (F.col("end") - F.col("start"))).select(*found.columns).distinct()
 
 
 def laid_on(tokens: Column, text: Column, look_ahead: int = 200) -> Column:

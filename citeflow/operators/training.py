@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from citeflow.functions.intervals import touches
+from citeflow.functions.intervals import touching
 from citeflow.operators.sequence import overlapping_neighbours
 from citeflow.operators.splits import repeated_mix
 
@@ -109,7 +109,7 @@ def paraphrased_documents(docs: DataFrame, spans: DataFrame, paraphrases: DataFr
 
 def ignored_tokens(tokens: DataFrame, ignored: DataFrame, doc: str = "doc_id") -> DataFrame:
     """Tokens with ``masked``: empty ones, and those that touch an ignored region."""
-    i = ignored.select(F.col(doc).alias("__doc"), F.col("start").alias("__start"), F.col("end").alias("__end"))
-    hit = tokens.join(i, (F.col(doc) == F.col("__doc")) & touches(F.col("start"), F.col("end"), F.col("__start"), F.col("__end")), "left_semi").select(doc, "token").distinct()
+    regions = ignored.select(doc, F.col("start").alias("__start"), F.col("end").alias("__end"))
+    hit = touching(tokens, regions, [doc], "start", "end", "__start", "__end").select(doc, "token").distinct()
     marked = tokens.join(hit.withColumn("__hit", F.lit(True)), [doc, "token"], "left")
     return marked.withColumn("masked", F.coalesce("__hit", F.lit(False)) | (F.col("start") >= F.col("end"))).drop("__hit")

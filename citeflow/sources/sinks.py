@@ -9,7 +9,7 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citeflow.functions.intervals import half_covered
+from citeflow.functions.intervals import half_covered, touching
 from citeflow.schema import VERDICT_CLASSES
 
 
@@ -57,16 +57,26 @@ def violations(verified: DataFrame, documents: DataFrame, doc: str = "doc_id") -
     single = with_text.select(doc, "start", "end", F.explode(F.array_compact(F.array(*rules))).alias("rule"))
     other = verified.select(doc, F.col("start").alias("o_start"), F.col("end").alias("o_end"))
     later = (F.col("o_start") > F.col("start")) | ((F.col("o_start") == F.col("start")) & (F.col("o_end") > F.col("end")))
-    pairs = verified.select(doc, "start", "end").join(other, doc).where(later & half_covered(F.col("start"), F.col("end"), F.col("o_start"), F.col("o_end")))
+    met = touching(verified.select(doc, "start", "end"), other, [doc], "start", "end", "o_start", "o_end")
+    pairs = met.where(later & half_covered(F.col("start"), F.col("end"), F.col("o_start"), F.col("o_end")))
     return single.unionByName(pairs.select(doc, "start", "end", F.lit("overlap").alias("rule")))
 
 
 def write_documents(verified: DataFrame, documents: DataFrame, path: str, doc: str = "doc_id") -> None:
-    """One JSON text for each document, in a folder of its own; nothing is written if a mention breaks the contract."""
+    """One JSON text for each document, a line each; nothing is written if a mention breaks the contract.
+
+    ``unpack_documents`` makes folders of those that are wanted one by one.
+    """
     broken = violations(verified, documents, doc)
     if found := broken.groupBy("rule").count().collect():
         raise ValueError("output breaks the contract: " + ", ".join(f"{r['rule']} {r['count']}" for r in sorted(found)))
-    document_json(verified, doc).write.partitionBy(doc).mode("overwrite").text(path)
+    document_json(verified, doc).select(F.col("json").alias("value")).write.mode("overwrite").text(path)
+
+
+def unpack_documents(spark: SparkSession, path: str, out: str, ids: DataFrame, doc: str = "doc_id") -> None:
+    """The documents of ``ids`` from ``path`` of ``write_documents``, each in a folder of its own."""
+    lines = spark.read.text(path).select(F.get_json_object("value", f"$.{doc}").alias(doc), "value")
+    lines.join(ids.select(F.col(doc).cast("string").alias(doc)).distinct(), doc, "left_semi").write.partitionBy(doc).mode("overwrite").text(out)
 
 
 def write_examples(examples: DataFrame, path: str) -> dict:
@@ -81,8 +91,8 @@ def write_examples(examples: DataFrame, path: str) -> dict:
 
 
 def write_synthetic(documents: DataFrame, gold: DataFrame, pairs: DataFrame, split: DataFrame, path: str, seed: int) -> None:
-    """A synthetic set: texts (a folder for each document), gold labels, twins, the split, and the seed that gives it all again."""
-    documents.select("doc_id", F.col("text").alias("value")).write.partitionBy("doc_id").mode("overwrite").option("lineSep", "\x00").text(f"{path}/txt")
+    """A synthetic set: texts (JSON lines with their ids), gold labels, twins, the split, and the seed that gives it all again."""
+    documents.select("doc_id", "text").write.mode("overwrite").json(f"{path}/txt")
     gold.write.mode("overwrite").csv(f"{path}/gold", header=True, escape='"')
     pairs.write.mode("overwrite").json(f"{path}/pairs")
     split.write.mode("overwrite").json(f"{path}/split")

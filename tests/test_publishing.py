@@ -17,7 +17,9 @@ def test_documents_are_written_only_if_the_contract_holds(spark, tmp_path):
     docs, good = _verified(spark)
     sinks.write_documents(good, docs, str(tmp_path / "out"))
     row = spark.read.text(str(tmp_path / "out")).collect()
-    assert [r["doc_id"] for r in row] == ["a"] and json.loads(row[0]["value"])["citations"][0]["resolution"] == {"canonical_id": "1"}
+    assert [json.loads(r["value"])["doc_id"] for r in row] == ["a"] and json.loads(row[0]["value"])["citations"][0]["resolution"] == {"canonical_id": "1"}
+    sinks.unpack_documents(spark, str(tmp_path / "out"), str(tmp_path / "each"), docs)
+    assert [x for x in os.listdir(tmp_path / "each") if "=" in x] == ["doc_id=a"] and spark.read.text(str(tmp_path / "each")).first()["value"] == row[0]["value"]
     _, bad = _verified(spark, target=None)
     with pytest.raises(ValueError, match="target 1"):
         sinks.write_documents(bad, docs, str(tmp_path / "bad"))
@@ -37,7 +39,7 @@ def test_examples_round_trip_with_their_digest(spark, tmp_path):
 def test_a_synthetic_set_is_read_back(spark, tmp_path):
     docs = spark.createDataFrame([("x", "uma linha\noutra")], "doc_id string, text string")
     sinks.write_synthetic(docs, docs.select("doc_id"), docs.select("doc_id"), docs.select("doc_id"), str(tmp_path), 7)
-    assert spark.read.text(str(tmp_path / "txt"), wholetext=True).first()["value"].rstrip("\x00") == "uma linha\noutra"
+    assert tuple(spark.read.json(str(tmp_path / "txt")).first()) == ("x", "uma linha\noutra")
     assert json.loads(spark.read.text(str(tmp_path / "manifest")).first()[0]) == {"seed": 7}
 
 
