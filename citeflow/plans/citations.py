@@ -313,3 +313,22 @@ def court_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     courts = F.get(F.array(*map(F.lit, ("STF", "STM", "TSE", "TSE", "TST"))), kind)
     source = table(spark, sf_dir, "supplier").select(k.cast("string").alias("id"), courts.alias("tribunal"), F.lit(None).cast("int").alias("ano"), F.lit(None).cast("string").alias("relator"), F.lit("acordao").alias("natureza"), F.get(F.array(*heads), kind).alias("texto"))
     return parse_registry(source).select("id", "court", "case_class", "number", "state", "year", "relator", F.array_join("appeal_chain", " ").alias("chain"))
+
+
+@query("""
+WITH k AS (SELECT p_partkey AS doc_id, 10 + p_partkey % 90 AS n FROM part), t AS (SELECT *, 'Consta do REsp ' || n || ' e da Súmula ' AS a, n || ' do STJ' AS b FROM k)
+SELECT doc_id, 10 AS start, 17 AS "end", 'com_numero' AS form, 'encoder' AS source, 'inventada' AS verdict FROM t
+UNION ALL SELECT doc_id, length(a) - 7, length(a) + length(b), 'sumula', 'regras', CASE WHEN n % 2 = 0 THEN 'real' ELSE 'inventada' END FROM t
+""")
+def tagger_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of a tagger beside the patterns' ones: one that adds a mention, one inside another mention, one with nothing to look up, one in the header."""
+    n = 10 + F.col("p_partkey") % 90
+    lead = F.concat(F.lit("Consta do REsp "), n, F.lit(" e da Súmula "))
+    keys = table(spark, sf_dir, "part").select("p_partkey").repartition(spark.sparkContext.defaultParallelism, "p_partkey")
+    rows = keys.select(F.col("p_partkey").alias("doc_id"), F.concat(lead, n, F.lit(" do STJ, no processo administrativo 77 da casa.")).alias("text"), F.length(lead).alias("at"))
+    tagged = [(F.lit(9), F.lit(18), "JUR"), (F.col("at"), F.col("at") + 9, "JUR"), (F.col("at") + 14, F.col("at") + 40, "JUR"), (F.col("at") + 14, F.col("at") + 40, "LEI")]
+    spans = rows.select("doc_id", F.inline(F.array(*(F.struct(a.cast("int").alias("start"), b.cast("int").alias("end"), F.lit(label).alias("label")) for a, b, label in tagged))))
+    even = keys.where("p_partkey % 2 = 0 AND p_partkey < 90").selectExpr("concat('9', p_partkey) AS id", "'sumula' AS nature", "'STJ' AS court", "concat('S', 10 + p_partkey % 90) AS number")
+    holdings = even.selectExpr("id", "nature", "court", "number", "CAST(NULL AS string) AS case_class", "CAST(array() AS array<string>) AS appeal_chain", "CAST(NULL AS string) AS state", "CAST(NULL AS string) AS law_key", "CAST(NULL AS string) AS article")
+    found = verify(rows.select("doc_id", "text"), holdings, tagger=spans)
+    return found.select("doc_id", "start", "end", "form", F.col("fields.source").alias("source"), "verdict")
