@@ -235,7 +235,7 @@ def written(cited: DataFrame, seed: int) -> tuple[DataFrame, DataFrame]:
     after = F.when(drawn(100, *keys, 52) < 40, F.concat(F.lit(" "), _pick(DISTRACTORS, *keys, 53))).otherwise("")
     parts = twins.withColumn("shown", shown).withColumn("lead", F.when(cites, F.concat(before, _pick(OPENINGS, *keys, 54))).otherwise(idle))
     parts = parts.withColumn("paragraph", F.when(cites, F.concat("lead", "shown", _pick(CLOSINGS, *keys, 55), after, F.lit("\n\n"))).otherwise(F.concat("lead", F.lit("\n\n"))))
-    parts = parts.withColumn("doc_id", F.concat(F.lpad(F.col("pair").cast("string"), 6, "0"), F.when(F.col("noisy"), "_r").otherwise("_l")))
+    parts = parts.withColumn("doc_id", F.format_string("%06d%s", F.col("pair").cast("long"), F.when(F.col("noisy"), "_r").otherwise("_l")))
     order = Window.partitionBy("doc_id").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
     placed = parts.withColumn("at", F.coalesce(F.sum(F.length("paragraph")).over(order), F.lit(0)) + len(HEADER))
     start = F.col("at") + F.length("lead")

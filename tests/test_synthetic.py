@@ -50,6 +50,13 @@ def test_kinds_keep_their_promises(spark):
     assert not any("".join(filter(str.isdigit, r["surface"])) in numbers for r in cited if r["kind"] == "inventada_numero")
 
 
+def test_long_ids_stay_apart(spark):
+    pairs = spark.createDataFrame([(1_000_001,), (1_000_002,), (10_000_010,)], "pair long")
+    docs, gold = synthetic.written(synthetic.citations(_registry(spark), pairs, 9), 9)
+    assert docs.count() == 6 and {r["doc_id"] for r in docs.collect()} == {f"{p}{t}" for p in (1_000_001, 1_000_002, 10_000_010) for t in ("_l", "_r")}
+    assert gold.join(docs, "doc_id").where(F.expr("substring(text, start + 1, end - start) <> snippet")).count() == 0
+
+
 def test_kinds_without_rows_make_no_citation(spark):
     registry = _registry(spark).where("nature = 'sumula'")
     cited = synthetic.citations(registry, spark.range(60).withColumnRenamed("id", "pair"), 9).collect()
