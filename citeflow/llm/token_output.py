@@ -45,7 +45,8 @@ _NORMAL = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "c
 _SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 #: The same pre-tokens in lower-cased texts of code points up to U+00FF, which NFC leaves as they are.
 _LETTERS, _FIGURES = "a-zªµºß-öø-ÿ", "0-9²³¹¼½¾"
-_PRE_TOKENS = re.compile(f"'(?:s|t|re|ve|m|ll|d)|[{_LETTERS}]+|[{_FIGURES}]|[^\t-\r \x85\xa0{_LETTERS}{_FIGURES}]+").findall
+_PRE_TOKENS = re.compile(f"[{_LETTERS}]+|'(?:s|t|re|ve|m|ll|d)|[{_FIGURES}]|[^\t-\r \x85\xa0{_LETTERS}{_FIGURES}]+".encode("latin-1")).findall
+_LOWER = "".join(map(chr, range(256))).lower().encode("latin-1")
 
 
 def _byte_letters() -> dict[int, str]:
@@ -56,7 +57,7 @@ def _byte_letters() -> dict[int, str]:
 
 
 class Encoder(dict):
-    """Texts to ids as uint16 bytes; as a mapping, lower-cased pre-tokens to theirs.
+    """Texts to ids as uint16 bytes; as a mapping, lower-cased pre-tokens (in Latin-1) to theirs.
 
     Texts of code points up to U+00FF are split here and meet the merges pre-token by pre-token, with the last ``limit``
     to twice as many kept; others, texts with an added token in them, and all texts of a tokenizer with other settings
@@ -67,27 +68,35 @@ class Encoder(dict):
         super().__init__()
         self.tokenizer = load_tokenizer(path)
         self.merge = self.tokenizer.model.tokenize
-        self.limit, self.older, self.letters = limit, {}, _byte_letters()
+        self.limit, self.older = limit, {}
+        letters = _byte_letters()
+        #: What each Latin-1 code point is as UTF-8, in byte-level letters.
+        self.letters = ["".join(letters[b] for b in chr(c).encode()) for c in range(256)]
         made = json.loads(self.tokenizer.to_str())
         added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.added = re.compile("|".join(added), re.IGNORECASE) if added else None
         self.plain = made["normalizer"].get("normalizers") == _NORMAL and made["pre_tokenizer"]["pretokenizers"][0]["pattern"] == {"Regex": _SPLIT}
 
-    def __missing__(self, piece: str) -> bytes:
+    def __missing__(self, piece: bytes) -> bytes:
         out = self.older.get(piece)
         if out is None:
-            shown = piece if piece.isascii() and piece.isprintable() else piece.encode().decode("latin-1").translate(self.letters)
+            shown = piece.decode() if piece.isalpha() else "".join([self.letters[c] for c in piece])
             out = array("H", [t.id for t in self.merge(shown)]).tobytes()
         if len(self) >= self.limit:
-            self.older = dict(self)
+            self.older = self.copy()
             self.clear()
         self[piece] = out
         return out
 
     def encode(self, raw: bytes) -> bytes:
         text = raw.decode("utf-8", "replace")
-        if self.plain and max(text, default="") <= "\xff" and not (self.added and self.added.search(text)):
-            return b"".join(map(self.__getitem__, _PRE_TOKENS(text.lower())))
+        if self.plain and not (self.added and self.added.search(text)):
+            try:
+                narrow = text.encode("latin-1")
+            except UnicodeEncodeError:
+                narrow = None
+            if narrow is not None:
+                return b"".join(map(self.__getitem__, _PRE_TOKENS(narrow.translate(_LOWER))))
         return array("H", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
 

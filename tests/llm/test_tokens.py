@@ -48,6 +48,16 @@ def test_output_round_trip(spark, sf, which, tmp_path):
     assert sorted(got, key=lambda r: r[1]) == want
 
 
+def test_narrow_texts_are_split_and_kept_as_bytes():
+    """Every pair of code points up to U+00FF, and words with them, by the library's ids; with a table that overflows too."""
+    encoder = token_output.Encoder(WORD, limit=50)
+    narrow = [chr(c) for c in range(256)]
+    whole = "".join(f"{a}{b} X{a}y{b}Z'S" for a in narrow[::3] for b in narrow)
+    for text in (whole, "Ünïcode ÀÉÞ× ªµº ß'LL don't ½¾ 12 \x85\xa0\x1c+++", "<|ENDOFTEXT|> a", "ź wide", ""):
+        assert np.frombuffer(encoder.encode(text.encode()), "<u2").tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
+    assert encoder and all(type(piece) is bytes for piece in encoder)
+
+
 def test_random_access_by_expansion_lengths():
     rng = np.random.default_rng(1)
     phrase = rng.integers(0, 500, 40)
