@@ -219,16 +219,39 @@ def _forward(p: dict, inputs: np.ndarray, starts: np.ndarray, h: np.ndarray, tab
     return states, tape
 
 
-def _softmax(x: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Natural log-probability of each row's target, and the probabilities less one at it."""
+def _softmax(x: np.ndarray, target: np.ndarray, slope: bool) -> tuple[np.ndarray, np.ndarray | None]:
+    """Natural log-probability of each row's target, and (with ``slope``) the probabilities less one at it. Overwrites ``x``.
+
+    Rows are shifted by their largest entry only where one would leave the range of exp.
+    """
     at = np.arange(len(x))
-    x -= x.max(axis=1, keepdims=True)
     log = x[at, target]
-    np.exp(x, out=x)
-    total = x.sum(axis=1)
-    x /= total[:, None]
-    x[at, target] -= 1
-    return log - np.log(total), x
+    with np.errstate(over="ignore"):
+        powers = np.exp(x)
+        total = powers @ np.ones(x.shape[1], dtype=x.dtype)
+    if len(x) and not 1e-25 < total.min() <= total.max() < 1e30:
+        shifted = x.max(axis=1)
+        x -= shifted[:, None]
+        powers = np.exp(x, out=x)
+        total, log = powers.sum(axis=1), log - shifted
+    log -= np.log(total)
+    if not slope:
+        return log, None
+    powers *= np.reciprocal(total)[:, None]
+    powers[at, target] -= 1
+    return log, powers
+
+
+def _order(x: np.ndarray) -> np.ndarray:
+    """Stable order of whole numbers; small ones are sorted by their digits."""
+    return np.argsort(x.astype(np.uint16) if len(x) and x.max() < 1 << 16 else x, kind="stable")
+
+
+def _present(x: np.ndarray, top: int) -> np.ndarray:
+    """The distinct values of ``x``, whole numbers below ``top``, in order."""
+    found = np.zeros(top, dtype=bool)
+    found[x] = True
+    return np.flatnonzero(found)
 
 
 def _outputs(p: dict, v: Vocabulary, states: np.ndarray, targets: np.ndarray, grads: dict | None, kinds: np.ndarray) -> tuple[np.ndarray, np.ndarray | None]:
@@ -236,10 +259,12 @@ def _outputs(p: dict, v: Vocabulary, states: np.ndarray, targets: np.ndarray, gr
 
     ``kinds``: the classes whose words' weights ``p`` and ``grads`` hold, in order.
     """
-    order = np.argsort(targets, kind="stable")
+    order = _order(targets)
     states, words = states[order], targets[order]
-    kind = v.class_of(words)
-    logs, d = _softmax(states @ p["class_w"] + p["class_b"], kind)
+    kind, slope = v.class_of(words), grads is not None
+    x = states @ p["class_w"]
+    x += p["class_b"]
+    logs, d = _softmax(x, kind, slope)
     into = None
     if grads is not None:
         grads["class_w"] += states.T @ d
@@ -250,7 +275,9 @@ def _outputs(p: dict, v: Vocabulary, states: np.ndarray, targets: np.ndarray, gr
     for c, k, a, b in zip(held.tolist(), rows, starts.tolist(), [*starts[1:].tolist(), len(kind)], strict=True):
         if c < v.classes:
             w, h = p["word_w"][k], states[a:b]
-            log, d = _softmax(h @ w + p["word_b"][k], words[a:b] - c * v.per_class)
+            x = h @ w
+            x += p["word_b"][k]
+            log, d = _softmax(x, words[a:b] - c * v.per_class, slope)
             logs[a:b] += log
             if grads is not None:
                 grads["word_w"][k] += h.T @ d
@@ -266,22 +293,28 @@ def _backward(p: dict, grads: dict, inputs: np.ndarray, starts: np.ndarray, tape
     into_table = np.zeros((p["embed"].shape[0], 3 * HIDDEN), dtype=into.dtype)
     into_x, into_u = np.empty((2, *into.shape[:2], 3 * HIDDEN), dtype=into.dtype)
     back, dh = np.ascontiguousarray(p["over"].T), np.zeros_like(into[0])
+    h, z, r, new, u = (np.stack(x) for x in zip(*tape, strict=True))
+    # What a unit of the state's gradient is worth at each gate: these need no order of steps.
+    slopes, rest = np.empty((*into.shape[:2], 3 * HIDDEN), dtype=into.dtype), 1 - z
+    candidate = rest * (1 - new * new)
+    slopes[:, :, :HIDDEN] = (h - new) * z * rest
+    slopes[:, :, HIDDEN : 2 * HIDDEN] = candidate * u * r * (1 - r)
+    slopes[:, :, 2 * HIDDEN :] = candidate
+    through = slopes.copy()
+    through[:, :, 2 * HIDDEN :] *= r
+    begins = starts.any(axis=1).tolist()
     for t in range(len(tape) - 1, -1, -1):
-        h, z, r, new, u = tape[t]
         dh += into[t]
-        dn = dh * (1 - z) * (1 - new * new)
-        x, du = into_x[t], into_u[t]
-        x[:, :HIDDEN] = dh * (h - new) * z * (1 - z)
-        x[:, HIDDEN : 2 * HIDDEN] = dn * u * r * (1 - r)
-        x[:, 2 * HIDDEN :] = dn
-        du[:] = x
-        du[:, 2 * HIDDEN :] *= r
-        dh = dh * z + du @ back
-        if starts[t].any():
+        wide = np.concatenate((dh, dh, dh), axis=1)
+        np.multiply(slopes[t], wide, out=into_x[t])
+        du = np.multiply(through[t], wide, out=into_u[t])
+        dh *= z[t]
+        dh += du @ back
+        if begins[t]:
             dh[starts[t]] = 0
-    grads["over"] += np.concatenate([x[0] for x in tape]).T @ into_u.reshape(-1, 3 * HIDDEN)
+    grads["over"] += h.reshape(-1, HIDDEN).T @ into_u.reshape(-1, 3 * HIDDEN)
     flat = inputs.reshape(-1)
-    order = np.argsort(flat, kind="stable")
+    order = _order(flat)
     ids, at = np.unique(flat[order], return_index=True)
     into_table[ids] = np.add.reduceat(into_x.reshape(-1, 3 * HIDDEN)[order], at)
     grads["embed"] += into_table @ p["into"].T
@@ -317,14 +350,14 @@ def learn(p: dict, v: Vocabulary, docs: list[np.ndarray], adam: Adam) -> int:
     """One pass of truncated backpropagation over ``docs``; returns the number of tokens."""
     most = max(LEAST_STREAMS, min(STREAMS, sum(map(len, docs)) // (WINDOW * STEPS)))
     streams, total = Streams(docs, v.rare, most), 0
-    h = np.zeros((streams.targets.shape[1], HIDDEN), dtype=np.float32)
+    h, places = np.zeros((streams.targets.shape[1], HIDDEN), dtype=np.float32), np.zeros(v.rare + 2, dtype=np.int32)
     for steps, n, filled in streams.windows(WINDOW * most, 4 * WINDOW):
         inputs, starts, t = streams.inputs[steps, :n], streams.starts[steps, :n], streams.targets[steps, :n][filled]
-        words, near = np.unique(inputs, return_inverse=True)
-        kinds = np.unique(v.class_of(t))
-        kinds = kinds[kinds < v.classes]
+        words, kinds = _present(inputs, v.rare + 2), _present(v.class_of(t), v.classes + 1)
+        places[words] = np.arange(len(words))
+        near, kinds = places[inputs], kinds[kinds < v.classes]
         rows = {"embed": words, "word_w": kinds, "word_b": kinds}
-        q, near = {k: x[rows[k]] if k in rows else x for k, x in p.items()}, near.reshape(inputs.shape)
+        q = {k: x[rows[k]] if k in rows else x for k, x in p.items()}
         grads = {k: np.zeros_like(x) for k, x in q.items()}
         states, tape = _forward(q, near, starts, h[:n], _table(q), True)
         h = states[-1]

@@ -197,3 +197,18 @@ def test_vocabulary_and_learners_grow():
     assert sizes == [gru_lm.WORDS, 1000, 3162]
     few, many = gru_lm.learners(10**7), gru_lm.learners(10**9)
     assert 1 < few < many and 10**7 / few < 10**9 / many
+
+
+def test_scores_alone_need_no_slopes_and_extreme_rows_are_shifted():
+    rng = np.random.default_rng(3)
+    for scale, shift in ((1, 0), (1, 200), (1, -200), (60, 0)):
+        x = rng.normal(size=(40, 7)) * scale + shift
+        x[:, 6] = -1e4
+        target = rng.integers(0, 6, 40)
+        own = x - x.max(axis=1, keepdims=True)
+        want = own[np.arange(40), target] - np.log(np.exp(own).sum(axis=1))
+        log, none = gru_lm._softmax(x.astype(np.float32), target, False)
+        assert none is None and np.allclose(log, want, rtol=1e-4, atol=1e-4)
+        log, slope = gru_lm._softmax(x.copy(), target, True)
+        assert np.allclose(log, want) and np.allclose(slope.sum(axis=1), 0)
+        assert np.allclose(slope[np.arange(40), target], np.exp(want) - 1)
