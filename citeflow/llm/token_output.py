@@ -18,6 +18,7 @@ texts than a shard make a longer shard; further columns are ignored.
 
 from __future__ import annotations
 
+import codecs
 import functools
 import json
 import re
@@ -35,6 +36,8 @@ from citeflow.llm.token_counts import load_tokenizer
 END_ID = 2
 SHARD_IDS = 1 << 20
 CACHE_ENTRIES = 120_000
+BLOCK_BYTES = 1 << 22
+MERGED_AT_ONCE = 16_384
 PAIRS_PER_ROUND = 8192
 LEAST_COUNT = 16
 MAX_SYMBOL = 1 << 16
@@ -43,10 +46,31 @@ MAX_SYMBOL = 1 << 16
 #: What the shortcut below was written for, as the tokenizer's file has it (fixed values).
 _NORMAL = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
 _SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
-#: The same pre-tokens in lower-cased texts of code points up to U+00FF, which NFC leaves as they are.
-_LETTERS, _FIGURES = "a-zªµºß-öø-ÿ", "0-9²³¹¼½¾"
-_PRE_TOKENS = re.compile(f"[{_LETTERS}]+|'(?:s|t|re|ve|m|ll|d)|[{_FIGURES}]|[^\t-\r \x85\xa0{_LETTERS}{_FIGURES}]+".encode("latin-1")).findall
+#: The same for texts of code points up to U+00FF, which NFC leaves as they are, as Latin-1 bytes: lower-cased, and what each byte is.
 _LOWER = "".join(map(chr, range(256))).lower().encode("latin-1")
+_SPACES = b"\t\n\v\f\r \x85\xa0"
+_SPACE, _LETTER, _FIGURE, _OTHER = range(4)
+_KINDS = bytes(_SPACE if c in _SPACES else _LETTER if chr(c).isalpha() else _FIGURE if chr(c).isnumeric() else _OTHER for c in range(256))
+_QUOTE, _SHORT, _LONG = ord("'"), b"stmd", (b"re", b"ve", b"ll")
+
+
+def _pre_tokens(lowered: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Where the pre-tokens of lower-cased Latin-1 text begin, and their lengths. The text ends with two spaces."""
+    given, kind = np.frombuffer(lowered, np.uint8), np.frombuffer(lowered.translate(_KINDS), np.uint8)
+    begins = kind == _FIGURE
+    begins[0] = True
+    begins[1:] |= kind[1:] != kind[:-1]
+    quote = np.flatnonzero((given == _QUOTE) & begins)
+    if len(quote):
+        one, two = given[quote + 1], given[quote + 2]
+        short = quote[np.isin(one, list(_SHORT))]
+        long = quote[np.any([(one == a) & (two == b) for a, b in _LONG], axis=0)]
+        begins[short + 1] = begins[long + 1] = False
+        begins[short + 2] = begins[long + 3] = True
+    first = np.flatnonzero(begins)
+    size = np.diff(first, append=len(given))
+    real = kind[first] != _SPACE
+    return first[real], size[real]
 
 
 def _byte_letters() -> dict[int, str]:
@@ -59,45 +83,105 @@ def _byte_letters() -> dict[int, str]:
 class Encoder(dict):
     """Texts to ids as uint16 bytes; as a mapping, lower-cased pre-tokens (in Latin-1) to theirs.
 
-    Texts of code points up to U+00FF are split here and meet the merges pre-token by pre-token, with the last ``limit``
-    to twice as many kept; others, texts with an added token in them, and all texts of a tokenizer with other settings
-    go through the whole library.
+    Texts of code points up to U+00FF are split here, many at once, and each different pre-token meets the library's merges.
+    The first pre-tokens, twice ``limit`` of them, are kept until more than three quarters of a block's are not among them.
+    Other texts, those with an added token in them, and all texts of a tokenizer with other settings go through the whole library.
     """
 
     def __init__(self, path: str, limit: int = CACHE_ENTRIES):
+        from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import WhitespaceSplit
+
         super().__init__()
         self.tokenizer = load_tokenizer(path)
-        self.merge = self.tokenizer.model.tokenize
-        self.limit, self.older = limit, {}
+        self.merger = Tokenizer(self.tokenizer.model)
+        self.merger.pre_tokenizer = WhitespaceSplit()
+        self.limit = 2 * limit
         letters = _byte_letters()
-        #: What each Latin-1 code point is as UTF-8, in byte-level letters.
-        self.letters = ["".join(letters[b] for b in chr(c).encode()) for c in range(256)]
+        self.letters = "".join({**letters, ord(" "): " "}[b] for b in range(256))
         made = json.loads(self.tokenizer.to_str())
         added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.added = re.compile("|".join(added), re.IGNORECASE) if added else None
-        self.plain = made["normalizer"].get("normalizers") == _NORMAL and made["pre_tokenizer"]["pretokenizers"][0]["pattern"] == {"Regex": _SPLIT}
-
-    def __missing__(self, piece: bytes) -> bytes:
-        out = self.older.get(piece)
-        if out is None:
-            shown = piece.decode() if piece.isalpha() else "".join([self.letters[c] for c in piece])
-            out = array("H", [t.id for t in self.merge(shown)]).tobytes()
-        if len(self) >= self.limit:
-            self.older = self.copy()
+        vocabulary, suffix = self.tokenizer.get_vocab(with_added_tokens=False), made["model"].get("end_of_word_suffix")
+        #: Whether an id ends its pre-token, which one id of each does if every byte has an id for its end.
+        self.last = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=bool)
+        self.last[[k for token, k in vocabulary.items() if suffix and token.endswith(suffix)]] = True
+        marked = suffix and all(x in vocabulary and x + suffix in vocabulary for x in letters.values())
+        settings = made["normalizer"].get("normalizers"), made["pre_tokenizer"]["pretokenizers"][0]["pattern"]
+        self.plain = bool(marked) and settings == (_NORMAL, {"Regex": _SPLIT})
+
+    def merged(self, pieces: list[bytes]) -> list[bytes]:
+        """The ids of each pre-token by the library's merges, which get ``MERGED_AT_ONCE`` of them in one text, with spaces between."""
+        out = []
+        for k in range(0, len(pieces), MERGED_AT_ONCE):
+            shown, _ = codecs.charmap_decode(b" ".join(pieces[k : k + MERGED_AT_ONCE]).decode("latin-1").encode(), "strict", self.letters)
+            (found,) = self.merger.encode_batch_fast([shown], add_special_tokens=False)
+            ids = np.array(found.ids, dtype=np.uint16)
+            ends = (2 * np.flatnonzero(self.last[ids]) + 2).tolist()
+            every = ids.tobytes()
+            out += [every[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+        return out
+
+    def look_up(self, pieces: list[bytes]) -> list[bytes]:
+        """The ids of each of these different pre-tokens."""
+        out = list(map(self.get, pieces))
+        absent = [k for k, ids in enumerate(out) if ids is None]
+        if len(self) >= self.limit and 4 * len(absent) > 3 * len(pieces):
             self.clear()
-        self[piece] = out
+        unseen = [pieces[k] for k in absent]
+        fresh = self.merged(unseen)
+        for k, ids in zip(absent, fresh, strict=True):
+            out[k] = ids
+        room = max(0, self.limit - len(self))
+        self.update(zip(unseen[:room], fresh[:room], strict=True))
         return out
 
     def encode(self, raw: bytes) -> bytes:
-        text = raw.decode("utf-8", "replace")
-        if self.plain and not (self.added and self.added.search(text)):
-            try:
-                narrow = text.encode("latin-1")
-            except UnicodeEncodeError:
-                narrow = None
-            if narrow is not None:
-                return b"".join(map(self.__getitem__, _PRE_TOKENS(narrow.translate(_LOWER))))
-        return array("H", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        return self.encode_all([raw])[0]
+
+    def encode_all(self, raws: list[bytes]) -> list[bytes]:
+        """The ids of each text; texts go in blocks of ``BLOCK_BYTES``, and each different pre-token of a block is looked up once."""
+        out, narrow, size = [], [], 0
+        library: dict[int, bytes] = {}
+        for k, raw in enumerate(raws):
+            text = raw.decode("utf-8", "replace")
+            own = None
+            if self.plain and not (self.added and self.added.search(text)):
+                try:
+                    own = text.encode("latin-1")
+                except UnicodeEncodeError:
+                    pass
+            if own is None:
+                library[k] = array("H", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+            narrow.append(own or b"")
+            size += len(narrow[-1])
+            if size >= BLOCK_BYTES or k == len(raws) - 1:
+                out += self._narrow(narrow)
+                narrow, size = [], 0
+        for k, ids in library.items():
+            out[k] = ids
+        return out
+
+    def _narrow(self, texts: list[bytes]) -> list[bytes]:
+        import pyarrow as pa
+
+        lowered = b" ".join([*texts, b"", b""]).translate(_LOWER)
+        first, size = _pre_tokens(lowered)
+        if not len(first):
+            return [b""] * len(texts)
+        kind = pa.large_binary()
+        parts = [None, pa.py_buffer(np.concatenate(([0], np.cumsum(size)))), pa.py_buffer(lowered.translate(None, _SPACES))]
+        pieces = pa.Array.from_buffers(kind, len(size), parts).dictionary_encode()
+        known = _values(pieces.dictionary, np.arange(len(pieces.dictionary) + 1))
+        ids = pa.array(self.look_up(known), kind).take(pieces.indices)
+        return _values(ids, np.concatenate(([0], np.searchsorted(first, np.cumsum([len(x) + 1 for x in texts])))))
+
+
+def _values(column, borders: np.ndarray) -> list[bytes]:
+    """The bytes of an Arrow column of large binaries from each border to the next."""
+    _, offsets, data = column.buffers()
+    at, every = np.frombuffer(offsets, np.int64)[column.offset :][borders].tolist(), data.to_pybytes()
+    return [every[a:b] for a, b in zip(at, at[1:], strict=False)]
 
 
 @functools.cache
@@ -262,9 +346,9 @@ def _encode(path: str, doc_id: str, text: str) -> Callable[[Iterator], Iterator]
             return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(row, kinds, strict=True)], names=["part", "part_start", "n_docs", "n_ids", "shard"])
 
         for batch in slices(batches):
-            for number, x in zip(batch.column(doc_id).to_pylist(), texts(batch.column(text)), strict=True):
+            for number, ids in zip(batch.column(doc_id).to_pylist(), encoder.encode_all(texts(batch.column(text))), strict=True):
                 numbers.append(number)
-                encoded.append(encoder.encode(x) + end)
+                encoded.append(ids + end)
                 size += len(encoded[-1]) // 2
                 if size >= SHARD_IDS:
                     yield shard()

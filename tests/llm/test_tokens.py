@@ -58,6 +58,18 @@ def test_narrow_texts_are_split_and_kept_as_bytes():
     assert encoder and all(type(piece) is bytes for piece in encoder)
 
 
+def test_texts_of_a_block_share_their_look_ups():
+    """A pre-token that many texts of a block hold is looked up once, and texts keep their borders and their order."""
+    encoder, asked = token_output.Encoder(WORD, limit=3), []
+    plain = encoder.merged
+    encoder.merged = lambda pieces: asked.extend(pieces) or plain(pieces)
+    texts = ["zqxv'", "s don't", "", "zqxv ź", "don't zqxv", " \x85 ", "x <|endoftext|> zqxv", "12", "3 É+'LL'", "'re'", "'"] * 50
+    got = encoder.encode_all([t.encode() for t in texts])
+    assert [np.frombuffer(x, "<u2").tolist() for x in got] == [encoder.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert len(asked) == len(set(asked)) and {b"zqxv", b"don", b"'t"} <= set(asked)
+    assert len(encoder) == 6 and encoder.encode_all([]) == []
+
+
 def test_random_access_by_expansion_lengths():
     rng = np.random.default_rng(1)
     phrase = rng.integers(0, 500, 40)
