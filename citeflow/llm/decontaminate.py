@@ -29,7 +29,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from citeflow.llm.common import cut, slices, texts, unused
+from citeflow.llm.common import cut, frugal, slices, texts, unused
 
 WINDOW = 13
 BLOCK_BYTES = 16 << 20
@@ -273,7 +273,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, keep: list[str], text: str = "te
         own = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == b).collect()
         carried = keep if b == blocks - 1 else list(dict.fromkeys([*keep, text]))
         kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*carried).schema] + [f"`{n}` {k}" for n, k in zip(names.values(), _KINDS, strict=True)]
-        out = out.mapInArrow(_scan(Block([(r["item"], bytes(r["text"])) for r in own], window), carried, text, before), ", ".join(kinds))
+        out = out.mapInArrow(frugal(_scan(Block([(r["item"], bytes(r["text"])) for r in own], window), carried, text, before)), ", ".join(kinds))
         before = list(names.values())
         out = cut(out) if b < blocks - 1 else out
     return out, names

@@ -21,7 +21,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from citeflow.llm.common import crc_bucket, slices, texts, unused
+from citeflow.llm.common import crc_bucket, frugal, slices, texts, unused
 
 FEATURES = 1 << 15
 SAMPLE = 4096
@@ -75,7 +75,7 @@ def _frequencies(batches: Iterator) -> Iterator:
 def _shares(batches: Iterator) -> Iterator:
     import pyarrow as pa
 
-    for batch in batches:
+    for batch in slices(batches, 256):
         langs, features, shares = [], [], []
         for lang, x in zip(batch.column("lang").to_pylist(), texts(batch.column("text")), strict=True):
             text = x.decode("utf-8", "replace")
@@ -146,7 +146,7 @@ def train(labelled: DataFrame, sample: int = SAMPLE) -> Model:
     if not per_lang:
         return Model([], np.zeros((FEATURES, 0)), np.zeros(0), 1.0)
     df = np.zeros(FEATURES)
-    for feature, n in labelled.select("text").mapInArrow(_frequencies, "feature int, n bigint").groupBy("feature").agg(F.sum("n")).collect():
+    for feature, n in labelled.select("text").mapInArrow(frugal(_frequencies), "feature int, n bigint").groupBy("feature").agg(F.sum("n")).collect():
         df[feature] = n
     idf = np.log((1 + sum(per_lang.values())) / (1 + df)) + 1
     quota, share = sample / len(per_lang), F.lit(0.0)
@@ -154,7 +154,7 @@ def train(labelled: DataFrame, sample: int = SAMPLE) -> Model:
         share = F.when(F.col("lang") == lang, min(1.0, quota / n)).otherwise(share)
     order = F.pmod(F.xxhash64("doc_id", F.lit(17)), F.lit(1 << 40))
     chosen = labelled.withColumn("order", order).where(F.col("order") < share * float(1 << 40)).orderBy("order", "doc_id").limit(sample)
-    rows = chosen.select("lang", "text").mapInArrow(_shares, "lang string, features binary, shares binary").collect()
+    rows = chosen.select("lang", "text").mapInArrow(frugal(_shares), "lang string, features binary, shares binary").collect()
     langs = sorted({r["lang"] for r in rows})
     known = {lang: k for k, lang in enumerate(langs)}
     if not langs:
@@ -193,7 +193,7 @@ def identify(docs: DataFrame, model: Model, keep: list[str], text: str = "text")
     """``keep`` columns of ``docs`` with those of the dictionary: lang, score."""
     names = unused(docs.columns, "lang", "score")
     kinds = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in docs.select(*keep).schema)
-    judged = docs.select(*dict.fromkeys([*keep, text])).mapInArrow(_predict(model, keep, text, list(names.values())), f"{kinds}`{names['lang']}` string, `{names['score']}` double")
+    judged = docs.select(*dict.fromkeys([*keep, text])).mapInArrow(frugal(_predict(model, keep, text, list(names.values()))), f"{kinds}`{names['lang']}` string, `{names['score']}` double")
     return judged, names
 
 

@@ -32,7 +32,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from citeflow.llm.common import cut, shared_path, slices, texts, unused
+from citeflow.llm.common import cut, frugal, shared_path, slices, texts, unused
 from citeflow.llm.components import components
 
 BUCKET_BITS = 9
@@ -163,10 +163,9 @@ def _matrix(column) -> np.ndarray:
 
 def _close_pairs(least: float) -> Callable[[Iterator], Iterator]:
     def run(batches: Iterator) -> Iterator:
-        for batch in batches:
-            if batch.num_rows:
-                near = estimate(_matrix(batch.column("a_registers")), _matrix(batch.column("b_registers"))) >= least
-                yield batch.select(["a", "b"]).take(np.flatnonzero(near))
+        for batch in slices(batches):
+            near = estimate(_matrix(batch.column("a_registers")), _matrix(batch.column("b_registers"))) >= least
+            yield batch.select(["a", "b"]).take(np.flatnonzero(near))
 
     return run
 
@@ -233,7 +232,7 @@ class _Confirm:
         for end in ("a", "b"):
             pairs = pairs.join(self.nodes.select(F.col("node").alias(end), F.col("n").alias(f"{end}_n"), F.col("registers").alias(f"{end}_registers")), end)
         fits = F.least("a_n", "b_n") * 100 >= self.percent * F.greatest("a_n", "b_n")
-        return pairs.where(fits).select("a", "b", "a_registers", "b_registers").mapInArrow(_close_pairs(self.least), "a bigint, b bigint")
+        return pairs.where(fits).select("a", "b", "a_registers", "b_registers").mapInArrow(frugal(_close_pairs(self.least)), "a bigint, b bigint")
 
     def linked(self, pairs: DataFrame) -> DataFrame:
         spark, close = pairs.sparkSession, cut(pairs.distinct())
@@ -241,7 +240,7 @@ class _Confirm:
         close.select(F.col("a").alias("node")).unionAll(close.select("b")).distinct().write.parquet(path)
         wanted = spark.read.schema("node bigint").parquet(path)
         ends = self.docs.select(F.col("doc_id").alias("node"), "text").join(wanted, "node", "left_semi")
-        sets = cut(ends.mapInArrow(_sets(self.size), "node bigint, shingles array<bigint>"))
+        sets = cut(ends.mapInArrow(frugal(_sets(self.size)), "node bigint, shingles array<bigint>"))
         for end in ("a", "b"):
             close = close.join(sets.select(F.col("node").alias(end), F.col("shingles").alias(f"{end}_set")), end)
         common = F.size(F.array_intersect("a_set", "b_set")).cast("long")
@@ -282,7 +281,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, doc_id: s
     spark = docs.sparkSession
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     path = shared_path(spark, "near-sketches")
-    docs.mapInArrow(_sketch(size), _SKETCH).write.parquet(path)
+    docs.mapInArrow(frugal(_sketch(size)), _SKETCH).write.parquet(path)
     sketches = spark.read.schema(_SKETCH).parquet(path)
     with_set = sketches.where("doc_id IS NOT NULL AND n_shingles > 0")
 

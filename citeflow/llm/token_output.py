@@ -19,7 +19,6 @@ texts than a shard make a longer shard; further columns are ignored.
 from __future__ import annotations
 
 import codecs
-import functools
 import json
 import re
 import zlib
@@ -30,7 +29,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citeflow.llm.common import shared_path, slices, texts
+from citeflow.llm.common import frugal, give_back, kept, shared_path, slices, texts
 from citeflow.llm.token_counts import load_tokenizer
 
 END_ID = 2
@@ -184,10 +183,13 @@ def _values(column, borders: np.ndarray) -> list[bytes]:
     return [every[a:b] for a, b in zip(at, at[1:], strict=False)]
 
 
-@functools.cache
 def _encoder(path: str) -> Encoder:
-    """One tokenizer for all tasks of a worker process."""
-    return Encoder(path)
+    """One tokenizer for a worker process's tasks, as long as these are of this kind."""
+    return kept(_name(path), lambda: Encoder(path))
+
+
+def _name(path: str) -> str:
+    return f"encoder {path}"
 
 
 def _replace(symbols: np.ndarray, inner: np.ndarray, chosen: np.ndarray, first: int) -> tuple[np.ndarray, np.ndarray]:
@@ -352,6 +354,7 @@ def _encode(path: str, doc_id: str, text: str) -> Callable[[Iterator], Iterator]
                 size += len(encoded[-1]) // 2
                 if size >= SHARD_IDS:
                     yield shard()
+                    give_back()
         if numbers:
             yield shard()
 
@@ -363,7 +366,7 @@ def write_token_shards(docs: DataFrame, tokenizer_path: str, out: str, doc_id: s
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text")
-    ordered.mapInArrow(_encode(tokenizer_path, "doc_id", "text"), _TABLE).write.option("compression", "zstd").parquet(out)
+    ordered.mapInArrow(frugal(_encode(tokenizer_path, "doc_id", "text"), _name(tokenizer_path)), _TABLE).write.option("compression", "zstd").parquet(out)
 
 
 def _digest(batches: Iterator) -> Iterator:
@@ -388,13 +391,16 @@ def read_token_shards(spark: SparkSession, path: str) -> DataFrame:
 
     One number for each write task comes to the driver; their count is that of the partitions, not of the rows.
     """
+    import pyarrow as pa
+
     shards = spark.read.schema(_TABLE).parquet(path)
     totals = sorted(shards.groupBy("part").agg(F.max(F.col("part_start") + F.col("n_ids"))).collect())
     before, offsets = 0, []
     for part, total in totals:
         offsets.append((part, before))
         before += total
-    known = F.broadcast(spark.createDataFrame(offsets, "part int, before bigint"))
+    columns = [pa.array([x[k] for x in offsets], kind) for k, kind in enumerate((pa.int32(), pa.int64()))]
+    known = F.broadcast(spark.createDataFrame(pa.table(columns, names=["part", "before"])))  # a list of rows would take Python workers of its own
     return shards.join(known, "part").withColumn("start", F.col("before") + F.col("part_start"))
 
 
@@ -403,4 +409,4 @@ def token_output(docs: DataFrame, tokenizer_path: str, out: str | None = None) -
     spark = docs.sparkSession
     out = out or shared_path(spark, "token-shards")
     write_token_shards(docs, tokenizer_path, out)
-    return read_token_shards(spark, out).select("start", "shard").mapInArrow(_digest, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
+    return read_token_shards(spark, out).select("start", "shard").mapInArrow(frugal(_digest, _name(tokenizer_path)), "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")

@@ -113,3 +113,12 @@ def test_equals_plain_dictionaries(spark):
     assert abs(math.log(model.temperature) - best) < 0.02 or abs(best) == 5
     assert [g[0] for g in got] == [w[0] for w in want]
     assert max(abs(g[1] - w[1]) for g, w in zip(got, want, strict=True)) < 0.02
+
+
+def test_examples_leave_in_small_batches():
+    import pyarrow as pa
+
+    sample = pa.table({"lang": [str(k % 3) for k in range(1000)], "text": [f"text {k}" if k % 4 else "7" for k in range(1000)]})
+    got = list(langid._shares(iter(sample.to_batches())))
+    assert max(b.num_rows for b in got) <= 256
+    assert [x for b in got for x in b.column("lang").to_pylist()] == [str(k % 3) for k in range(1000) if k % 4]

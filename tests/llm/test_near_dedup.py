@@ -114,3 +114,16 @@ def test_rows_that_are_exact_copies_stay_once(spark):
     got = sorted(map(tuple, near_dedup.drop_near_duplicates(docs).collect()), key=str)
     want = [r for r in set(rows) if r not in ((1, "a b c d e f", "y"), (2, "a b c d e f", "x"))]
     assert got == sorted(want, key=str)
+
+
+def test_estimates_are_made_of_small_slices(monkeypatch):
+    import pyarrow as pa
+
+    sizes, plain = [], near_dedup._matrix
+    monkeypatch.setattr(near_dedup, "_matrix", lambda column: sizes.append(len(column)) or plain(column))
+    one, other = (near_dedup.registers(np.sort(np.random.default_rng(k).integers(0, 1 << 63, 3000).astype(np.uint64))).tobytes() for k in range(2))
+    n = 2500
+    pairs = pa.table({"a": range(n), "b": range(n), "a_registers": [one] * n, "b_registers": [one if k % 5 else other for k in range(n)]})
+    got = [x for batch in near_dedup._close_pairs(0.7)(iter(pairs.to_batches())) for x in batch.column("a").to_pylist()]
+    assert got == [k for k in range(n) if k % 5]
+    assert max(sizes) <= 1024 and sum(sizes) == 2 * n

@@ -5,7 +5,7 @@ import public_tokenizers
 import pytest
 from tests.llm.cases import awkward, empty
 
-from citeflow.llm import queries, token_counts, token_output
+from citeflow.llm import common, queries, token_counts, token_output
 from citeflow.llm.token_counts import load_tokenizer
 
 BYTE, WORD = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
@@ -92,3 +92,24 @@ def test_overlapping_pairs_of_one_symbol():
 def test_empty_tables(spark, tmp_path):
     assert token_counts.token_counts(empty(spark), BYTE).count() == 0
     assert token_output.token_output(empty(spark), WORD, str(tmp_path / "none")).count() == 0
+
+
+def test_encoder_goes_when_another_operator_begins(monkeypatch):
+    """A worker process keeps the encoder for the tasks of its own kind only, and gives memory back after each task."""
+    given = []
+    monkeypatch.setattr(common, "give_back", lambda: given.append(1))
+    encoder = token_output._encoder(WORD)
+    list(common.frugal(iter, token_output._name(WORD))([]))
+    assert token_output._encoder(WORD) is encoder and len(given) == 1
+    list(common.frugal(iter)([]))
+    assert not common._KEPT and len(given) == 2
+    assert token_output._encoder(WORD) is not encoder
+
+
+def test_offsets_of_shards_need_no_python_rows(spark, sf, tmp_path):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    token_output.write_token_shards(docs, WORD, str(tmp_path / "shards"))
+    shards = token_output.read_token_shards(spark, str(tmp_path / "shards"))
+    assert "ExistingRDD" not in shards._jdf.queryExecution().executedPlan().toString()
+    rows = sorted(shards.select("part", "part_start", "n_ids", "start").collect())
+    assert [r["start"] for r in rows] == [sum(x["n_ids"] for x in rows[:k]) for k in range(len(rows))]
