@@ -25,15 +25,13 @@ from __future__ import annotations
 
 import copy
 import math
-from collections import Counter
 from collections.abc import Callable, Iterator
-from itertools import repeat
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from citeflow.llm.common import crc_bucket, cut, shared_path, slices, texts
+from citeflow.llm.common import crc_bucket, cut, shared_path, slices
 
 HEAD = 200_000
 WORDS = 992
@@ -49,7 +47,8 @@ WINDOW, STREAMS, SCORE_STREAMS = 16, 384, 1024
 #: Fewer streams are taken, down to the least, where a pass would have fewer steps than these.
 STEPS, LEAST_STREAMS = 200, 16
 RATE, WARM_STEPS = 0.015, 20
-FLUSH_WORDS = 300_000
+#: Bytes of text whose words are looked up or counted at once.
+PIECE = 1 << 23
 END = b""
 
 
@@ -58,23 +57,39 @@ def words_of(text: bytes) -> list[bytes]:
     return [*text.lower().split(), END]
 
 
-def _partial_counts(batches: Iterator) -> Iterator:
+def _pieces(batches: Iterator, size: int) -> Iterator:
+    """Views of the batches with at most ``size`` bytes of text each, or one row."""
+    import pyarrow.compute as pc
+
+    for batch in batches:
+        ends, at = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)), 0
+        while at < batch.num_rows:
+            end = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + size, side="right")))
+            yield batch.slice(at, end - at)
+            at = end
+
+
+def _split(column) -> tuple:
+    """All words of an Arrow column of texts one after the other, without the ends, and the row of each."""
     import pyarrow as pa
+    import pyarrow.compute as pc
 
-    counts: Counter = Counter()
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(column.cast(pa.string())))
+    words = lists.flatten().view(pa.binary())
+    rows = np.repeat(np.arange(len(lists)), pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False))
+    # Space at either side of a text leaves an empty string.
+    real = pc.greater(pc.binary_length(words), 0)
+    return words.filter(real), rows[real.to_numpy(zero_copy_only=False)]
 
-    def rows():
-        out = pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"])
-        counts.clear()
-        return out
 
-    for batch in batches:
-        for x in texts(batch.column("text")):
-            counts.update(words_of(x))
-            if len(counts) >= FLUSH_WORDS:
-                yield rows()
-    if counts:
-        yield rows()
+def _partial_counts(batches: Iterator) -> Iterator:
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    for piece in _pieces(batches, 2 * PIECE):
+        found = pc.value_counts(_split(piece.column("text"))[0])
+        for word, n in ((found.field("values"), found.field("counts")), (pa.array([END], pa.binary()), pa.array([piece.num_rows], pa.int64()))):
+            yield pa.RecordBatch.from_arrays([word, n], names=["word", "n"])
 
 
 def count_words(docs: DataFrame) -> DataFrame:
@@ -153,16 +168,11 @@ def initial(v: Vocabulary) -> dict[str, np.ndarray]:
     }
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    """In place."""
-    np.negative(x, out=x)
-    np.exp(x, out=x)
-    x += 1
-    return np.reciprocal(x, out=x)
-
-
 class Streams:
-    """Documents laid end to end in streams, the longest stream first: inputs, targets, starts, and whose each place is."""
+    """Documents laid end to end in streams, the longest stream first.
+
+    For each token, stream after stream: itself, its input, whether it starts a document, and whose it is.
+    """
 
     def __init__(self, docs: list[np.ndarray], rare: int, most: int):
         n = max(1, min(most, len(docs)))
@@ -172,51 +182,65 @@ class Streams:
             held[at].append(k)
             ends[at] += len(docs[k])
         order = np.argsort(-ends, kind="stable")
-        self.sizes, steps = ends[order], int(ends.max())
-        self.targets, self.inputs = np.zeros((steps, n), dtype=np.int32), np.full((steps, n), rare + 1, dtype=np.int32)
-        self.starts, self.owner = np.zeros((steps, n), dtype=bool), np.zeros((steps, n), dtype=np.int32)
-        for s, own in enumerate(order.tolist()):
-            at = 0
-            for k in held[own]:
-                d = docs[k]
-                end = at + len(d)
-                self.targets[at:end, s], self.inputs[at + 1 : end, s] = d, d[:-1]
-                self.starts[at, s], self.owner[at:end, s] = True, k
-                at = end
-
-    def windows(self, tokens: int, most_steps: int) -> Iterator[tuple[slice, int, np.ndarray]]:
-        """Places of about ``tokens`` tokens, how many streams reach them, and which of their places are filled."""
-        at = 0
-        while at < len(self.targets):
+        self.rare, self.sizes = rare, ends[order]
+        self.offsets = np.cumsum(self.sizes) - self.sizes
+        chain = [k for s in order.tolist() for k in held[s]]
+        lengths, self.targets = np.array([len(docs[k]) for k in chain]), np.concatenate([docs[k] for k in chain])
+        first = np.cumsum(lengths) - lengths
+        self.starts, self.inputs = np.zeros(len(self.targets), dtype=bool), np.roll(self.targets, 1)
+        self.starts[first], self.inputs[first] = True, rare + 1
+        self.owner = np.repeat(chain, lengths)
+
+    def windows(self, tokens: int, most_steps: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """For each window of about ``tokens`` places, by step and stream: inputs, starts, which are filled, and the filled ones' tokens."""
+        at, last = 0, int(self.sizes[0])
+        while at < last:
             n = int(np.searchsorted(-self.sizes, -at))
-            steps = slice(at, min(at + max(1, min(most_steps, tokens // n)), len(self.targets)))
-            yield steps, n, np.arange(steps.start, steps.stop)[:, None] < self.sizes[:n]
-            at = steps.stop
+            steps = np.arange(at, min(at + max(1, min(most_steps, tokens // n)), last))[:, None]
+            filled = steps < self.sizes[:n]
+            places = np.where(filled, self.offsets[:n] + steps, 0)
+            yield np.where(filled, self.inputs.take(places), self.rare + 1), self.starts.take(places) & filled, filled, _filled(places, filled)
+            at += len(steps)
+
+
+def _filled(x: np.ndarray, filled: np.ndarray) -> np.ndarray:
+    """What lies at the filled places, step by step."""
+    return x.reshape(-1, *x.shape[2:]) if filled.all() else x[filled]
+
 
+def _forward(p: dict, inputs: np.ndarray, starts: np.ndarray, h: np.ndarray, table: np.ndarray, keep: bool) -> tuple[np.ndarray, tuple]:
+    """States after each step, carrying ``h`` in (its last row is the state to carry on).
 
-def _forward(p: dict, inputs: np.ndarray, starts: np.ndarray, h: np.ndarray, table: np.ndarray, keep: bool) -> tuple[np.ndarray, list]:
-    """States after each step, carrying ``h`` in (its last row is the state to carry on)."""
+    Inside, a unit's values for all streams lie side by side: (step, unit, stream). So they do in what is kept: the states
+    before each step, the gates and the new content, and the products of the states.
+    """
     steps, n = inputs.shape
-    states, tape = np.empty((steps, n, HIDDEN), dtype=np.float32), []
-    over, two, x = p["over"], 2 * HIDDEN, table[inputs]
-    begins = starts.any(axis=1).tolist()
+    kept, two, over, table = steps if keep else 1, 2 * HIDDEN, p["over"].T.copy(), table.T.copy()
+    # A gate is 1 / (1 + exp(-x)), which is (1 + tanh(x / 2)) / 2.
+    over[:two] *= 0.5
+    table[:two] *= 0.5
+    states = np.empty((steps, HIDDEN, n), dtype=table.dtype)
+    before, gates, products = (np.empty((kept, k * HIDDEN, n), dtype=table.dtype) for k in (1, 3, 3))
+    begins, h = starts.any(axis=1).tolist(), h.T
     for t in range(steps):
+        at = t if keep else 0
         if begins[t]:
-            h = np.where(starts[t][:, None], np.float32(0), h)
-        u = h @ over
-        gates = _sigmoid(x[t, :, :two] + u[:, :two])
-        z, r = gates[:, :HIDDEN], gates[:, HIDDEN:]
-        new = r * u[:, two:]
-        new += x[t, :, two:]
-        np.tanh(new, out=new)
+            h = np.where(starts[t], table.dtype.type(0), h)
         if keep:
-            tape.append((h, z, r, new, u[:, two:]))
-        out = states[t]
-        np.subtract(h, new, out=out)
-        out *= z
+            before[t] = h
+        x, u = table.take(inputs[t], axis=1), np.matmul(over, h, out=products[at])
+        zr, new = gates[at, :two], gates[at, two:]
+        np.tanh(np.add(x[:two], u[:two], out=zr), out=zr)
+        zr *= 0.5
+        zr += 0.5
+        np.multiply(zr[HIDDEN:], u[two:], out=new)
+        new += x[two:]
+        np.tanh(new, out=new)
+        out = np.subtract(h, new, out=states[t])
+        out *= zr[:HIDDEN]
         out += new
         h = out
-    return states, tape
+    return states.transpose(0, 2, 1), (before, gates, products)
 
 
 def _softmax(x: np.ndarray, target: np.ndarray, slope: bool) -> tuple[np.ndarray, np.ndarray | None]:
@@ -257,69 +281,81 @@ def _present(x: np.ndarray, top: int) -> np.ndarray:
 def _outputs(p: dict, v: Vocabulary, states: np.ndarray, targets: np.ndarray, grads: dict | None, kinds: np.ndarray) -> tuple[np.ndarray, np.ndarray | None]:
     """Natural log-probability of each target (the rare class: of the class), and the gradient into the states.
 
-    ``kinds``: the classes whose words' weights ``p`` and ``grads`` hold, in order.
+    ``kinds``: the classes whose words' weights ``p`` and ``grads`` hold, in order. Biases are the weights of one more
+    unit that is always 1. Targets are taken in order, so a class's lie side by side, and those of the rare class last.
     """
-    order = _order(targets)
-    states, words = states[order], targets[order]
-    kind, slope = v.class_of(words), grads is not None
-    x = states @ p["class_w"]
-    x += p["class_b"]
-    logs, d = _softmax(x, kind, slope)
+    order, slope = _order(targets), grads is not None
+    words, wide = targets[order], np.ones((len(targets), HIDDEN + 1), dtype=states.dtype)
+    wide[:, :HIDDEN] = states.take(order, axis=0)
+    ends = np.append(np.searchsorted(words, np.minimum(np.arange(1, v.classes + 1) * v.per_class, v.rare)), len(words))
+    sizes = np.diff(ends, prepend=0)
+    kind, known = np.repeat(np.arange(v.classes + 1), sizes), int(ends[-2])
+    by_class = np.concatenate((p["class_w"], p["class_b"][None]))
+    logs, d = _softmax((by_class.T @ wide.T).T, kind, slope)
     into = None
     if grads is not None:
-        grads["class_w"] += states.T @ d
-        grads["class_b"] += d.sum(axis=0)
-        into = d @ p["class_w"].T
-    held, starts = np.unique(kind, return_index=True)
-    rows = np.searchsorted(kinds, held).tolist()
-    for c, k, a, b in zip(held.tolist(), rows, starts.tolist(), [*starts[1:].tolist(), len(kind)], strict=True):
-        if c < v.classes:
-            w, h = p["word_w"][k], states[a:b]
-            x = h @ w
-            x += p["word_b"][k]
-            log, d = _softmax(x, words[a:b] - c * v.per_class, slope)
-            logs[a:b] += log
-            if grads is not None:
-                grads["word_w"][k] += h.T @ d
-                grads["word_b"][k] += d.sum(axis=0)
-                into[a:b] += d @ w.T
+        g = wide.T @ d
+        grads["class_w"] += g[:-1]
+        grads["class_b"] += g[-1]
+        into = d @ by_class[:-1].T
+    by_word, held = np.concatenate((p["word_w"], p["word_b"][:, None]), axis=1), np.flatnonzero(sizes[:-1])
+    runs = [*zip(np.searchsorted(kinds, held).tolist(), (ends - sizes)[held].tolist(), ends[held].tolist(), strict=True)]
+    x = np.empty((known, v.per_class), dtype=wide.dtype)
+    for k, a, b in runs:
+        np.matmul(wide[a:b], by_word[k], out=x[a:b])
+    log, d = _softmax(x, words[:known] - kind[:known] * v.per_class, slope)
+    logs[:known] += log
+    if grads is not None:
+        g, inner = np.zeros_like(by_word), np.empty((known, HIDDEN), dtype=wide.dtype)
+        for k, a, b in runs:
+            np.matmul(wide[a:b].T, d[a:b], out=g[k])
+            np.matmul(d[a:b], by_word[k, :-1].T, out=inner[a:b])
+        grads["word_w"] += g[:, :-1]
+        grads["word_b"] += g[:, -1]
+        into[:known] += inner
     back = np.empty_like(order)
     back[order] = np.arange(len(order))
-    return logs[back], None if into is None else into[back]
+    return logs.take(back), None if into is None else into.take(back, axis=0)
 
 
-def _backward(p: dict, grads: dict, inputs: np.ndarray, starts: np.ndarray, tape: list, into: np.ndarray) -> None:
+def _backward(p: dict, grads: dict, inputs: np.ndarray, starts: np.ndarray, tape: tuple, into: np.ndarray) -> None:
     """Through one window; nothing goes back beyond its first step, nor beyond a document's start."""
-    into_table = np.zeros((p["embed"].shape[0], 3 * HIDDEN), dtype=into.dtype)
-    into_x, into_u = np.empty((2, *into.shape[:2], 3 * HIDDEN), dtype=into.dtype)
-    back, dh = np.ascontiguousarray(p["over"].T), np.zeros_like(into[0])
-    h, z, r, new, u = (np.stack(x) for x in zip(*tape, strict=True))
-    # What a unit of the state's gradient is worth at each gate: these need no order of steps.
-    slopes, rest = np.empty((*into.shape[:2], 3 * HIDDEN), dtype=into.dtype), 1 - z
-    candidate = rest * (1 - new * new)
-    slopes[:, :, :HIDDEN] = (h - new) * z * rest
-    slopes[:, :, HIDDEN : 2 * HIDDEN] = candidate * u * r * (1 - r)
-    slopes[:, :, 2 * HIDDEN :] = candidate
-    through = slopes.copy()
-    through[:, :, 2 * HIDDEN :] *= r
-    begins = starts.any(axis=1).tolist()
-    for t in range(len(tape) - 1, -1, -1):
-        dh += into[t]
-        wide = np.concatenate((dh, dh, dh), axis=1)
-        np.multiply(slopes[t], wide, out=into_x[t])
-        du = np.multiply(through[t], wide, out=into_u[t])
+    before, gates, products = tape
+    (steps, n), two = inputs.shape, 2 * HIDDEN
+    z, r, new = gates[:, :HIDDEN], gates[:, HIDDEN:two], gates[:, two:]
+    # What a unit of the state's gradient is worth: at the new content, at both gates, and at the product of the state that
+    # goes into the new content. The first three lead to the inputs, the last three to the state before; none needs the steps' order.
+    slopes, rest = np.empty((steps, 4, HIDDEN, n), dtype=into.dtype), 1 - z
+    content, update, reset, product = (slopes[:, k] for k in range(4))
+    np.multiply(new, new, out=content)
+    np.subtract(1, content, out=content)
+    content *= rest
+    np.subtract(before, new, out=update)
+    update *= z
+    update *= rest
+    np.multiply(content, r, out=product)
+    np.multiply(product, products[:, two:], out=reset)
+    reset *= 1 - r
+    over, begins = p["over"], starts.any(axis=1).tolist()
+    d, dh = np.empty_like(slopes), np.zeros((HIDDEN, n), dtype=into.dtype)
+    for t in range(steps - 1, -1, -1):
+        dh += into[t].T
+        np.multiply(slopes[t], dh, out=d[t])
         dh *= z[t]
-        dh += du @ back
+        dh += over @ d[t, 1:].reshape(-1, n)
         if begins[t]:
-            dh[starts[t]] = 0
-    grads["over"] += h.reshape(-1, HIDDEN).T @ into_u.reshape(-1, 3 * HIDDEN)
+            dh[:, starts[t]] = 0
+    into_x, into_u = (x.reshape(steps, 3 * HIDDEN, n).transpose(0, 2, 1) for x in (d[:, :3], d[:, 1:]))
+    grads["over"] += (before @ into_u).sum(axis=0)
+    wide = np.concatenate((p["embed"], np.ones_like(p["embed"][:, :1])), axis=1).take(inputs, axis=0)
+    g = np.roll((wide.transpose(0, 2, 1) @ into_x).sum(axis=0), -HIDDEN, axis=1)
+    grads["into"] += g[:-1]
+    grads["bias"] += g[-1]
     flat = inputs.reshape(-1)
     order = _order(flat)
     ids, at = np.unique(flat[order], return_index=True)
-    into_table[ids] = np.add.reduceat(into_x.reshape(-1, 3 * HIDDEN)[order], at)
-    grads["embed"] += into_table @ p["into"].T
-    grads["into"] += p["embed"].T @ into_table
-    grads["bias"] += into_table.sum(axis=0)
+    into_embed = into_x @ np.roll(p["into"], HIDDEN, axis=1).T
+    grads["embed"][ids] += np.add.reduceat(into_embed.reshape(-1, WIDTH).take(order, axis=0), at)
 
 
 def _table(p: dict) -> np.ndarray:
@@ -339,30 +375,42 @@ class Adam:
         scale, first, second = 1 / tokens, 1 / (1 - 0.9**self.steps), 1 / (1 - 0.999**self.steps)
         rate = RATE * min(1, self.steps / WARM_STEPS) * min(1, tokens / usual)
         for k, x in p.items():
-            at, (m, w) = rows.get(k, slice(None)), self.moments[k]
-            g = grads[k] * scale
-            m[at] += 0.1 * (g - m[at])
-            w[at] += 0.001 * (g * g - w[at])
-            x[at] -= rate * first * m[at] / (np.sqrt(w[at] * second) + 1e-6)
+            at, g = rows.get(k), grads[k] * scale
+            m, w = self.moments[k] if at is None else (y[at] for y in self.moments[k])
+            m += 0.1 * (g - m)
+            g *= g
+            g -= w
+            g *= 0.001
+            w += g
+            move = np.sqrt(w * second)
+            move += 1e-6
+            np.divide(m, move, out=move)
+            move *= rate * first
+            if at is None:
+                x -= move
+            else:
+                x[at] -= move
+                for y, own in zip(self.moments[k], (m, w), strict=True):
+                    y[at] = own
 
 
 def learn(p: dict, v: Vocabulary, docs: list[np.ndarray], adam: Adam) -> int:
     """One pass of truncated backpropagation over ``docs``; returns the number of tokens."""
     most = max(LEAST_STREAMS, min(STREAMS, sum(map(len, docs)) // (WINDOW * STEPS)))
     streams, total = Streams(docs, v.rare, most), 0
-    h, places = np.zeros((streams.targets.shape[1], HIDDEN), dtype=np.float32), np.zeros(v.rare + 2, dtype=np.int32)
-    for steps, n, filled in streams.windows(WINDOW * most, 4 * WINDOW):
-        inputs, starts, t = streams.inputs[steps, :n], streams.starts[steps, :n], streams.targets[steps, :n][filled]
+    h, places = np.zeros((len(streams.sizes), HIDDEN), dtype=np.float32), np.zeros(v.rare + 2, dtype=np.int32)
+    for inputs, starts, filled, own in streams.windows(WINDOW * most, 4 * WINDOW):
+        t = streams.targets.take(own)
         words, kinds = _present(inputs, v.rare + 2), _present(v.class_of(t), v.classes + 1)
         places[words] = np.arange(len(words))
-        near, kinds = places[inputs], kinds[kinds < v.classes]
+        near, kinds = places.take(inputs), kinds[kinds < v.classes]
         rows = {"embed": words, "word_w": kinds, "word_b": kinds}
         q = {k: x[rows[k]] if k in rows else x for k, x in p.items()}
         grads = {k: np.zeros_like(x) for k, x in q.items()}
-        states, tape = _forward(q, near, starts, h[:n], _table(q), True)
+        states, tape = _forward(q, near, starts, h[: inputs.shape[1]], _table(q), True)
         h = states[-1]
-        into = np.zeros_like(states)
-        into[filled] = _outputs(q, v, states[filled], t, grads, kinds)[1]
+        into = np.zeros(states.shape, dtype=states.dtype)
+        into[filled] = _outputs(q, v, _filled(states, filled), t, grads, kinds)[1]
         _backward(q, grads, near, starts, tape, into)
         adam.step(p, grads, rows, len(t), WINDOW * most)
         total += len(t)
@@ -373,12 +421,12 @@ def score_ids(p: dict, v: Vocabulary, docs: list[np.ndarray]) -> np.ndarray:
     """log10 of each document's probability, rare words as their class only."""
     out, kinds = np.zeros(len(docs)), np.arange(v.classes)
     streams, table = Streams(docs, v.rare, SCORE_STREAMS), _table(p)
-    h = np.zeros((streams.targets.shape[1], HIDDEN), dtype=np.float32)
-    for steps, n, filled in streams.windows(WINDOW * SCORE_STREAMS, WINDOW * SCORE_STREAMS):
-        states, _ = _forward(p, streams.inputs[steps, :n], streams.starts[steps, :n], h[:n], table, False)
+    h = np.zeros((len(streams.sizes), HIDDEN), dtype=np.float32)
+    for inputs, starts, filled, own in streams.windows(WINDOW * SCORE_STREAMS, WINDOW * SCORE_STREAMS):
+        states, _ = _forward(p, inputs, starts, h[: inputs.shape[1]], table, False)
         h = states[-1]
-        logs, _ = _outputs(p, v, states[filled], streams.targets[steps, :n][filled], None, kinds)
-        out += np.bincount(streams.owner[steps, :n][filled], weights=logs.astype(np.float64), minlength=len(docs))
+        logs, _ = _outputs(p, v, _filled(states, filled), streams.targets.take(own), None, kinds)
+        out += np.bincount(streams.owner.take(own), weights=logs.astype(np.float64), minlength=len(docs))
     return out / math.log(10)
 
 
@@ -390,40 +438,41 @@ def _encode(v: Vocabulary) -> Callable[[Iterator], Iterator]:
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
+        import pyarrow.compute as pc
         from pyspark import TaskContext
 
-        row = TaskContext.get().partitionId() << 40
-        get = {w: k for k, (w, _) in enumerate(v.words)}.get
-        plus, kind = np.log10(np.array([n for _, n in v.words], dtype=np.float64) + 1), v.ids_kind()
+        row, kind = TaskContext.get().partitionId() << 40, v.ids_kind()
+        words = [w for w, _ in v.words]
+        index, end = pa.array(words, pa.binary()), words.index(END) if END in words else -1
+        # Log counts of all words, and of those that the network doesn't know; the last is for words that are not here.
+        plus = np.append(np.log10(np.array([n for _, n in v.words], dtype=np.float64) + 1), 0.0)
+        rare_plus = np.where(np.arange(len(plus)) < v.rare, 0.0, plus)
         given = ["doc_id", "held_out", "round", "learner", "dealt"]
-        for batch in slices(batches):
-            n_tokens, n_known, logs, rare_logs, n_rare, ids = [], [], [], [], [], []
-            missing, times, ends = [], [], [0]
-            for x in texts(batch.column("text")):
-                words = words_of(x)
-                at = np.fromiter(map(get, words, repeat(-1)), dtype=np.int32, count=len(words))
-                known = at[at >= 0]
-                if len(known) < len(at):
-                    absent = Counter(words[k] for k in np.flatnonzero(at < 0).tolist())
-                    missing += absent.keys()
-                    times += absent.values()
-                own = plus[known]
-                net = np.where((at < 0) | (at >= v.rare), v.rare, at)
-                n_tokens.append(len(words))
-                n_known.append(len(known))
-                logs.append(float(own.sum()))
-                rare_logs.append(float(own[known >= v.rare].sum()))
-                n_rare.append(int((net == v.rare).sum()))
-                ids.append(net.astype(kind).tobytes())
-                ends.append(len(missing))
-            rare = pa.StructArray.from_arrays([pa.array(missing, pa.binary()), pa.array(times, pa.int64())], ["word", "n"])
-            rows = np.arange(row, row + len(ids))
-            row += len(ids)
-            made = [pa.array(n_tokens, pa.int64()), pa.array(n_known, pa.int64()), pa.array(logs, pa.float64()), pa.array(rare_logs, pa.float64()), pa.array(n_rare, pa.int64())]
+        for piece in _pieces(batches, PIECE):
+            n, (found, rows) = piece.num_rows, _split(piece.column("text"))
+            n_tokens = np.bincount(rows, minlength=n) + 1
+            ends = np.cumsum(n_tokens)
+            starts, inner = ends - n_tokens, np.ones(int(ends[-1]), dtype=bool)
+            inner[ends - 1] = False
+            at = np.full(len(inner), end, dtype=np.int32)
+            at[inner] = pc.fill_null(pc.index_in(found, value_set=index), -1).to_numpy()
+            net = np.where((at < 0) | (at >= v.rare), v.rare, at).astype(kind)
+            data, bounds = net.tobytes(), (np.append(0, ends) * net.itemsize).tolist()
+            ids = [data[a:b] for a, b in zip(bounds, bounds[1:])]
+            sums = [np.add.reduceat(x, starts) for x in ((at >= 0).astype(np.int64), plus[at], rare_plus[at], (net == v.rare).astype(np.int64))]
+
+            absent = at[inner] < 0
+            missing = pa.table({"at": rows[absent], "word": found.filter(pa.array(absent))})
+            missing = missing.group_by(["at", "word"], use_threads=False).aggregate([([], "count_all")]).sort_by("at").combine_chunks()
+            own, word, times = (missing.column(c).combine_chunks() for c in ("at", "word", "count_all"))
+            offsets = np.append(0, np.cumsum(np.bincount(own.to_numpy(), minlength=n)))
+            rare = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.StructArray.from_arrays([word, times], ["word", "n"]))
+            made = [pa.array(n_tokens, pa.int64()), *(pa.array(x) for x in sums), rare, pa.array(ids, pa.binary())]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(rows), *(batch.column(c) for c in given), *made, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), rare), pa.array(ids, pa.binary())],
+                [pa.array(np.arange(row, row + n)), *(piece.column(c) for c in given), *made],
                 names=["row", *given, "n_tokens", "n_known", "logs", "rare_logs", "n_rare", "rare", "ids"],
             )
+            row += n
 
     return run
 

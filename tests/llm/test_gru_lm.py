@@ -1,8 +1,12 @@
 import math
+import sys
+import tracemalloc
 import zlib
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tests.llm.cases import awkward, empty
@@ -212,3 +216,79 @@ def test_scores_alone_need_no_slopes_and_extreme_rows_are_shifted():
         log, slope = gru_lm._softmax(x.copy(), target, True)
         assert np.allclose(log, want) and np.allclose(slope.sum(axis=1), 0)
         assert np.allclose(slope[np.arange(40), target], np.exp(want) - 1)
+
+def _made(texts, v=None):
+    """What counting (or, with ``v``, encoding) makes of the texts, without Spark."""
+    n = len(texts)
+    columns = {"doc_id": np.arange(n), "text": pa.array(texts), "held_out": np.zeros(n, dtype=bool), "round": np.zeros(n, dtype=np.int32)}
+    batch = pa.RecordBatch.from_pydict(columns | {"learner": np.zeros(n, dtype=np.int32), "dealt": np.arange(n)})
+    return list((gru_lm._encode(v) if v else gru_lm._partial_counts)(iter([batch])))
+
+
+def _kernel_rows(texts, v=None):
+    return [r for made in _made(texts, v) for r in made.to_pylist()]
+
+
+ODD = ["A b  a\tB\n", "", None, " \x0b\x0c\r ", "x\x1cy \x85z Ä ä", " a　b W3", "one", " w3 zz w3 zz q "]
+
+
+@pytest.mark.parametrize("piece", [1, 9, 1 << 23])
+@pytest.mark.parametrize("kind", [pa.string(), pa.large_string()])
+def test_words_are_those_of_plain_splitting(monkeypatch, piece, kind):
+    monkeypatch.setattr(gru_lm, "PIECE", piece)
+    monkeypatch.setattr(gru_lm, "WORDS", 2)
+    monkeypatch.setattr("pyspark.TaskContext.get", lambda: SimpleNamespace(partitionId=lambda: 3))
+    words = [gru_lm.words_of((t or "").encode()) for t in ODD]
+    want, got = Counter(w for own in words for w in own), Counter()
+    for r in _kernel_rows(pa.array(ODD, kind)):
+        got[r["word"]] += r["n"]
+    assert got == want
+    v = gru_lm.Vocabulary([(b"", 9), (b"a", 5), (b"w3", 4), (b"b", 2)], 30, 9)
+    index = {w: k for k, (w, _) in enumerate(v.words)}
+    for own, r in zip(words, _kernel_rows(pa.array(ODD, kind), v), strict=True):
+        at = [index.get(w, -1) for w in own]
+        assert np.frombuffer(r["ids"], dtype=v.ids_kind()).tolist() == [k if 0 <= k < v.rare else v.rare for k in at]
+        assert (r["n_tokens"], r["n_known"], r["n_rare"]) == (len(at), sum(k >= 0 for k in at), sum(not 0 <= k < v.rare for k in at))
+        assert math.isclose(r["logs"], sum(math.log10(v.words[k][1] + 1) for k in at if k >= 0))
+        assert math.isclose(r["rare_logs"], sum(math.log10(v.words[k][1] + 1) for k in at if k >= v.rare), abs_tol=1e-12)
+        assert {x["word"]: x["n"] for x in r["rare"]} == Counter(w for w, k in zip(own, at, strict=True) if k < 0)
+
+
+def _calls(run):
+    """Calls of compiled functions, which are what small texts and small classes cost."""
+    seen = Counter()
+    sys.setprofile(lambda frame, event, arg: seen.update([event]) if event == "c_call" else None)
+    try:
+        run()
+    finally:
+        sys.setprofile(None)
+    return seen["c_call"]
+
+
+def test_counting_and_encoding_make_no_calls_for_each_text(monkeypatch):
+    monkeypatch.setattr("pyspark.TaskContext.get", lambda: SimpleNamespace(partitionId=lambda: 0))
+    v, few, many = _vocabulary(), ["a w1 w2"] * 100, ["a w1 w2"] * 2000
+
+    for given in (None, v):
+        _made(few, given)
+        assert _calls(lambda: _made(many, given)) < _calls(lambda: _made(few, given)) + 100
+
+
+def test_a_window_takes_two_softmaxes(monkeypatch):
+    monkeypatch.setattr(gru_lm, "PER_CLASS", 4)
+    v, inner, seen = _vocabulary(90), gru_lm._softmax, []
+    monkeypatch.setattr(gru_lm, "_softmax", lambda *x: seen.append(1) or inner(*x))
+    states = np.zeros((v.rare + 1, gru_lm.HIDDEN), dtype=np.float32)
+    gru_lm._outputs(_random(v), v, states, np.arange(v.rare + 1), None, _all(v))
+    assert v.classes > 9 and len(seen) == 2
+
+
+def test_a_long_text_takes_no_room_in_other_streams():
+    v = _vocabulary()
+    docs = [np.zeros(50_000, dtype=np.int32), *(np.zeros(1, dtype=np.int32) for _ in range(1023))]
+    tracemalloc.start()
+    streams = gru_lm.Streams(docs, v.rare, 1024)
+    filled = sum(int(window[2].sum()) for window in streams.windows(1 << 14, 1 << 14))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert filled == 51_023 and peak < 30_000_000
