@@ -90,6 +90,24 @@ def test_table_against_plain_comparison_of_words(spark, sf):
     assert {n for n, _, _ in found} <= {n for n, _, _ in short} and judged(rows, short) == ([], [])
 
 
+def test_query_returns_short_passages_too(spark, sf, tmp_path):
+    """Whole passages are those of the operator's own rule; the parts of fifty words are as they were."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    found = queries.op7_span_dedup(spark, sf)
+    whole = _found(found.selectExpr("doc_id", "passage_start AS start", "passage_end AS end"))
+    assert judged(rows, whole) == ([], []) and whole == _found(span_dedup.repeated_spans(docs))
+    parts = found.where("start < end")
+    columns = ["doc_id", "start", "end", "n_spans", "first_doc_id"]
+    long = span_dedup.repeated_spans(docs, sentences=2, span_words=50)
+    assert sorted(parts.select(*columns).collect()) == sorted(long.select(*columns).collect())
+    assert parts.where("start < passage_start OR end > passage_end").count() == 0
+    shared = "The cat sat down. A dog ran very far. The end came at last."
+    spark.createDataFrame([(1, f"{shared} Epsilon zeta eta theta."), (2, f"Four more words here. {shared}")], "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    (short,) = queries.op7_span_dedup(spark, str(tmp_path)).collect()
+    assert (short["doc_id"], short["passage_start"], short["passage_end"], short["passage_first_doc_id"], short["n_spans"]) == (2, 22, 22 + len(shared), 1, 0) and short["start"] == short["end"]
+
+
 def test_passages_are_cut_and_clean_documents_left(spark):
     rng = random.Random(9)
 
