@@ -104,6 +104,21 @@ def test_windows_cover_and_own(spark, n):
         assert k == depth.index(max(depth))
 
 
+def test_words_are_tagged_within_their_texts(spark):
+    """As ``bio_labels`` does it for all words, without sorting or joining any words: only stretches around numbers are shuffled."""
+    word, number, run = "[A-Za-z0-9]+", "[0-9][0-9.]+[0-9]", "[A-Za-z0-9.]"
+    rng = random.Random(3)
+    texts = ["", "no number 1 22", "1.234 a", "x12.34y56.78z 9", "a 1..2. 3.4.5b", "é12.5é a.123.b.456 \x01 77777", *("".join(rng.choice("1 2.a.é\n9") for _ in range(300)) for _ in range(40))]
+    docs = spark.createDataFrame([*enumerate(texts), (999, None)], "doc_id bigint, text string")
+    got = sequence.bio_labels_in_text(docs, "text", word, number, f"(?<!{run}){run}*?{number}{run}*", "NUM")
+    words = spans.regexp_spans(docs, ["doc_id"], "text", word, many=True)
+    order = sequence.Window.partitionBy("doc_id").orderBy("start")
+    want = sequence.bio_labels(words.select("doc_id", F.row_number().over(order).cast("long").alias("token"), "start", "end"), spans.regexp_spans(docs, ["doc_id"], "text", number).withColumn("label", F.lit("NUM")))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.where("tag <> 'O'").collect()))
+    plan = got._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+
+
 def test_bio_round_trip(spark):
     tokens = spark.createDataFrame([(1, k, 10 * k, 10 * k + 8) for k in range(10)], "doc_id int, token int, start int, end int")
     gold = spark.createDataFrame([(1, 12, 38, "A"), (1, 40, 48, "A"), (1, 75, 95, "B")], "doc_id int, start int, end int, label string")
