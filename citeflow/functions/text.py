@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -15,6 +16,10 @@ DASHES = "‐‑‒–—―−"
 SPACES = "\n\r\t               　"
 
 
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` evaluated once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), 0)
+
 
 def _accented() -> dict[str, str]:
     """Each Latin letter that Unicode composes of a plain one and marks, with the plain one."""

@@ -11,6 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from citeflow.functions.text import once
+
 #: Letters that stand for a digit after a scan.
 LOOKALIKES = {"1": "lI", "0": "Oo", "5": "Ss", "9": "gG"}
 MARKS = ["No", "n°", "N°", "n."]
@@ -41,7 +43,7 @@ def _places(text: Column, holds: Callable[[Column], Column]) -> Column:
 
 
 def _one(places: Column, draw: Column) -> Column:
-    return F.when(F.size(places) > 0, F.get(places, (draw % F.size(places)).cast("int")))
+    return once(places, lambda p: F.when(F.size(p) > 0, F.get(p, (draw % F.size(p)).cast("int"))))
 
 
 def _among(options: list[str], draw: Column) -> Column:
@@ -57,7 +59,7 @@ def edits(text: Column, draw: Column) -> list[Column]:
     inside = r"[0-9./\-]"
     digit = _one(_places(text, lambda i: _char(text, i).isin(*LOOKALIKES) & (_char(text, i - 1).rlike(inside) | _char(text, i + 1).rlike(inside))), draw)
     like = F.create_map(*(F.lit(x) for k, v in LOOKALIKES.items() for x in (k, v)))
-    letter = F.element_at(like, _char(text, digit)).substr((draw % 2 + 1).cast("int"), F.lit(1))
+    letter = lambda at: F.element_at(like, _char(text, at)).substr((draw % 2 + 1).cast("int"), F.lit(1))
     gap = _one(_places(text, lambda i: _char(text, i - 2, 3).rlike(r"^[0-9][-.][0-9]$")), draw)
     mark = F.get(_places(text, lambda i: _char(text, i, 2).isin("nº", "n°", "n.") & ~_char(text, i - 1).rlike(LETTER)), 0)
     other = _among(MARKS, draw)
@@ -66,14 +68,14 @@ def edits(text: Column, draw: Column) -> list[Column]:
     m = _one(_places(text, lambda i: _char(text, i).isin("m", "M") & _beside_letter(text, i, 1)), draw)
     rn = _one(_places(text, lambda i: (F.lower(_char(text, i, 2)) == "rn") & _beside_letter(text, i, 2)), draw)
     return [
-        _edit(digit, 1, letter),
-        _edit(gap, 0, " "),
-        _edit(gap, 0, "\n"),
-        F.when(_char(text, mark, 2) != other, _edit(mark, 2, other)),
-        _edit(dash, 1, "–"),
-        _edit(holding, 1, "5"),
-        _edit(m, 1, F.when(_char(text, m) == "M", "RN").otherwise("rn")),
-        _edit(rn, 2, F.when(_char(text, rn).isin("R"), "M").otherwise("m")),
+        once(digit, lambda at: _edit(at, 1, letter(at))),
+        once(gap, lambda at: _edit(at, 0, " ")),
+        once(gap, lambda at: _edit(at, 0, "\n")),
+        once(mark, lambda at: F.when(_char(text, at, 2) != other, _edit(at, 2, other))),
+        once(dash, lambda at: _edit(at, 1, "–")),
+        once(holding, lambda at: _edit(at, 1, "5")),
+        once(m, lambda at: _edit(at, 1, F.when(_char(text, at) == "M", "RN").otherwise("rn"))),
+        once(rn, lambda at: _edit(at, 2, F.when(_char(text, at).isin("R"), "M").otherwise("m"))),
     ]
 
 

@@ -224,8 +224,8 @@ def _family_map() -> Column:
     return F.create_map(*(x for c, all_ in near.items() for x in (F.lit(c), F.array(*map(F.lit, all_)))))
 
 
-def written(cited: DataFrame, seed: int) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, pair, noisy, text) and (doc_id, pair, place, noisy, kind, start, end, snippet, form, verdict, canonical_id) of ``citations``: two documents a pair."""
+def paragraphs(cited: DataFrame, seed: int) -> DataFrame:
+    """The paragraphs of both twins of ``citations``: doc_id, pair, place, noisy, kind, lead, shown (its citation), paragraph, form, verdict, canonical_id."""
     twins = cited.withColumn("noisy", F.explode(F.array(F.lit(False), F.lit(True))))
     keys = ("pair", "place", seed)
     shown = F.when(F.col("noisy"), noised(F.col("surface"), *keys)["text"]).otherwise(F.col("surface"))
@@ -236,10 +236,20 @@ def written(cited: DataFrame, seed: int) -> tuple[DataFrame, DataFrame]:
     parts = twins.withColumn("shown", shown).withColumn("lead", F.when(cites, F.concat(before, _pick(OPENINGS, *keys, 54))).otherwise(idle))
     parts = parts.withColumn("paragraph", F.when(cites, F.concat("lead", "shown", _pick(CLOSINGS, *keys, 55), after, F.lit("\n\n"))).otherwise(F.concat("lead", F.lit("\n\n"))))
     parts = parts.withColumn("doc_id", F.format_string("%06d%s", F.col("pair").cast("long"), F.when(F.col("noisy"), "_r").otherwise("_l")))
+    return parts.select("doc_id", "pair", "place", "noisy", "kind", "lead", "shown", "paragraph", "form", "verdict", "canonical_id")
+
+
+def written(cited: DataFrame, seed: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, pair, noisy, text) and (doc_id, pair, place, noisy, kind, start, end, snippet, form, verdict, canonical_id) of ``citations``: two documents a pair."""
+    return assembled(paragraphs(cited, seed))
+
+
+def assembled(parts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Documents and gold labels of ``paragraphs``, which both are made of: whoever needs both keeps them."""
     order = Window.partitionBy("doc_id").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
     placed = parts.withColumn("at", F.coalesce(F.sum(F.length("paragraph")).over(order), F.lit(0)) + len(HEADER))
     start = F.col("at") + F.length("lead")
-    gold = placed.where(cites).select("doc_id", "pair", "place", "noisy", "kind", start.cast("int").alias("start"), (start + F.length("shown")).cast("int").alias("end"), F.col("shown").alias("snippet"), "form", "verdict", "canonical_id")
+    gold = placed.where("kind IS NOT NULL").select("doc_id", "pair", "place", "noisy", "kind", start.cast("int").alias("start"), (start + F.length("shown")).cast("int").alias("end"), F.col("shown").alias("snippet"), "form", "verdict", "canonical_id")
     items = F.array_sort(F.collect_list(F.struct("place", "paragraph")))
     text = F.concat(F.lit(HEADER), F.array_join(F.transform(items, lambda x: x["paragraph"]), ""))
     return parts.groupBy("doc_id", "pair", "noisy").agg(text.alias("text")), gold

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citeflow.operators import training
 from citeflow.operators.noise import LOOKALIKES, MARKS, noised
 from citeflow.operators.overlap import match_one_to_one
-from citeflow.operators.synthetic import KINDS, citations, written
+from citeflow.operators.synthetic import KINDS, assembled, citations, paragraphs
 from citeflow.plans.catalog import query, table
 from citeflow.plans.verify import verify
 from citeflow.schema import REGISTRY
@@ -46,7 +47,8 @@ def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("pair"))
+    # dealt out before places are drawn for them: the table may be one split
+    return table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("pair")).repartition(spark.sparkContext.defaultParallelism, "pair")
 
 
 def _drawn(modulus: int, *keys: object) -> str:
@@ -96,7 +98,8 @@ def twins(rows: DataFrame) -> DataFrame:
 def noise_twins_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents of a registry, verified clean and noisy: no clean citation against the truth, nine in ten twins alike, a fifth of the noisy ones of each kind really changed at least."""
     rows = registry(spark, sf_dir)
-    docs, gold = written(citations(rows, _pairs(spark, sf_dir), SEED), SEED)
+    # documents and labels are read from the same paragraphs: else citations, their truth and their noise are all made twice
+    docs, gold = assembled(paragraphs(citations(rows, _pairs(spark, sf_dir), SEED), SEED).persist(StorageLevel.DISK_ONLY))
     both = twins(judged(docs, gold, rows))
     share = lambda c: F.avg(F.col(c).cast("double"))
     return both.groupBy("kind").agg(

@@ -141,3 +141,12 @@ def test_tokens_on_raw_text(spark):
     row = spark.createDataFrame([(text, ["O", "réu", ",", "João", "zz", "foi"])], "t string, k array<string>").select(tagger.laid_on(F.col("k"), F.col("t")).alias("p"), tagger.words_with_places("t").alias("w")).first()
     assert [None if p is None else text[p["start"] : p["end"]] for p in row["p"]] == ["O", "réu", ",", "João", None, "foi"]
     assert [w["snippet"] for w in row["w"]] == ["O", "réu", ",", "João", ",", "foi", "."]
+
+
+def test_pairs_are_dealt_out_and_places_of_edits_found_once(spark, sf):
+    """One split of customers was one task for all draws; a kind of noise looked through its text up to twelve times."""
+    from citeflow.operators.noise import noised
+    from citeflow.plans import generated
+
+    assert generated._pairs(spark, sf).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert noised(F.col("text"), "pair", 5)._jc.toString().count("sequence(0, length(") <= 8 + 1
