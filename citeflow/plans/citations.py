@@ -57,7 +57,9 @@ def _source(spark: SparkSession, sf_dir: str) -> DataFrame:
     header = F.concat(F.lit("AgRg no AGRAVO EM RECURSO ESPECIAL Nº "), _dotted(number), F.lit(" - "), where, F.lit(" (2018/0169803-4)\nRELATORA : MINISTRA ANA MODELO  AGRAVANTE : FULANO"))
     plain = F.concat(F.lit("RECURSO ESPECIAL Nº "), _dotted(number), F.lit(" - "), where, F.lit(" (2017/0169803-4)\nRELATOR : MINISTRO CAIO MODELO  RECORRENTE : FULANO"))
     labour = F.concat(F.lit("estes autos de Agravo TST-AIRR-"), number.cast("string"), F.lit("-78.2015.5.24.0091, em que é agravante"))
-    rulings = table(spark, sf_dir, "orders").where(k % 3 == 0).select(
+    # dealt out as in _texts: headers are read split by split
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey").where(k % 3 == 0).repartition(spark.sparkContext.defaultParallelism, "o_orderkey")
+    rulings = orders.select(
         F.concat(F.lit("r"), k).alias("id"), F.when(k % 8 == 5, "TST").otherwise("STJ").alias("tribunal"), F.lit("acordao").alias("natureza"), F.when(k % 8 == 5, labour).when(k % 8 == 1, header).otherwise(plain).alias("texto")
     )
     n = F.col("p_partkey")
@@ -176,22 +178,22 @@ def verified_citations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verify(_texts(spark, sf_dir), parse_registry(_source(spark, sf_dir)), with_vague=True).drop("fields")
 
 
-def _decided(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _decided(spark: SparkSession, sf_dir: str, with_ids: bool) -> DataFrame:
     read = with_fields(extract(prepare(_texts(spark, sf_dir)), with_vague=True))
     asked = read.select(F.col("doc_id").alias("mention_id"), "form", F.col("fields").isNotNull().alias("fields_read"), *(F.col(f"fields.{c}").alias(c) for c in LOOKED_UP))
-    return decide(asked, parse_registry(_source(spark, sf_dir)), with_ids=True, with_record=True)
+    return decide(asked, parse_registry(_source(spark, sf_dir)), with_ids=with_ids, with_record=True)
 
 
 @query(f"{_DECIDED} SELECT doc_id, path, CAST(n_candidates AS BIGINT) AS n_candidates, CAST(n_consistent AS BIGINT) AS n_consistent, candidates, consistent FROM v")
 def decision_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ids of the records that each decision weighed, and of those that nothing contradicts."""
     listed = [F.array_join(c, ",").alias(c) for c in ("candidates", "consistent")]
-    return _decided(spark, sf_dir).select(F.col("mention_id").alias("doc_id"), "path", "n_candidates", F.coalesce("n_consistent", F.lit(0)).alias("n_consistent"), *listed)
+    return _decided(spark, sf_dir, with_ids=True).select(F.col("mention_id").alias("doc_id"), "path", "n_candidates", F.coalesce("n_consistent", F.lit(0)).alias("n_consistent"), *listed)
 
 
 @query("SELECT CAST(0 AS BIGINT) AS broken, count(*) AS decided FROM orders")
 def decision_invariant(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _decided(spark, sf_dir).agg(F.coalesce(F.count_if(is_broken(with_record=True)), F.lit(0)).alias("broken"), F.count("*").alias("decided"))
+    return _decided(spark, sf_dir, with_ids=False).agg(F.coalesce(F.count_if(is_broken(with_record=True)), F.lit(0)).alias("broken"), F.count("*").alias("decided"))
 
 
 @query("""

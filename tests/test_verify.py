@@ -142,3 +142,13 @@ def test_stream_gives_what_the_batch_gives(spark, registry, tmp_path):
     columns = ["doc_id", "start", "end", "path"]
     assert sorted(map(tuple, streamed.select(*columns).collect())) == sorted(map(tuple, batch.select(*columns).collect()))
     assert streamed.agg(F.countDistinct("doc_id")).first()[0] == 2
+
+
+def test_registry_sources_are_dealt_out_and_header_lines_read_once(spark, sf):
+    """One split of orders was one task for all headers; each line was put through its patterns several times."""
+    from citeflow.operators.spans import header_end
+    from citeflow.plans import citations
+
+    assert citations._source(spark, sf).rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    said = header_end("text", labels=True)._jc.toString()
+    assert said.count("OAB") == 1 and said.count("p{Ll}") == 1
