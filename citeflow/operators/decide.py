@@ -1,8 +1,8 @@
 """The decision: which registry rows a mention may mean, which of them nothing contradicts, and what follows.
 
-Lookup is an equi join on one key column, so a registry of any size is joined by its key: Spark broadcasts it when it
-is small, and splits hot numbers when it is not. Candidates are only counted and reduced, with map-side sums; they are
-never listed beyond the ids a verdict carries.
+Lookup is one equi join on one key column, so a registry of any size is joined by its key: Spark broadcasts it when it
+is small, and splits hot numbers when it is not. Records of one key that state the same are counted and reduced first, with
+map-side sums, so a mention meets each different statement once; records are never listed beyond the ids a verdict carries.
 """
 
 from __future__ import annotations
@@ -59,15 +59,28 @@ def registry_keys(registry: DataFrame) -> DataFrame:
     )
 
 
-def _consistent() -> Column:
+#: What a mention is compared with: records that agree in it are one candidate's statement, with their number.
+STATEMENT = ("court", "state", "case_class", "chain")
+
+
+def statements(keys: DataFrame, with_ids: bool) -> DataFrame:
+    """key, n_candidates, records: the different statements of its records, each with its number of ids and its first record."""
+    ids = [F.collect_set("r_id").alias("ids")] if with_ids else []
+    first = F.min(F.when(F.col("r_id").isNotNull(), F.struct("r_id", *(f"r_{c}" for c in RECORD)))).alias("first")
+    alike = keys.groupBy("key", *(f"r_{c}" for c in STATEMENT)).agg(F.count("*").alias("rows"), F.count("r_id").alias("n"), first, *ids)
+    record = F.struct(*(F.col(f"r_{c}").alias(c) for c in STATEMENT), "n", "first", *(["ids"] if with_ids else []))
+    return alike.groupBy("key").agg(F.sum("rows").alias("n_candidates"), F.collect_list(record).alias("records"))
+
+
+def _consistent(record: Column) -> Column:
     """Nothing that mention and record both state contradicts; one candidate alone may be another stage of its family."""
-    cls, other = _stated(F.col("case_class")), F.col("r_case_class")
-    agree = F.coalesce(_stated(F.col("court")) == F.col("r_court"), F.lit(True)) & F.coalesce(_stated(F.col("state")) == F.col("r_state"), F.lit(True))
+    cls, other = _stated(F.col("case_class")), record["case_class"]
+    agree = F.coalesce(_stated(F.col("court")) == record["court"], F.lit(True)) & F.coalesce(_stated(F.col("state")) == record["state"], F.lit(True))
     single = F.col("n_candidates") == 1
     by_class = F.coalesce(F.when(single, same_family(cls, other)).otherwise(cls == other), F.lit(True))
     chain = F.coalesce("appeal_chain", F.array().cast("array<string>"))
     other_stage = single & F.coalesce((cls != other) & same_family(cls, other), F.lit(False))
-    return F.col("r_id").isNotNull() & agree & by_class & ((F.size(chain) == 0) | (chain == F.col("r_chain")) | other_stage)
+    return agree & by_class & ((F.size(chain) == 0) | (chain == record["chain"]) | other_stage)
 
 
 def path_of() -> Column:
@@ -111,17 +124,18 @@ def decide(mentions: DataFrame, registry: DataFrame | None, mention_id: str = "m
     """
     keys = registry_keys(registry) if index is None else index
     with_record = with_record or strict
-    ids = [F.sort_array(F.collect_set("r_id")).alias("candidates")] if with_ids else []
-    counted = keys.groupBy("key").agg(F.count("*").alias("n_candidates"), *ids)
+    known = statements(keys, with_ids)
+    if index is not None:  # counted apart: the index is read by key, so a second scan costs no shuffle and no state
+        known = known.drop("n_candidates").join(index.groupBy("key").agg(F.count("*").alias("n_candidates")), "key")
     own_key = F.coalesce(mention_key(), F.concat(F.lit("?|"), F.col(mention_id).cast("string")))
-    asked = mentions.withColumn("key", own_key).join(counted, "key", "left").withColumn("n_candidates", F.coalesce("n_candidates", F.lit(0)))
-    joined = asked.join(keys, "key", "left").withColumn("ok", _consistent())
-    said = [F.struct(precedent_key(F.col("number")).alias("number"), "law_key", "article").alias("stated")] if with_record else []
-    stated = ["form", "law_key", "fields_read", "n_candidates", *said, *(["candidates"] if with_ids else []), *keep]
-    found = [F.sum(F.col("ok").cast("long")).alias("n_consistent"), F.min(F.when(F.col("ok"), F.struct("r_id", *(f"r_{c}" for c in RECORD)))).alias("chosen")]
+    asked = mentions.withColumn("key", own_key).join(known, "key", "left").withColumn("n_candidates", F.coalesce("n_candidates", F.lit(0)))
+    joined = asked.withColumn("ok", F.filter("records", _consistent))
+    n = F.coalesce(F.aggregate("ok", F.lit(0).cast("long"), lambda a, x: a + x["n"]), F.lit(0))
+    kept = joined.withColumn("n_consistent", n).withColumn("chosen", F.array_min(F.transform("ok", lambda x: x["first"])))
+    if with_record:
+        kept = kept.withColumn("stated", F.struct(precedent_key(F.col("number")).alias("number"), "law_key", "article"))
     if with_ids:
-        found.append(F.sort_array(F.collect_set(F.when(F.col("ok"), F.col("r_id")))).alias("consistent"))
-    kept = joined.groupBy(mention_id).agg(F.any_value(F.struct(*stated)).alias("__stated"), *found).select(mention_id, "__stated.*", "n_consistent", "chosen", *(["consistent"] if with_ids else []))
+        kept = kept.withColumns({c: F.array_sort(F.array_distinct(F.flatten(F.transform(of, lambda x: x["ids"])))) for c, of in (("candidates", "records"), ("consistent", "ok"))})
     decided = kept.withColumn("path", path_of()).withColumn("verdict", class_of(F.col("path")))
     listed = [F.coalesce(c, F.array().cast("array<string>")).alias(c) for c in ("candidates", "consistent")] if with_ids else []
     real = F.col("verdict") == "real"

@@ -234,3 +234,14 @@ def test_a_written_index_is_not_shuffled(spark, tmp_path):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.sql("DROP TABLE IF EXISTS registry_index")
+
+
+def test_registry_is_joined_once_and_alike_records_meet_a_mention_once(spark):
+    rows = [(str(k), "acordao", "STJ", "500", "REsp", [], "PR" if k % 2 else "SP", 2020, None, None, None) for k in range(40)] + [(None, "acordao", "STJ", "500", "REsp", [], "MG", 2020, None, None, None)]
+    mentions = [("a", "com_numero", None, "REsp", [], "500", "PR", None, None, True), ("b", "com_numero", None, "REsp", [], "500", "MG", None, None, True), ("c", "com_numero", None, "REsp", [], "501", None, None, None, True)]
+    out = decide(spark.createDataFrame(mentions, MENTION), spark.createDataFrame(rows, REGISTRY), with_ids=True)
+    got = {r["mention_id"]: r for r in out.collect()}
+    assert [(got[m]["path"], got[m]["n_candidates"], got[m]["n_consistent"]) for m in "abc"] == [("numero_ambiguo", 41, 20), ("numero_contradito", 41, 0), ("numero_ausente", 0, 0)]
+    assert got["a"]["consistent"] == sorted(str(k) for k in range(1, 40, 2)) and got["a"]["candidates"] == sorted(map(str, range(40))) and got["c"]["candidates"] == []
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 1
